@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rules
+from ..session import materialize
 
 ROW_ID = "row_id"
 
@@ -50,21 +51,24 @@ def survivors(df: DataFrame, keys: Sequence[str], order: str = "fecha_scraping",
 DEDUP_KEY_ADDRESS = ["direccion", "sup_total_m2", "precio_valor", "operacion"]
 
 
-def cascade_levels(alive_rows: DataFrame, order: str = "fecha_scraping", row_id: str = ROW_ID) -> DataFrame:
+def cascade_levels(alive_rows: DataFrame, order: str = "fecha_scraping", row_id: str = ROW_ID,
+                   cut: bool = True) -> DataFrame:
     """W1 on a narrow projection: (row_id, level) where level = last dedup level survived.
 
     Level 1 survives the url check, 2 the id check, 3 the same-property check.
-    Each level only sees the survivors of the previous one.
+    Each level only sees the survivors of the previous one.  The survivor sets
+    are read by two later steps each, so with ``cut`` they are materialized
+    (narrow files) instead of being re-derived per branch.
     """
+    keep = (lambda d, n: materialize(d, n)) if cut else (lambda d, n: d)
     narrow = alive_rows.select(row_id, order, "url", "id_aviso", *DEDUP_KEY_ADDRESS)
-    s1 = survivors(narrow, ["url"], order, row_id)
-    s2 = survivors(s1, ["id_aviso"], order, row_id)
-    with_addr = s2.filter(F.col("direccion").isNotNull())
-    s3 = survivors(with_addr, DEDUP_KEY_ADDRESS, order, row_id).unionByName(
-        s2.filter(F.col("direccion").isNull()))
+    s1 = keep(survivors(narrow, ["url"], order, row_id), "dedup-s1")
+    s2 = keep(survivors(s1, ["id_aviso"], order, row_id), "dedup-s2")
+    s3 = survivors(s2.filter(F.col("direccion").isNotNull()), DEDUP_KEY_ADDRESS, order, row_id)
     levels = (s1.select(row_id, F.lit(1).alias("_lvl"))
               .unionByName(s2.select(row_id, F.lit(2).alias("_lvl")))
-              .unionByName(s3.select(row_id, F.lit(3).alias("_lvl"))))
+              .unionByName(s3.select(row_id, F.lit(3).alias("_lvl")))
+              .unionByName(s2.filter(F.col("direccion").isNull()).select(row_id, F.lit(3).alias("_lvl"))))
     return levels.groupBy(row_id).agg(F.max("_lvl").alias("_lvl"))
 
 

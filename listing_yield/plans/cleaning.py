@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import measures as M
 from ..operators import dedup, quantiles, rules
+from ..session import materialize
 
 DERIVED_CURRENCY = ["precio_usd", "expensas_usd", "venta_usd", "alquiler_usd_mes",
                     "venta_m2_usd", "alquiler_m2_usd_mes"]
@@ -79,24 +80,40 @@ def derived_step(df: DataFrame) -> DataFrame:
     })
 
 
-def tag_listings(listings: DataFrame, fx: float = K.DEFAULT_FX, mode: str = "moderado",
-                 to_rent: Sequence[str] = K.FIX_TO_RENT_IDS, to_ars: Sequence[str] = K.FIX_TO_ARS_IDS,
-                 bad_area: Sequence[str] = K.FIX_BAD_AREA_IDS, accuracy: int | None = None) -> DataFrame:
-    """Steps 1-7: every input row, with ``motivo_exclusion`` (NULL = kept) and the derived columns."""
+def tag_until(listings: DataFrame, step: int = 5, fx: float = K.DEFAULT_FX,
+              to_rent: Sequence[str] = K.FIX_TO_RENT_IDS, to_ars: Sequence[str] = K.FIX_TO_ARS_IDS,
+              bad_area: Sequence[str] = K.FIX_BAD_AREA_IDS, cut: bool = True) -> DataFrame:
+    """Steps 1..step (step >= 3).  With ``cut``, the row-local steps 1-2 are materialized
+    before the dedup cascade (which reads them several times) and the result after the
+    last step is materialized too, so later passes read files instead of the lineage."""
     df = listings
     if "precio_m2" not in df.columns:
         df = df.withColumn("precio_m2", M.price_per_m2_guarded("precio_valor", "sup_total_m2"))
     df = rules.start(df)
     df = apply_corrections(df, to_rent, to_ars, bad_area)       # 1
     df = rules.residential_rule(df)                              # 2
+    if cut:
+        df = materialize(df, "step2")
     df = dedup.dedup_cascade(df)                                 # 3
-    df = rules.impossible_values_rules(df)                       # 4
-    df = currency_step(df, fx)                                   # 5
-    df = quantiles.quantile_trim(df, mode, accuracy=accuracy)    # 6
-    df = derived_step(df)                                        # 7
+    if step >= 4:
+        df = rules.impossible_values_rules(df)                   # 4
+    if step >= 5:
+        df = currency_step(df, fx)                               # 5
+    if cut:
+        df = materialize(df, f"step{step}")
     return df
 
 
+def tag_listings(listings: DataFrame, fx: float = K.DEFAULT_FX, mode: str = "moderado",
+                 to_rent: Sequence[str] = K.FIX_TO_RENT_IDS, to_ars: Sequence[str] = K.FIX_TO_ARS_IDS,
+                 bad_area: Sequence[str] = K.FIX_BAD_AREA_IDS, accuracy: int | None = None,
+                 cut: bool = True) -> DataFrame:
+    """Steps 1-7: every input row, with ``motivo_exclusion`` (NULL = kept) and the derived columns."""
+    df = tag_until(listings, 5, fx, to_rent, to_ars, bad_area, cut)
+    df = quantiles.quantile_trim(df, mode, accuracy=accuracy)    # 6
+    return derived_step(df)                                      # 7
+
+
 def clean(listings: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
     """(kept, excluded).  Kept rows lose the reason and the step-8 columns."""
     tagged = tag_listings(listings, **kw)

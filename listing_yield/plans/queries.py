@@ -46,15 +46,7 @@ def _kept(spark, sf_dir, **kw):
 
 def _until(spark, sf_dir, step: int):
     """Tagged listings after steps 1..step (step in 3, 4, 5)."""
-    df = _listings(spark, sf_dir)
-    df = df.withColumn("precio_m2", M.price_per_m2_guarded("precio_valor", "sup_total_m2"))
-    df = cleaning.apply_corrections(rules.start(df))
-    df = dedup.dedup_cascade(rules.residential_rule(df))
-    if step >= 4:
-        df = rules.impossible_values_rules(df)
-    if step >= 5:
-        df = cleaning.currency_step(df)
-    return df
+    return cleaning.tag_until(_listings(spark, sf_dir), step)
 
 
 # --------------------------------------------------------------------------- A21 flagship
@@ -112,9 +104,7 @@ FIX_AREA = ["35-1", "3-2"]
     "SELECT row_id, operacion, precio_moneda, sup_total_m2, precio_m2, motivo_exclusion FROM tagged",
     to_rent=FIX_RENT, to_ars=FIX_ARS, bad_area=FIX_AREA, until=4))
 def q_point_corrections(spark, sf_dir):
-    df = _listings(spark, sf_dir).withColumn("precio_m2", M.price_per_m2_guarded("precio_valor", "sup_total_m2"))
-    df = cleaning.apply_corrections(rules.start(df), FIX_RENT, FIX_ARS, FIX_AREA)
-    df = rules.impossible_values_rules(dedup.dedup_cascade(rules.residential_rule(df)))
+    df = cleaning.tag_until(_listings(spark, sf_dir), 4, to_rent=FIX_RENT, to_ars=FIX_ARS, bad_area=FIX_AREA)
     return df.select("row_id", "operacion", "precio_moneda", "sup_total_m2", "precio_m2", rules.REASON)
 
 

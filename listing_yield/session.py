@@ -48,3 +48,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def materialize(df, label: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    A lineage cut that survives executor loss (the files live in the folder the
+    cluster names in ``spark.checkpoint.dir``), keeps columnar pushdown for the
+    readers, and stops a plan that is reused by several branches from being
+    recomputed once per branch.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def spread(df):
+    """Spread an input that arrives in far fewer splits than there are cores.
+
+    Large inputs come in many files/row groups and are left alone (no extra
+    shuffle); a single-split input (one small file with one row group) would
+    otherwise run every row-local step in one task.
+    """
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= target:
+        return df.repartition(target)
+    return df

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..session import read_table
+from ..session import read_table, spread
 
 # Mapping of the part type to a property type (one non-residential class).
 PART_TYPE_TO_KIND = {
@@ -32,71 +32,59 @@ RENT_DIVISOR = 150.0
 ARS_FACTOR = 1100.0
 
 
-def _mod(c: str, m: int):
-    return F.pmod(F.col(c), F.lit(m))
+def _kind_sql() -> str:
+    whens = " ".join(f"WHEN p_type = '{k}' THEN '{v}'" for k, v in PART_TYPE_TO_KIND.items())
+    return f"CASE {whens} ELSE '{OTHER_KIND}' END"
+
+
+def listing_exprs() -> list[str]:
+    """The projection, as Spark SQL expressions (one call to build, one codegen stage to run)."""
+    op = ("CASE WHEN pmod(l_orderkey, 37) = 0 THEN NULL WHEN l_linestatus = 'O' THEN 'venta' "
+          "ELSE 'alquiler' END")
+    base = f"(CASE WHEN {op} = 'venta' THEN l_extendedprice ELSE l_extendedprice / {RENT_DIVISOR} END)"
+    age = "CAST(pmod(l_partkey * 7 + l_suppkey, 171) - 10 AS INT)"
+    cols = {
+        "row_id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd'))",
+        "portal": "concat('p', lower(l_returnflag))",
+        "id_aviso": "concat_ws('-', l_orderkey, l_linenumber)",
+        "url": "CASE WHEN pmod(l_orderkey, 31) = 0 THEN NULL "
+               "ELSE concat_ws('/', '/listings', l_orderkey, l_linenumber, l_partkey) END",
+        "fecha_scraping": "l_shipdate",
+        "operacion": op,
+        "tipo_propiedad": f"CASE WHEN pmod(l_orderkey, 29) = 0 THEN NULL ELSE {_kind_sql()} END",
+        "precio_valor": f"CASE WHEN pmod(l_orderkey, 23) = 0 THEN NULL WHEN pmod(l_orderkey, 47) = 0 THEN 0.0D "
+                        f"WHEN l_returnflag = 'R' THEN {base} * {ARS_FACTOR}D ELSE {base} END",
+        "precio_moneda": "CASE WHEN pmod(l_orderkey, 41) = 0 THEN NULL WHEN l_returnflag = 'R' THEN 'ARS' ELSE 'USD' END",
+        "expensas_valor": "CASE WHEN l_tax = 0 THEN NULL ELSE l_tax * 1000000.0D END",
+        "expensas_moneda": "CASE WHEN l_tax = 0 THEN NULL ELSE 'ARS' END",
+        "direccion": "CASE WHEN pmod(l_orderkey, 13) = 0 THEN NULL "
+                     "ELSE concat_ws(' ', 'Calle', l_partkey, pmod(l_partkey, 40) * 100 + 100) END",
+        "barrio": "CASE WHEN pmod(l_orderkey, 43) = 0 THEN NULL ELSE lower(n_name) END",
+        "comuna": "CAST(n_regionkey AS INT)",
+        "sup_total_m2": "CASE WHEN pmod(l_orderkey, 17) = 0 THEN NULL WHEN pmod(l_orderkey, 53) = 0 "
+                        "THEN l_quantity * 100 ELSE l_quantity * 4 END",
+        "sup_cubierta_m2": "l_quantity * 4 * (0.6D + l_discount * 5)",
+        "ambientes": "CAST(pmod(p_size, 18) + 1 AS INT)",
+        "dormitorios": "CAST(pmod(p_size, 14) AS INT)",
+        "banos": "CAST(pmod(p_size, 3) + 1 AS INT)",
+        "cocheras": "CAST(pmod(p_size, 2) AS INT)",
+        "antiguedad_anios": age,
+        "es_a_estrenar": f"CASE WHEN {age} <= 0 THEN 1 ELSE 0 END",
+        "titulo": "concat_ws(' - ', p_name, lower(n_name))",
+    }
+    for i, f in enumerate(K.MODEL_FLAGS):
+        cols[f] = f"CAST(shiftright(l_partkey, {i}) & 1 AS INT)"
+    return [f"{e} AS {n}" for n, e in cols.items()]
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-
     df = (li.join(part, li.l_partkey == part.p_partkey)
           .join(supp, li.l_suppkey == supp.s_suppkey)
           .join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey))
-
-    kind = F.lit(OTHER_KIND)
-    for k, v in reversed(PART_TYPE_TO_KIND.items()):
-        kind = F.when(F.col("p_type") == k, F.lit(v)).otherwise(kind)
-
-    op = (F.when(_mod("l_orderkey", 37) == 0, F.lit(None).cast("string"))
-          .when(F.col("l_linestatus") == "O", F.lit("venta")).otherwise(F.lit("alquiler")))
-    cur = (F.when(_mod("l_orderkey", 41) == 0, F.lit(None).cast("string"))
-           .when(F.col("l_returnflag") == "R", F.lit("ARS")).otherwise(F.lit("USD")))
-    base_usd = F.when(op == "venta", F.col("l_extendedprice")).otherwise(
-        F.col("l_extendedprice") / F.lit(RENT_DIVISOR))
-    price = (F.when(_mod("l_orderkey", 23) == 0, F.lit(None).cast("double"))
-             .when(_mod("l_orderkey", 47) == 0, F.lit(0.0))
-             .when(F.col("l_returnflag") == "R", base_usd * F.lit(ARS_FACTOR))
-             .otherwise(base_usd))
-    area = (F.when(_mod("l_orderkey", 17) == 0, F.lit(None).cast("double"))
-            .when(_mod("l_orderkey", 53) == 0, F.col("l_quantity") * 100)
-            .otherwise(F.col("l_quantity") * 4))
-    age = (F.pmod(F.col("l_partkey") * 7 + F.col("l_suppkey"), F.lit(171)) - 10).cast("int")
-    flags = {f: F.shiftright(F.col("l_partkey"), i).bitwiseAND(F.lit(1)).cast("int")
-             for i, f in enumerate(K.MODEL_FLAGS)}
-
-    cols = {
-        "row_id": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                              F.date_format("l_shipdate", "yyyyMMdd")),
-        "portal": F.concat(F.lit("p"), F.lower("l_returnflag")),
-        "id_aviso": F.concat_ws("-", "l_orderkey", "l_linenumber"),
-        "url": F.when(_mod("l_orderkey", 31) == 0, F.lit(None).cast("string")).otherwise(
-            F.concat_ws("/", F.lit("/listings"), "l_orderkey", "l_linenumber", "l_partkey")),
-        "fecha_scraping": F.col("l_shipdate"),
-        "operacion": op,
-        "tipo_propiedad": F.when(_mod("l_orderkey", 29) == 0, F.lit(None).cast("string")).otherwise(kind),
-        "precio_valor": price,
-        "precio_moneda": cur,
-        "expensas_valor": F.when(F.col("l_tax") == 0, F.lit(None).cast("double")).otherwise(
-            F.col("l_tax") * F.lit(1000000.0)),
-        "expensas_moneda": F.when(F.col("l_tax") == 0, F.lit(None).cast("string")).otherwise(F.lit("ARS")),
-        "direccion": F.when(_mod("l_orderkey", 13) == 0, F.lit(None).cast("string")).otherwise(
-            F.concat_ws(" ", F.lit("Calle"), "l_partkey", (_mod("l_partkey", 40) * 100 + 100))),
-        "barrio": F.when(_mod("l_orderkey", 43) == 0, F.lit(None).cast("string")).otherwise(F.lower("n_name")),
-        "comuna": F.col("n_regionkey").cast("int"),
-        "sup_total_m2": area,
-        "sup_cubierta_m2": F.col("l_quantity") * 4 * (F.lit(0.6) + F.col("l_discount") * 5),
-        "ambientes": (F.pmod(F.col("p_size"), F.lit(18)) + 1).cast("int"),
-        "dormitorios": F.pmod(F.col("p_size"), F.lit(14)).cast("int"),
-        "banos": (F.pmod(F.col("p_size"), F.lit(3)) + 1).cast("int"),
-        "cocheras": F.pmod(F.col("p_size"), F.lit(2)).cast("int"),
-        "antiguedad_anios": age,
-        "es_a_estrenar": F.when(age <= 0, F.lit(1)).otherwise(F.lit(0)),
-        "titulo": F.concat_ws(" - ", "p_name", F.lower("n_name")),
-        **flags,
-    }
-    return df.select(*[c.alias(n) for n, c in cols.items()])
+    return df.selectExpr(*listing_exprs())
