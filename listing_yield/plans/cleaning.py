@@ -63,7 +63,8 @@ def currency_step(df: DataFrame, fx: float = K.DEFAULT_FX) -> DataFrame:
     df = df.withColumns({
         "venta_m2_usd": F.when(a, M.price_per_m2("venta_usd", "sup_total_m2")),
         "alquiler_m2_usd_mes": F.when(a, M.price_per_m2("alquiler_usd_mes", "sup_total_m2")),
-        "precio_m2": F.when(a, M.price_per_m2("precio_valor", "sup_total_m2")).otherwise(F.col("precio_m2")),
+        "precio_m2": F.when(a, M.price_per_m2("precio_valor", "sup_total_m2")).otherwise(
+            F.col("precio_m2") if "precio_m2" in df.columns else F.lit(None).cast("double")),
     })
     return df
 

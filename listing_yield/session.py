@@ -5,6 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 
+# one BLAS thread per Python process: Spark already runs one task per core
+for _v in ("OPENBLAS_NUM_THREADS", "OMP_NUM_THREADS", "MKL_NUM_THREADS"):
+    os.environ.setdefault(_v, "1")
+
 from pyspark.sql import SparkSession
 
 
