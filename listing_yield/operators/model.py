@@ -442,3 +442,31 @@ def nested_r2(spark, rentals: DataFrame, layout: Layout, k: int = K.N_FOLDS) ->
             .agg(F.round(1 - F.sum((F.col("y") - F.col("p")) ** 2) / (F.count(F.lit(1)) * F.var_pop("y")), 6)
                  .alias("r2_log_oof"))
             .orderBy("orden"))
+
+
+# --------------------------------------------------------------------------- M12: learning curve
+
+LEARNING_FRACTIONS = (0.15, 0.5, 1.0)
+
+
+def learning_curve(rentals: DataFrame, fractions=LEARNING_FRACTIONS, k: int = K.N_FOLDS) -> DataFrame:
+    """Out-of-fold R2 (log) and median relative error when training on growing,
+    hash-ordered fractions of the rentals (a fixed order, so each fraction contains the
+    previous one).  Each fraction gets the full fold / penalty-path fit."""
+    spark = rentals.sparkSession
+    ranked = rentals.withColumn("_h", F.pmod(F.xxhash64("row_id"), F.lit(10000)))
+    outs = []
+    for frac in fractions:
+        sub = ranked.filter(F.col("_h") < int(round(frac * 10000))).drop("_h")
+        layout, fits = fit_all(sub, k)
+        choose_alphas(sub, layout, fits)
+        oof = with_oof(sub, layout, fits)
+        outs.append(oof.agg(
+            F.lit(float(frac)).alias("fraccion"), F.count(F.lit(1)).alias("n"),
+            F.round(1 - F.sum((F.col("y") - F.col("pred_log")) ** 2) / (F.count(F.lit(1)) * F.var_pop("y")), 6)
+            .alias("r2_log_oof"),
+            F.round(F.median("err_rel") * 100, 4).alias("err_mediano_pct")))
+    res = outs[0]
+    for o in outs[1:]:
+        res = res.unionByName(o)
+    return res

@@ -91,6 +91,6 @@ def tukey_filter(df: DataFrame, value: str, by: Sequence[str] = (), k: float = 1
     if by:
         side = F.broadcast(stats) if broadcast_stats else stats
         j = df.join(side, list(by), "inner")
-    else:
-        j = df.crossJoin(F.broadcast(stats))  # one row
-    return j.filter((F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi"))).drop("_lo", "_hi")
+        return j.filter((F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi"))).drop("_lo", "_hi")
+    lo, hi = stats.select("_lo").scalar(), stats.select("_hi").scalar()  # one-row scalar subqueries
+    return df.filter((F.col(value) >= lo) & (F.col(value) <= hi))

@@ -228,3 +228,10 @@ def q_nested_r2(spark, sf_dir):
     """Out-of-fold R2 (log) as feature blocks are added (area only -> all)."""
     b = ridge_bundle(spark, sf_dir)
     return model.nested_r2(spark, b["rentals"], b["layout"])
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    """Validation metrics as the training set grows (hash-ordered fractions)."""
+    b = ridge_bundle(spark, sf_dir)
+    return model.learning_curve(b["rentals"])
