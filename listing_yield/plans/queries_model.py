@@ -235,3 +235,15 @@ def q_learning_curve(spark, sf_dir):
     """Validation metrics as the training set grows (hash-ordered fractions)."""
     b = ridge_bundle(spark, sf_dir)
     return model.learning_curve(b["rentals"])
+
+
+@register("net_yield_by_band")
+def q_net_yield_by_band(spark, sf_dir):
+    """Median net yield per area band of the reliable estimates (one pass), with the
+    filtered mean sale price of the same rows."""
+    s = scored_sales(spark, sf_dir).filter(F.col("estimacion_confiable") == 1)
+    band = M.right_closed_bins("sup_total_m2", K.AREA_BINS, K.AREA_LABELS)
+    return (s.withColumn("superficie_rango", band).filter(F.col("superficie_rango").isNotNull())
+            .groupBy("superficie_rango")
+            .agg(F.count(F.lit(1)).alias("n"), F.median("rent_neta_pct").alias("rent_neta_mediana"),
+                 F.round(F.avg("venta_usd"), 2).alias("venta_media")))
