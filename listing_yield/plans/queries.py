@@ -46,7 +46,7 @@ def _tagged(spark, sf_dir, **kw):
     Like the original workflow (clean once, every report reads the cleaned
     table), later queries on the same input read the written table.
     """
-    key = (id(spark), sf_dir, tuple(sorted(kw.items())))
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
     if key not in _CLEANED:
         _CLEANED[key] = materialize(cleaning.tag_listings(_listings(spark, sf_dir), **kw), "tagged")
     return _CLEANED[key]

@@ -123,7 +123,7 @@ _BUNDLES: dict = {}
 def ridge_bundle(spark, sf_dir):
     """Fit once per (session, input) and keep the bundle (S13), like the saved model the
     what-if scorer loads; every row-level intermediate is a materialized table."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key in _BUNDLES:
         return _BUNDLES[key]
     kept = materialize(_kept(spark, sf_dir), "kept")
