@@ -33,8 +33,15 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+_LISTINGS: dict = {}
+
+
 def _listings(spark, sf_dir):
-    return adapter.listings(spark, sf_dir)
+    """The listing view, written once per (session, input) and read by every query after."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LISTINGS:
+        _LISTINGS[key] = materialize(adapter.listings(spark, sf_dir), "listings")
+    return _LISTINGS[key]
 
 
 _CLEANED: dict = {}
