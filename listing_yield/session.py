@@ -83,3 +83,28 @@ def spread(df):
     if df.rdd.getNumPartitions() * 2 <= target:
         return df.repartition(target)
     return df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``listing_yield`` importable in Python workers (the model's ``mapInPandas``
+    functions live in it): zip the package once per application and ``addPyFile`` it,
+    as ``--py-files`` would on a cluster."""
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="ly-pyfiles-"), "listing_yield.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)
