@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 # one BLAS thread per Python process: Spark already runs one task per core
@@ -26,7 +27,7 @@ def build_session(app: str = "listing_yield", cpus: int | str = "*",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("LY_DRIVER_MEMORY", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -36,7 +37,8 @@ def build_session(app: str = "listing_yield", cpus: int | str = "*",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    """The shared folder named in ``spark.checkpoint.dir``. Where it is unset, a local session (tests, the bench)
+    gets a scratch folder; a cluster session is an error, since its executors would each write to their own disk."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -44,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         spark.sparkContext.setCheckpointDir(conf)
         return conf
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="ly-ckpt-", dir=os.environ.get("LY_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
