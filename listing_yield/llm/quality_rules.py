@@ -152,8 +152,8 @@ repeats AS (SELECT doc_id, count(*) AS n_repeat_words FROM cov GROUP BY doc_id),
 parts AS (SELECT doc_id, string_split(t, chr(10)) AS p FROM d),
 numbered AS (SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) AS n FROM parts),
 lines AS (SELECT doc_id, line, n, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS lw,
-    len(list_filter(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), x -> x = '|')) AS bars,
-    len(list_filter(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), x -> regexp_matches(x, '[!#$%&*][!#$%&*]$'))) AS marked
+    len(list_filter(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: x = '|')) AS bars,
+    len(list_filter(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: regexp_matches(x, '[!#$%&*][!#$%&*]$'))) AS marked
   FROM numbered),
 judged AS (SELECT doc_id, lw, row_number() OVER (PARTITION BY doc_id, line ORDER BY n) > 1 AS dup,
     (bars >= 3 AND 4 * bars >= lw) OR (marked >= 2 AND 4 * marked >= lw)

@@ -138,8 +138,8 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _span_sql(pattern: str, kind: int, keep: str = "true") -> str:
     p = pattern.replace("'", "''")
-    return (f"SELECT doc, {kind} AS kind, i, g, h, list_sum(list_transform(g[1:i], x -> length(x)))"
-            f" + coalesce(list_sum(list_transform(h[1:i-1], x -> length(x))), 0) AS s, h[i] AS hit FROM "
+    return (f"SELECT doc, {kind} AS kind, i, g, h, list_sum(list_transform(g[1:i], lambda x: length(x)))"
+            f" + coalesce(list_sum(list_transform(h[1:i-1], lambda x: length(x))), 0) AS s, h[i] AS hit FROM "
             f"(SELECT doc, g, h, unnest(generate_series(1, len(h))) AS i FROM (SELECT doc, "
             f"string_split_regex(t, '{p}') AS g, regexp_extract_all(t, '{p}') AS h FROM d)) WHERE {keep}")
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import read_table
+from ..session import materialize, read_table
 from .encode import VOCABULARY, encoder
 
 CELL = 4096
@@ -94,6 +94,7 @@ def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each encoded length that occurs, with its suffix sums and the share of documents up to it."""
-    sums = suffix_sums(length_counts(read_table(spark, sf_dir, "documents")))
+    # two branches read the histogram; written once, texts are encoded once
+    sums = suffix_sums(materialize(length_counts(read_table(spark, sf_dir, "documents")), "lengths"))
     share = (F.col("docs_lt") + F.col("n_docs")) / (F.col("docs_lt") + F.col("docs_ge"))
     return sums.withColumn("share_le", share)
