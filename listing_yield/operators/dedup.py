@@ -9,6 +9,10 @@ row per input partition.  Only a narrow projection goes through the
 aggregations; the wide table is joined back once, on ``row_id``, a unique and
 uniformly spread key.
 
+Repeated rows (the same ``row_id`` more than once) count as copies of one row: one of
+them survives.  ``with_row_id`` gives rows without an id one made from their content, so
+identical rows share it.
+
 Order: newest = ``order DESC NULLS LAST, row_id DESC``; oldest (first seen) =
 ``order ASC NULLS LAST, row_id ASC``.  ``row_id`` makes the order total, so
 the result does not depend on partitioning (pandas' unstable sort did).
@@ -28,6 +32,14 @@ from ..session import materialize
 ROW_ID = "row_id"
 
 
+def with_row_id(df: DataFrame, row_id: str = ROW_ID) -> DataFrame:
+    """``df`` with a ``row_id``: its own, or a digest of the whole row (equal for identical rows)."""
+    if row_id in df.columns:
+        return df
+    return df.withColumn(row_id, F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]),
+                                                  {"ignoreNullFields": "false"}), 256))
+
+
 def survivors(df: DataFrame, keys: Sequence[str], order: str = "fecha_scraping",
               row_id: str = ROW_ID, carry: Sequence[str] | None = None,
               newest: bool = True) -> DataFrame:
@@ -48,6 +60,8 @@ def survivors(df: DataFrame, keys: Sequence[str], order: str = "fecha_scraping",
     return out.withColumnsRenamed({"_o": order, "_id": row_id}).select(*carry)
 
 
+COPY = "_copia"  # a number of its own for each row, copies of one row included
+
 DEDUP_KEY_ADDRESS = ["direccion", "sup_total_m2", "precio_valor", "operacion"]
 
 
@@ -75,20 +89,31 @@ def cascade_levels(alive_rows: DataFrame, order: str = "fecha_scraping", row_id:
 def dedup_cascade(tagged: DataFrame, order: str = "fecha_scraping", row_id: str = ROW_ID) -> DataFrame:
     """Tag duplicates among the alive rows: duplicado_url, duplicado_id, duplicado_mismo_inmueble."""
     levels = cascade_levels(tagged.filter(rules.alive()), order, row_id)
+    if COPY in tagged.columns:
+        # copies of one row share its row_id; the one with the smallest copy number stands for it
+        firsts = (tagged.filter(rules.alive()).groupBy(row_id)
+                  .agg(F.min(COPY).alias("_first"), F.count(F.lit(1)).alias("_n")))
+        levels = firsts.join(levels, row_id, "left").select(row_id, "_lvl", "_first")
+        joined = tagged.join(levels, row_id, "left")
+        joined = joined.withColumn("_lvl", F.when(F.col(COPY) == F.col("_first"), F.col("_lvl"))).drop("_first")
+    else:
+        joined = tagged.join(levels, row_id, "left")
     lvl = F.col("_lvl")
     reason = (F.when(lvl.isNull(), F.lit("duplicado_url"))
               .when(lvl == 1, F.lit("duplicado_id"))
               .when(lvl == 2, F.lit("duplicado_mismo_inmueble")))
-    joined = tagged.join(levels, row_id, "left")
     return joined.withColumn(rules.REASON, F.when(rules.alive(), reason).otherwise(F.col(rules.REASON))).drop("_lvl")
 
 
 def keep_survivors(df: DataFrame, survivor_ids: DataFrame, row_id: str = ROW_ID) -> DataFrame:
-    return df.join(survivor_ids.select(row_id), row_id, "left_semi")
+    """The surviving rows, each once: copies of a row share its ``row_id``.  The copies are dropped where the join
+    has already put them together, so this adds no shuffle."""
+    return df.join(survivor_ids.select(row_id), row_id, "left_semi").dropDuplicates([row_id])
 
 
 def snapshot_merge(df: DataFrame, order: str = "fecha_scraping", row_id: str = ROW_ID) -> DataFrame:
     """Newest per (portal, id_aviso), then newest per url, on the merged snapshots."""
+    df = with_row_id(df, row_id)
     narrow = df.select(row_id, order, "portal", "id_aviso", "url")
     s1 = survivors(narrow, ["portal", "id_aviso"], order, row_id)
     s2 = survivors(s1, ["url"], order, row_id)
@@ -97,6 +122,7 @@ def snapshot_merge(df: DataFrame, order: str = "fecha_scraping", row_id: str = R
 
 def first_seen(df: DataFrame, order: str = "fecha_scraping", row_id: str = ROW_ID) -> DataFrame:
     """First row per key (url, else id) in arrival order; rows with neither key are dropped."""
+    df = with_row_id(df, row_id)
     key = F.coalesce(F.col("url"), F.col("id_aviso"))
     narrow = df.select(row_id, order, key.alias("_key")).filter(F.col("_key").isNotNull())
     s = survivors(narrow, ["_key"], order, row_id, newest=False)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import measures as M
+from .quantiles import exact_quantiles
 
 
 def rental_coverage(kept: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def with_coverage(rows: DataFrame, coverage: DataFrame, min_n: int = K.MIN_RENTA
 
 def area_median(df: DataFrame, value: str, by: str = "barrio", name: str = "_med") -> DataFrame:
     """J8/W4 as aggregate-then-join (a partition-wide window would put a hot area in one task)."""
-    return df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.median(value).alias(name))
+    return exact_quantiles(df.filter(F.col(by).isNotNull()), value, [0.5], [by], [name]).select(by, name)
 
 
 def baseline_band_error(rentals: DataFrame) -> DataFrame:
@@ -42,8 +43,8 @@ def baseline_band_error(rentals: DataFrame) -> DataFrame:
     j = rentals.join(med, "barrio").filter(F.col("_med").isNotNull())
     err = F.abs(F.col("_med") * F.col("sup_total_m2") - F.col("alquiler_usd_mes")) / F.col("alquiler_usd_mes")
     seg = M.right_closed_bins("sup_total_m2", K.SIZE_BINS, K.SIZE_LABELS)
-    return (j.select(seg.alias("segmento"), err.alias("_err")).filter(F.col("segmento").isNotNull())
-            .groupBy("segmento").agg(F.median("_err").alias("error_segmento")))
+    rows = j.select(seg.alias("segmento"), err.alias("_err")).filter(F.col("segmento").isNotNull())
+    return exact_quantiles(rows, "_err", [0.5], ["segmento"], ["error_segmento"]).drop("n")
 
 
 def with_band_error(rows: DataFrame, band_err: DataFrame, area: str = "sup_total_m2") -> DataFrame:

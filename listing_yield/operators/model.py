@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import measures as M
+from .quantiles import exact_quantiles, medians
 
 NUM = K.MODEL_NUMERIC
 CAT = K.MODEL_CATEGORICAL
@@ -111,6 +112,8 @@ def build_z(pdf: pd.DataFrame, layout: Layout) -> np.ndarray:
 
 # --------------------------------------------------------------------------- pass 1
 
+MAX_COLUMNS = 2000
+
 MODEL_COLS = ["fold", "y"] + NUM + CAT + FLAGS
 
 
@@ -125,12 +128,13 @@ def category_layout(rentals: DataFrame) -> Layout:
 
 def fold_medians(rentals: DataFrame, k: int = K.N_FOLDS) -> dict[int, dict[str, float]]:
     """Exact training medians for the full set and each fold complement, one aggregation."""
-    aggs = []
+    values = {}
     for c in NUM:
-        aggs.append(F.median(c).alias(f"{c}@{FULL}"))
+        values[f"{c}@{FULL}"] = F.col(c)
         for j in range(k):
-            aggs.append(F.median(F.when(F.col("fold") != j, F.col(c))).alias(f"{c}@{j}"))
-    row = rentals.agg(*aggs).collect()[0].asDict()
+            values[f"{c}@{j}"] = F.when(F.col("fold") != j, F.col(c))
+    rows = medians(rentals.select("fold", *NUM), values).collect()
+    row = rows[0].asDict() if rows else dict.fromkeys(values)
     out: dict[int, dict[str, float]] = {}
     for key, v in row.items():
         c, t = key.split("@")
@@ -162,15 +166,16 @@ def _gram_partials(layout: Layout, k: int):
     return fn
 
 
-def gram_by_fold(rentals: DataFrame, layout: Layout, k: int = K.N_FOLDS, max_parts: int = 1024):
-    """Per-fold sums; per-partition partials are reduced by a grouped sum (never collected raw)."""
-    src = rentals.select(*MODEL_COLS)
-    if src.rdd.getNumPartitions() > max_parts:
-        src = src.coalesce(max_parts)
-    part = src.mapInPandas(_gram_partials(layout, k), "fold int, stats array<double>")
+def gram_by_fold(rentals: DataFrame, layout: Layout, k: int = K.N_FOLDS):
+    """Per-fold sums; per-partition partials are reduced by a grouped sum (never collected raw).
+
+    The driver holds k matrices of p x p, so p has to stay under ``MAX_COLUMNS``."""
+    p = layout.p
+    if p > MAX_COLUMNS:
+        raise ValueError(f"{p} design columns; the normal equations are solved on the driver for {MAX_COLUMNS} at most")
+    part = rentals.select(*MODEL_COLS).mapInPandas(_gram_partials(layout, k), "fold int, stats array<double>")
     red = (part.select("fold", F.posexplode("stats").alias("pos", "v"))
            .groupBy("fold", "pos").agg(F.sum("v").alias("v")))
-    p = layout.p
     size = p * p + p + 2
     out = {j: np.zeros(size) for j in range(k)}
     for r in red.collect():  # k x (p^2 + p + 2) numbers
@@ -375,8 +380,9 @@ def smearing(oof: DataFrame) -> Column:
 
 def band_errors(oof: DataFrame) -> DataFrame:
     """Median relative error and n per size band (at most five rows)."""
-    return (oof.filter(F.col("segmento").isNotNull()).groupBy("segmento")
-            .agg(F.median("err_rel").alias("error_segmento"), F.count(F.lit(1)).alias("n")))
+    rows = oof.filter(F.col("segmento").isNotNull())
+    return exact_quantiles(rows, "err_rel", [0.5], ["segmento"], ["error_segmento"]).select(
+        "segmento", "error_segmento", "n")
 
 
 def score_sales(sales: DataFrame, layout: Layout, fits: dict[int, Fit], smear: Column,
@@ -461,11 +467,12 @@ def learning_curve(rentals: DataFrame, fractions=LEARNING_FRACTIONS, k: int = K.
         layout, fits = fit_all(sub, k)
         choose_alphas(sub, layout, fits)
         oof = with_oof(sub, layout, fits)
-        outs.append(oof.agg(
+        middle = exact_quantiles(oof, "err_rel", [0.5], names=["m"]).select("m").scalar()
+        one = oof.agg(
             F.lit(float(frac)).alias("fraccion"), F.count(F.lit(1)).alias("n"),
             F.round(1 - F.sum((F.col("y") - F.col("pred_log")) ** 2) / (F.count(F.lit(1)) * F.var_pop("y")), 6)
-            .alias("r2_log_oof"),
-            F.round(F.median("err_rel") * 100, 4).alias("err_mediano_pct")))
+            .alias("r2_log_oof"))
+        outs.append(one.select("*", F.round(middle * 100, 4).alias("err_mediano_pct")))
     res = outs[0]
     for o in outs[1:]:
         res = res.unionByName(o)

@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .quantiles import group_quantiles
+from .quantiles import exact_quantiles, group_quantiles
 
 
 def median_and_size(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """A1: median of ``value`` and group size (size counts rows with a NULL value too; NULL keys dropped)."""
-    return (df.filter(_all_not_null(by)).groupBy(*by)
-            .agg(F.median(value).alias("mediana"), F.count(F.lit(1)).alias("n")))
+    rows = df.filter(_all_not_null(by))
+    median = exact_quantiles(rows, value, [0.5], by, ["mediana"]).drop("n")
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).join(median, list(by), "left").select(
+        *by, "mediana", "n")
 
 
 def _all_not_null(cols):
@@ -55,9 +57,10 @@ def completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def numeric_profile(df: DataFrame, value: str = "precio_valor", by: str = "precio_moneda") -> DataFrame:
     """N, median, min, max of ``value`` per ``by`` (NULL keys and values skipped)."""
-    return (df.filter(F.col(by).isNotNull() & F.col(value).isNotNull())
-            .groupBy(by).agg(F.count(value).alias("n"), F.median(value).alias("mediana"),
-                             F.min(value).alias("minimo"), F.max(value).alias("maximo")))
+    rows = df.filter(F.col(by).isNotNull() & F.col(value).isNotNull())
+    median = exact_quantiles(rows, value, [0.5], [by], ["mediana"]).drop("n")
+    ends = rows.groupBy(by).agg(F.count(value).alias("n"), F.min(value).alias("minimo"), F.max(value).alias("maximo"))
+    return ends.join(median, by).select(by, "n", "mediana", "minimo", "maximo")
 
 
 def quantile_summary(df: DataFrame, value: str, probs: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95),
@@ -86,6 +89,11 @@ def histogram(df: DataFrame, value: str, bins: int = K.HIST_BINS) -> DataFrame:
                           F.round(F.col("mn") + F.col("bin") * w, 6).alias("hasta"), "n")
 
 
+def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in a stated order (a top-n per partition, then a merge)."""
+    return df.orderBy(*order).limit(n)
+
+
 def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
     """A19."""
     return df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
@@ -107,8 +115,8 @@ def stratum_coverage(kept: DataFrame, min_rentals: int = K.STRATUM_MIN_RENTALS)
     """Share of sales whose stratum holds >= min_rentals rentals, for three stratifications.
 
     Rental counts for all three stratifications come from one GROUPING SETS
-    aggregation; the per-stratum count table is bounded by the key domains
-    (areas x room counts), so it is broadcast to the sales.
+    aggregation; adaptive execution broadcasts the per-stratum counts where their
+    measured size allows.
     """
     keys = ["barrio", "comuna", "ambientes"]
     rentals = kept.filter(F.col("operacion") == "alquiler")
@@ -119,7 +127,7 @@ def stratum_coverage(kept: DataFrame, min_rentals: int = K.STRATUM_MIN_RENTALS)
     for i, (name, cols) in enumerate(STRATA.items()):
         gid = sum(1 << (len(keys) - 1 - k) for k, c in enumerate(keys) if c not in cols)
         side = counts.filter((F.col("gid") == gid) & (F.col("n_alq") >= min_rentals) & _all_not_null(cols))
-        j = j.join(F.broadcast(side.select(*cols, F.lit(1).alias(f"_ok{i}"))), cols, "left")
+        j = j.join(side.select(*cols, F.lit(1).alias(f"_ok{i}")), cols, "left")
     totals = j.agg(F.count(F.lit(1)).alias("n_ventas"),
                    *[F.count(f"_ok{i}").alias(name) for i, name in enumerate(STRATA)])
     long = totals.unpivot(["n_ventas"], list(STRATA), "estrato", "n_cubiertas")

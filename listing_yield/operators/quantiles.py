@@ -1,11 +1,13 @@
 """Grouped quantiles, the per-group quantile trim (F14) and the Tukey fence.
 
-Exact quantiles use Spark's ``percentile`` (linear interpolation, same as
-pandas' default and DuckDB's ``quantile_cont``).  It is partially aggregated
-map-side, but its per-group buffer is a value->count map, so it grows with the
-number of *distinct* values of a group.  The values trimmed here are rounded to
-cents, which bounds that map by the value range; for raw high-cardinality
-columns pass ``accuracy`` to switch to the bounded-memory ``percentile_approx``.
+Exact quantiles (linear interpolation, as pandas' default and DuckDB's ``quantile_cont``) in two bounded passes:
+
+1. a quantile sketch per group brackets each wanted rank between two values;
+2. one aggregation counts what lies below the bracket and the rows of each distinct value inside it, both combined
+   map-side, and the rank is picked from the running count inside the bracket.
+
+A bracket spans ``2 * MARGIN`` of a group's ranks (groups of up to ``SMALL`` rows are one bracket), so no task ever
+holds a group's values: Spark's ``percentile`` keeps a count for each distinct value of a group in one task.
 """
 
 from __future__ import annotations
@@ -14,30 +16,78 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import constants as K
 from . import rules
 
+ACCURACY = 10_000  # the sketch's ranks are off by n / ACCURACY at most
+SMALL = 10_000
+MARGIN = 2 / ACCURACY + 1 / SMALL
 
-def quantile_expr(value: str | Column, probs: Sequence[float], accuracy: int | None = None) -> Column:
-    v = F.col(value) if isinstance(value, str) else value
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    if accuracy:
-        return F.percentile_approx(v, arr, accuracy)
-    return F.percentile(v, arr)
+
+def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str] = (),
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """by, n, and one column per probability; NULL values are left out, NULL keys form a group."""
+    names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    keys = [f"_k{i}" for i in range(len(by))]
+    base = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], v.alias("_v")).filter(F.col("_v").isNotNull())
+    low = F.array(*[F.lit(max(0.0, p - MARGIN)) for p in probs])
+    high = F.array(*[F.lit(min(1.0, p + MARGIN)) for p in probs])
+    sketch = base.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", low, ACCURACY).alias("_lo"), F.percentile_approx("_v", high, ACCURACY).alias("_hi"))
+    whole = F.col("n") <= SMALL
+    sketch = sketch.filter(F.col("n") > 0).select(*keys, "n", F.array(*[F.struct(
+        F.lit(i).alias("i"), ((F.col("n") - 1) * F.lit(float(p))).alias("pos"),
+        F.when(whole, F.col("_min")).otherwise(F.col("_lo")[i]).alias("lo"),
+        F.when(whole, F.col("_max")).otherwise(F.col("_hi")[i]).alias("hi")) for i, p in enumerate(probs)]).alias("_b"))
+    if by:  # adaptive execution broadcasts the brackets where their measured size allows
+        side = sketch.select(*[F.col(k).alias(f"_o{k}") for k in keys], "n", "_b")
+        on = F.col(keys[0]).eqNullSafe(F.col(f"_o{keys[0]}"))
+        for k in keys[1:]:
+            on = on & F.col(k).eqNullSafe(F.col(f"_o{k}"))
+        rows = base.join(side, on)
+    else:  # one row: a scalar subquery
+        one = sketch.select(F.struct("n", "_b").alias("s")).scalar()
+        rows = base.select("_v", one.alias("_s")).select("_v", F.col("_s.n").alias("n"), F.col("_s._b").alias("_b"))
+    hits = F.filter(F.col("_b"), lambda x: F.col("_v") <= x["hi"])
+    rows = rows.select(*keys, "n", "_v", F.explode(hits).alias("_x"))
+    counts = (rows.groupBy(*keys, "n", "_x", F.when(F.col("_v") >= F.col("_x.lo"), F.col("_v")).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "_x").orderBy(F.col("_v").asc_nulls_first()))
+    counts = counts.withColumn("_upto", upto)
+    at = lambda r: F.max(F.when((F.col("_upto") - F.col("_c") <= r) & (r < F.col("_upto")), F.col("_v")))
+    pos = F.col("_x.pos")
+    picked = counts.groupBy(*keys, "n", "_x").agg(at(F.floor(pos)).alias("_a"), at(F.ceil(pos)).alias("_z"))
+    q = F.when(F.col("_a") == F.col("_z"), F.col("_a")).otherwise(
+        (F.ceil(pos) - pos) * F.col("_a") + (pos - F.floor(pos)) * F.col("_z"))
+    out = picked.groupBy(*keys, "n").agg(*[F.max(F.when(F.col("_x.i") == i, q)).alias(c) for i, c in enumerate(names)])
+    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, by)], "n", *names)
+
+
+def medians(df: DataFrame, values: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """by and one exact median per named value, in one pair of passes; a group without any value has no row."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("_name"), v.cast("double").alias("_value"))
+                                for k, v in values.items()])).alias("_p")
+    long = df.select(*by, pairs).select(*by, "_p.*")
+    got = exact_quantiles(long, "_value", [0.5], [*by, "_name"], ["_median"])
+    return got.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == k, F.col("_median"))).alias(k) for k in values])
 
 
 def group_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str] = (),
                     names: Sequence[str] | None = None, accuracy: int | None = None,
                     with_count: bool = False) -> DataFrame:
+    """Exact quantiles per group, or the sketch alone where ``accuracy`` is given."""
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
+    if not accuracy:
+        return exact_quantiles(df, value, probs, by, names).select(*by, *(["n"] if with_count else []), *names)
     v = F.col(value) if isinstance(value, str) else value
-    aggs = [quantile_expr(v, probs, accuracy).alias("_q")]
-    if with_count:
-        aggs.append(F.count(v).alias("n"))
+    aggs = [F.percentile_approx(v, F.array(*[F.lit(float(p)) for p in probs]), accuracy).alias("_q"),
+            F.count(v).alias("n")]
     grouped = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    keep = list(by) + (["n"] if with_count else [])
-    return grouped.select(*keep, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return grouped.select(*by, *(["n"] if with_count else []), *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
 TRIM_TARGETS = (("venta", "venta_m2_usd"), ("alquiler", "alquiler_m2_usd_mes"))
@@ -82,15 +132,15 @@ def quantile_trim(tagged: DataFrame, mode: str = "moderado", min_n: int = K.TRIM
 
 
 def tukey_filter(df: DataFrame, value: str, by: Sequence[str] = (), k: float = 1.5,
-                 accuracy: int | None = None, broadcast_stats: bool = True) -> DataFrame:
-    """keep rows with q1 - k*iqr <= value <= q3 + k*iqr (NULL values drop out)."""
+                 accuracy: int | None = None) -> DataFrame:
+    """keep rows with q1 - k*iqr <= value <= q3 + k*iqr (NULL values drop out).  The table of fences has a row
+    per group; adaptive execution broadcasts it where its measured size allows."""
     stats = group_quantiles(df.filter(F.col(value).isNotNull()), value, [0.25, 0.75], by,
                             ["_q1", "_q3"], accuracy)
     stats = stats.select(*by, (F.col("_q1") - (F.col("_q3") - F.col("_q1")) * k).alias("_lo"),
                          (F.col("_q3") + (F.col("_q3") - F.col("_q1")) * k).alias("_hi"))
     if by:
-        side = F.broadcast(stats) if broadcast_stats else stats
-        j = df.join(side, list(by), "inner")
+        j = df.join(stats, list(by), "inner")
         return j.filter((F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi"))).drop("_lo", "_hi")
     lo, hi = stats.select("_lo").scalar(), stats.select("_hi").scalar()  # one-row scalar subqueries
     return df.filter((F.col(value) >= lo) & (F.col(value) <= hi))

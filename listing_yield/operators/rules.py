@@ -110,3 +110,16 @@ def tally(tagged: DataFrame) -> DataFrame:
     return (per.withColumn("n_input", total)
             .filter(F.col(REASON).isNotNull())
             .select(REASON, "n", F.round(F.col("n") / F.col("n_input") * 100, 4).alias("pct_input")))
+
+
+def range_filter(df: DataFrame, ranges: dict[str, tuple] | None = None, equals: dict[str, object] | None = None,
+                 contains: dict[str, str] | None = None) -> DataFrame:
+    """F16: rows within closed ranges, equal to values, and holding substrings (any letter case); NULL fails."""
+    cond = F.lit(True)
+    for c, (lo, hi) in (ranges or {}).items():
+        cond = cond & F.col(c).between(lo, hi)
+    for c, v in (equals or {}).items():
+        cond = cond & (F.col(c) == F.lit(v))
+    for c, v in (contains or {}).items():
+        cond = cond & F.contains(F.lower(F.col(c)), F.lit(v.lower()))
+    return df.filter(cond)

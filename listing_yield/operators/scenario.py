@@ -19,12 +19,14 @@ def what_if(props: DataFrame, bundle: dict, vacancy_pct: float = K.VACANCY_PCT,
             costs_pct: float = K.OWNER_COSTS_PCT, market_median: float | None = None) -> DataFrame:
     """Columns in: barrio, m2, ambientes, dormitorios, banos, antiguedad, tipo, venta (optional), flags.
 
-    Rows whose area the model does not know are rejected (as the original does).
+    Rows whose area the model does not know get no estimate and the reason ``barrio_desconocido`` in
+    ``motivo_rechazo`` (NULL elsewhere).
     The market median gross yield is computed from the scored sales unless given.
     """
     layout, fits = bundle["layout"], bundle["fits"]
     known = layout.categories["barrio"]
-    d = props.filter(F.col("barrio").isin(known))
+    reject = F.when(~F.coalesce(F.col("barrio").isin(known), F.lit(False)), F.lit("barrio_desconocido"))
+    d = props.withColumn("motivo_rechazo", reject)
     d = d.withColumns({
         "log_sup": F.when(F.col("m2") > 0, F.log("m2")),
         "antiguedad_anios": F.col("antiguedad"),
@@ -33,6 +35,7 @@ def what_if(props: DataFrame, bundle: dict, vacancy_pct: float = K.VACANCY_PCT,
     for c in K.MODEL_FLAGS:
         d = d.withColumn(c, F.coalesce(F.col(c).cast("int"), F.lit(0)))
     rent = F.exp(model.full_prediction(layout, fits)) * F.lit(bundle["smear"])
+    rent = F.when(F.col("motivo_rechazo").isNull(), rent)
     d = d.withColumn("alquiler", rent).withColumn("alquiler_m2", F.try_divide(F.col("alquiler"), F.col("m2")))
     band = bundle["band"]
     dflt = band.agg(F.median("error_segmento")).scalar()
@@ -55,6 +58,8 @@ def what_if(props: DataFrame, bundle: dict, vacancy_pct: float = K.VACANCY_PCT,
     bruta = F.try_divide(F.col("alquiler") * 12, F.col("venta")) * 100
     d = d.withColumn("rent_bruta_pct", F.when(F.col("venta") > 0, bruta))
     d = d.withColumns({
+        "rent_bruta_min": F.try_divide(F.col("min") * 12, F.when(F.col("venta") > 0, F.col("venta"))) * 100,
+        "rent_bruta_max": F.try_divide(F.col("max") * 12, F.when(F.col("venta") > 0, F.col("venta"))) * 100,
         "rent_neta_pct": F.col("rent_bruta_pct") * (1 - vacancy_pct / 100) * (1 - costs_pct / 100),
         "meses_repago": F.try_divide(F.col("venta"), F.col("alquiler")),
         "veredicto": (F.when(F.col("rent_bruta_pct").isNull(), F.lit(None))
@@ -63,7 +68,7 @@ def what_if(props: DataFrame, bundle: dict, vacancy_pct: float = K.VACANCY_PCT,
                       .otherwise(F.lit("en_linea"))),
     })
     keep = ["barrio", "m2", "alquiler", "alquiler_m2", "segmento", "error", "min", "max", "referencia_barrio",
-            "dif_referencia_pct", "n_alq_barrio", "confiable", "rent_bruta_pct", "rent_neta_pct",
-            "meses_repago", "veredicto"]
+            "dif_referencia_pct", "n_alq_barrio", "confiable", "rent_bruta_pct", "rent_bruta_min", "rent_bruta_max",
+            "rent_neta_pct", "meses_repago", "veredicto", "motivo_rechazo"]
     extra = [c for c in ("row_id",) if c in props.columns]
     return d.select(*extra, *keep)

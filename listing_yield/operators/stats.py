@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .quantiles import exact_quantiles
+
 
 def average_rank(value: str) -> Column:
     """Rank with ties averaged (pandas ``rank(method='average')``), over the whole input.
@@ -36,13 +38,15 @@ def regression_metrics(df: DataFrame, y_log: str, pred_log: str, real: str, est:
     R2 = 1 - SS_res / SS_tot with SS_tot = n * var_pop(y): both from one aggregation.
     """
     err = F.abs(F.col(est) - F.col(real)) / F.col(real)
-    return df.agg(
+    median = exact_quantiles(df, err, [0.5], names=["m"]).select("m").scalar()
+    one = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.round(1 - F.sum((F.col(y_log) - F.col(pred_log)) ** 2)
                 / (F.count(F.lit(1)) * F.var_pop(y_log)), 6).alias("r2_log"),
-        F.round(F.median(err) * 100, 4).alias("err_mediano_pct"),
         F.round(F.avg(err) * 100, 4).alias("err_medio_pct"),
         F.round(F.avg((err < 0.10).cast("double")) * 100, 4).alias("pct_err_lt_10"),
         F.round(F.avg((err < 0.20).cast("double")) * 100, 4).alias("pct_err_lt_20"),
         F.round(F.avg((err > 0.50).cast("double")) * 100, 4).alias("pct_err_gt_50"),
     )
+    return one.select("n", "r2_log", F.round(median * 100, 4).alias("err_mediano_pct"), "err_medio_pct",
+                      "pct_err_lt_10", "pct_err_lt_20", "pct_err_gt_50")

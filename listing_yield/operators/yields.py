@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import measures as M
+from .quantiles import medians
 
 
 def control_yield_by_area(kept: DataFrame, min_n: int = K.CONTROL_MIN_N) -> DataFrame:
@@ -18,12 +19,11 @@ def control_yield_by_area(kept: DataFrame, min_n: int = K.CONTROL_MIN_N) -> Data
     """
     rent = F.col("operacion") == "alquiler"
     sale = F.col("operacion") == "venta"
-    g = (kept.filter(F.col("barrio").isNotNull())
-         .groupBy("barrio")
-         .agg(F.count(F.when(rent, F.lit(1))).alias("n_alq"),
-              F.count(F.when(sale, F.lit(1))).alias("n_vta"),
-              F.median(F.when(rent, F.col("alquiler_usd_mes"))).alias("_alq"),
-              F.median(F.when(sale, F.col("venta_usd"))).alias("_vta")))
+    rows = kept.filter(F.col("barrio").isNotNull()).select("barrio", "operacion", "alquiler_usd_mes", "venta_usd")
+    g = rows.groupBy("barrio").agg(F.count(F.when(rent, F.lit(1))).alias("n_alq"),
+                                   F.count(F.when(sale, F.lit(1))).alias("n_vta"))
+    g = g.join(medians(rows, {"_alq": F.when(rent, F.col("alquiler_usd_mes")),
+                              "_vta": F.when(sale, F.col("venta_usd"))}, ["barrio"]), "barrio", "left")
     return (g.filter((F.col("n_alq") >= min_n) & (F.col("n_vta") >= min_n))
             .select("barrio", "n_alq", "n_vta",
                     F.round("_alq", 4).alias("alq_usd"),
@@ -54,11 +54,8 @@ def yield_band(df: DataFrame, error: str = "error_estimacion") -> DataFrame:
 def area_ranking(scored: DataFrame, min_sales: int = K.RANKING_MIN_SALES) -> DataFrame:
     """M9 (A2, F19, O1): reliable estimates only, areas with >= min_sales, by median gross yield."""
     ok = scored.filter(F.col("estimacion_confiable") == 1).filter(F.col("barrio").isNotNull())
-    g = ok.groupBy("barrio").agg(
-        F.count(F.lit(1)).alias("n_ventas"),
-        F.median("venta_usd").alias("venta_med"),
-        F.median("venta_m2_usd").alias("venta_m2"),
-        F.median("alquiler_est_usd_mes").alias("alq_est"),
-        F.median("rent_bruta_pct").alias("rent_bruta"),
-        F.median("rent_neta_pct").alias("rent_neta"))
+    middle = medians(ok, {"venta_med": F.col("venta_usd"), "venta_m2": F.col("venta_m2_usd"),
+                          "alq_est": F.col("alquiler_est_usd_mes"), "rent_bruta": F.col("rent_bruta_pct"),
+                          "rent_neta": F.col("rent_neta_pct")}, ["barrio"])
+    g = ok.groupBy("barrio").agg(F.count(F.lit(1)).alias("n_ventas")).join(middle, "barrio", "left")
     return g.filter(F.col("n_ventas") >= min_sales).orderBy(F.col("rent_bruta").desc_nulls_last(), "barrio")

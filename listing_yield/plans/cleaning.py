@@ -90,12 +90,13 @@ def tag_until(listings: DataFrame, step: int = 5, fx: float = K.DEFAULT_FX,
     df = listings
     if "precio_m2" not in df.columns:
         df = df.withColumn("precio_m2", M.price_per_m2_guarded("precio_valor", "sup_total_m2"))
-    df = rules.start(df)
+    df = dedup.with_row_id(rules.start(df))
     df = apply_corrections(df, to_rent, to_ars, bad_area)       # 1
     df = rules.residential_rule(df)                              # 2
+    df = df.withColumn(dedup.COPY, F.monotonically_increasing_id())
     if cut:
-        df = materialize(df, "step2")
-    df = dedup.dedup_cascade(df)                                 # 3
+        df = materialize(df, "step2")                            # also fixes the copy numbers
+    df = dedup.dedup_cascade(df).drop(dedup.COPY)                # 3
     if step >= 4:
         df = rules.impossible_values_rules(df)                   # 4
     if step >= 5:
@@ -129,9 +130,8 @@ def implied_fx(listings_alive: DataFrame, fx: float = K.DEFAULT_FX) -> DataFrame
     """
     rent = listings_alive.filter((F.col("operacion") == "alquiler") & (F.col("sup_total_m2") > 0))
     pm2 = F.col("precio_valor") / F.col("sup_total_m2")
-    med = rent.agg(
-        F.median(F.when(F.col("precio_moneda") == "ARS", pm2)).alias("m_ars"),
-        F.median(F.when(F.col("precio_moneda") == "USD", pm2)).alias("m_usd"))
+    med = quantiles.medians(rent, {"m_ars": F.when(F.col("precio_moneda") == "ARS", pm2),
+                                   "m_usd": F.when(F.col("precio_moneda") == "USD", pm2)})
     implied = F.try_divide(F.col("m_ars"), F.when(F.col("m_usd") != 0, F.col("m_usd")))
     gap = (F.try_divide(F.lit(fx), F.when(F.col("tc_implicito") != 0, F.col("tc_implicito"))) - 1) * 100
     return (med.select(F.lit(float(fx)).alias("tc_usado"), F.round(implied, 6).alias("tc_implicito"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import measures as M
-from ..operators import dedup, rules, yields
+from ..operators import dedup, quantiles, rules, yields
 from ..sources import adapter
 from . import cleaning
 from ..session import materialize
@@ -34,11 +34,26 @@ def register(name: str, oracle: str | None = None):
 
 
 _LISTINGS: dict = {}
+INPUTS = ("lineitem", "part", "supplier", "nation")
+
+
+def input_identity(spark, sf_dir, tables=INPUTS) -> tuple:
+    """Session, path, and the size and modification time of the tables' files: a changed input is read anew."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = path.getFileSystem(conf)
+        top = fs.getFileStatus(path)
+        files = fs.listStatus(path) if top.isDirectory() else [top]
+        seen += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+    return (spark.sparkContext.applicationId, sf_dir, tuple(sorted(seen)))
 
 
 def _listings(spark, sf_dir):
-    """The listing view, written once per (session, input) and read by every query after."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The listing view, written once per (session, input files) and read by every query after."""
+    key = input_identity(spark, sf_dir)
     if key not in _LISTINGS:
         _LISTINGS[key] = materialize(adapter.listings(spark, sf_dir), "listings")
     return _LISTINGS[key]
@@ -53,7 +68,7 @@ def _tagged(spark, sf_dir, **kw):
     Like the original workflow (clean once, every report reads the cleaned
     table), later queries on the same input read the written table.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
+    key = (*input_identity(spark, sf_dir), tuple(sorted(kw.items())))
     if key not in _CLEANED:
         _CLEANED[key] = materialize(cleaning.tag_listings(_listings(spark, sf_dir), **kw), "tagged")
     return _CLEANED[key]
@@ -206,11 +221,11 @@ def fx_scenarios(alive_rows: DataFrame, scenarios=FX_SCENARIOS) -> DataFrame:
     df = (alive_rows.filter(F.col("barrio").isNotNull())
           .select("barrio", "operacion", "precio_valor", "precio_moneda", sc.alias("s"))
           .select("barrio", "operacion", "s.*", M.to_usd("precio_valor", "precio_moneda", F.col("s.tc")).alias("usd")))
-    g = df.groupBy("tc", "vacancia", "gastos", "barrio").agg(
-        F.count(F.when(F.col("operacion") == "alquiler", 1)).alias("n_alq"),
-        F.count(F.when(F.col("operacion") == "venta", 1)).alias("n_vta"),
-        F.median(F.when(F.col("operacion") == "alquiler", F.col("usd"))).alias("_alq"),
-        F.median(F.when(F.col("operacion") == "venta", F.col("usd"))).alias("_vta"))
+    keys = ["tc", "vacancia", "gastos", "barrio"]
+    rent, sale = F.col("operacion") == "alquiler", F.col("operacion") == "venta"
+    g = df.groupBy(*keys).agg(F.count(F.when(rent, 1)).alias("n_alq"), F.count(F.when(sale, 1)).alias("n_vta"))
+    g = g.join(quantiles.medians(df, {"_alq": F.when(rent, F.col("usd")), "_vta": F.when(sale, F.col("usd"))}, keys),
+               keys, "left")
     g = g.filter((F.col("n_alq") >= K.CONTROL_MIN_N) & (F.col("n_vta") >= K.CONTROL_MIN_N))
     g = g.withColumn("rent_bruta_pct", M.gross_yield("_alq", "_vta"))
     return g.select("tc", "vacancia", "gastos", "barrio", "n_alq", "n_vta", "rent_bruta_pct",

@@ -18,7 +18,8 @@ from ..functions import measures as M
 from ..operators import lookups, model, stats, yields
 from ..session import materialize
 from . import oracles as O
-from .queries import ORACLES, _kept, register
+from ..operators.quantiles import exact_quantiles, medians
+from .queries import ORACLES, _kept, input_identity, register
 
 FOLD_SQL = "CAST(('0x' || substr(md5(row_id), 1, 7)) AS BIGINT) % 5"
 
@@ -107,8 +108,8 @@ def q_baseline_error(spark, sf_dir):
     bl = (r.join(med, "barrio").filter(F.col("_med").isNotNull())
           .select((F.abs(F.col("_med") * F.col("sup_total_m2") - F.col("alquiler_usd_mes"))
                    / F.col("alquiler_usd_mes")).alias("e")))
-    base = bl.agg(F.median("e")).scalar()
-    mod = oof.agg(F.median("err_rel")).scalar()
+    base = exact_quantiles(bl, "e", [0.5], names=["m"]).select("m").scalar()
+    mod = exact_quantiles(oof, "err_rel", [0.5], names=["m"]).select("m").scalar()
     one = oof.agg(F.count(F.lit(1)).alias("_n"))
     return one.select(F.round(base * 100, 4).alias("err_base_mediano_pct"),
                       F.round(mod * 100, 4).alias("err_modelo_mediano_pct"),
@@ -123,7 +124,7 @@ _BUNDLES: dict = {}
 def ridge_bundle(spark, sf_dir):
     """Fit once per (session, input) and keep the bundle (S13), like the saved model the
     what-if scorer loads; every row-level intermediate is a materialized table."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_identity(spark, sf_dir)
     if key in _BUNDLES:
         return _BUNDLES[key]
     kept = materialize(_kept(spark, sf_dir), "kept")
@@ -143,7 +144,8 @@ def ridge_bundle(spark, sf_dir):
     scored = materialize(model.score_sales(sales, layout, fits, F.lit(smear), coverage, band_df), "scored")
     b["scored"] = scored
     # market median gross yield over reliable estimates (the original hard-codes it)
-    b["market"] = scored.filter(F.col("estimacion_confiable") == 1).agg(F.median("rent_bruta_pct")).scalar()
+    b["market"] = exact_quantiles(scored.filter(F.col("estimacion_confiable") == 1), "rent_bruta_pct", [0.5],
+                                  names=["m"]).select("m").scalar()
     _BUNDLES[key] = b
     return b
 
@@ -188,13 +190,19 @@ def q_yield_summary(spark, sf_dir):
     s = scored_sales(spark, sf_dir)
     ok = s.filter(F.col("estimacion_confiable") == 1)
     err = s.agg(F.avg("error_estimacion")).scalar()
-    return ok.agg(F.count(F.lit(1)).alias("n_confiables"),
-                  F.median("rent_bruta_pct").alias("rent_bruta_mediana"),
-                  F.percentile("rent_bruta_pct", 0.25).alias("rent_bruta_p25"),
-                  F.percentile("rent_bruta_pct", 0.75).alias("rent_bruta_p75"),
-                  F.median("rent_neta_pct").alias("rent_neta_mediana"),
-                  F.median("meses_repago").alias("meses_repago_mediana")).select(
-        "*", F.round(err * 100, 4).alias("error_ponderado_pct"))
+    return yield_summary(ok).withColumn("error_ponderado_pct", F.round(err * 100, 4))
+
+
+def yield_summary(ok):
+    """Reliable estimates: their number, median and quartiles of the gross yield, medians of net yield and payback."""
+    gross = exact_quantiles(ok, "rent_bruta_pct", [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
+    rest = medians(ok, {"neta": F.col("rent_neta_pct"), "meses": F.col("meses_repago")})
+    one = ok.agg(F.count(F.lit(1)).alias("n_confiables"))
+    return one.select("n_confiables", gross.select("p50").scalar().alias("rent_bruta_mediana"),
+                      gross.select("p25").scalar().alias("rent_bruta_p25"),
+                      gross.select("p75").scalar().alias("rent_bruta_p75"),
+                      rest.select("neta").scalar().alias("rent_neta_mediana"),
+                      rest.select("meses").scalar().alias("meses_repago_mediana"))
 
 
 @register("coef_effects")
@@ -239,11 +247,13 @@ def q_learning_curve(spark, sf_dir):
 
 @register("net_yield_by_band")
 def q_net_yield_by_band(spark, sf_dir):
-    """Median net yield per area band of the reliable estimates (one pass), with the
-    filtered mean sale price of the same rows."""
-    s = scored_sales(spark, sf_dir).filter(F.col("estimacion_confiable") == 1)
-    band = M.right_closed_bins("sup_total_m2", K.AREA_BINS, K.AREA_LABELS)
-    return (s.withColumn("superficie_rango", band).filter(F.col("superficie_rango").isNotNull())
-            .groupBy("superficie_rango")
-            .agg(F.count(F.lit(1)).alias("n"), F.median("rent_neta_pct").alias("rent_neta_mediana"),
-                 F.round(F.avg("venta_usd"), 2).alias("venta_media")))
+    """Median net yield per size band over all scored sales."""
+    return net_yield_by_band(scored_sales(spark, sf_dir))
+
+
+def net_yield_by_band(scored):
+    band = M.right_closed_bins("sup_total_m2", K.SIZE_BINS, K.SIZE_LABELS)
+    rows = scored.select(band.alias("segmento"), "rent_neta_pct").filter(F.col("segmento").isNotNull())
+    middle = exact_quantiles(rows, "rent_neta_pct", [0.5], ["segmento"], ["rent_neta_mediana"]).drop("n")
+    return (rows.groupBy("segmento").agg(F.count(F.lit(1)).alias("n")).join(middle, "segmento", "left")
+            .select("segmento", "n", "rent_neta_mediana"))

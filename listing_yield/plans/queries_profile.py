@@ -180,7 +180,8 @@ def q_spearman_price_yield(spark, sf_dir):
     kept = _kept(spark, sf_dir)
     ctrl = yields.control_yield_by_area(kept)
     m2 = (kept.filter((F.col("operacion") == "venta") & F.col("barrio").isNotNull())
-          .groupBy("barrio").agg(F.median("venta_m2_usd").alias("venta_m2")))
+          )
+    m2 = quantiles.exact_quantiles(m2, "venta_m2_usd", [0.5], ["barrio"], ["venta_m2"]).select("barrio", "venta_m2")
     groups = ctrl.join(m2, "barrio")  # both one row per area
     return stats.spearman(groups, "venta_m2", "rent_bruta_pct")
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import constants as K
 from ..operators import dedup, rules
-from ..session import ensure_checkpoint_dir, read_table
+from ..session import ensure_checkpoint_dir, materialize, read_table
 from ..sources import files, payloads
 from ..streaming import ingest
 from . import oracles as O
@@ -40,10 +41,10 @@ def q_stream_dedup(spark, sf_dir):
 def q_stream_master(spark, sf_dir):
     land = _scratch(spark, "landing")
     lst = _listings(spark, sf_dir)
-    # one landed file per portal snapshot
-    lst.repartition(F.col("portal")).write.mode("overwrite").parquet(land)
+    # several snapshots land; each micro-batch takes two files
+    lst.repartition(6, "row_id").write.mode("overwrite").parquet(land)
     schema = spark.read.parquet(land).schema
-    s = ingest.landed_stream(spark, land, schema, "parquet", max_files=1)
+    s = ingest.landed_stream(spark, land, schema, "parquet", max_files=2)
     m = ingest.master_stream(s, _scratch(spark, "history"), _scratch(spark, "master"), _scratch(spark, "metrics"))
     return m.select("row_id", "portal", "id_aviso", "url")
 
@@ -77,7 +78,7 @@ def q_snapshot_files(spark, sf_dir):
     schema = files.listing_schema([("row_id", T.StringType())])
     base = files.project_to_schema(lst, schema)
     # portal 'pa' lands as CSV, the others as Parquet; a checkpoint-named file must be skipped
-    (base.filter(F.col("portal") == "pa").coalesce(1).write.mode("overwrite")
+    (base.filter(F.col("portal") == "pa").write.mode("overwrite")
      .options(header=True, escape='"').csv(root + "/csv"))
     base.filter(F.col("portal") != "pa").write.mode("overwrite").parquet(root + "/pq")
     land = root + "/land"
@@ -138,7 +139,7 @@ def q_payload_roundtrip(spark, sf_dir):
             .otherwise(arr))
     path = _scratch(spark, "pages")
     grouped.select(text.alias("value")).write.mode("overwrite").text(path)
-    items = payloads.read_listing_pages(spark, path)
+    items = materialize(payloads.read_listing_pages(spark, path), "items")  # parsed once, read per operation
     out = payloads.parse_items(items, "venta").unionByName(payloads.parse_items(items, "alquiler"))
     return out.select("id_aviso", "url", "operacion", "precio_valor", "precio_moneda", "sup_total_m2",
                       "ambientes", "barrio_raw", "latitud")
@@ -148,7 +149,7 @@ def q_payload_roundtrip(spark, sf_dir):
 
 @register("run_metrics", O.with_clean("""
 SELECT CASE motivo_exclusion """ + " ".join(
-    f"WHEN {O.q(r)} THEN {i + 1}" for i, r in enumerate(__import__('listing_yield.constants', fromlist=['REASONS']).REASONS)
+    f"WHEN {O.q(r)} THEN {i + 1}" for i, r in enumerate(K.REASONS)
 ) + """ ELSE 99 END AS paso, motivo_exclusion AS regla, count(*) AS n
 FROM tagged WHERE motivo_exclusion IS NOT NULL GROUP BY motivo_exclusion
 UNION ALL SELECT 0, 'entrada', count(*) FROM tagged

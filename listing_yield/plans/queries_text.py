@@ -152,9 +152,12 @@ def _area_sql():
     t = norm_sql("text")
     for noise in K.AREA_NOISE:
         t = f"replace({t}, {O.q(noise)}, ' ')"
+    # aliases before names, longer before shorter, then in listed order
+    listed = [(0, -len(a), i, a, n) for i, (a, n) in enumerate(K.AREA_ALIASES.items())]
+    listed += [(1, -len(n), i, n, n) for i, n in enumerate(K.AREA_DISTRICT)]
     whens = " ".join(
         f"WHEN contains(t, {O.q(p)}) AND regexp_matches(t, {O.q('(^|[^\\pL\\pN_])' + re.escape(p) + '([^\\pL\\pN_]|$)')}) "
-        f"THEN {O.q(target)}" for p, target in areas.PATTERNS)
+        f"THEN {O.q(target)}" for _, _, _, p, target in sorted(listed))
     dist = " ".join(f"WHEN {O.q(k)} THEN {v}" for k, v in K.AREA_DISTRICT.items())
     return f"""
 SELECT doc_id, barrio, CAST(CASE barrio {dist} END AS INTEGER) AS comuna FROM (

@@ -2,23 +2,12 @@
 
 from __future__ import annotations
 
+from . import queries, queries_model, queries_more, queries_profile, queries_stream, queries_text  # noqa: F401
 
-def _load():
-    from . import queries  # noqa: F401  (registers on import)
-    for mod in ("queries_profile", "queries_text", "queries_model", "queries_stream"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if mod not in str(e):
-                raise
-    return queries
 
-
-def queries():
-    q = _load()
-    return dict(q.QUERIES)
+def all_queries():
+    return dict(queries.QUERIES)
 
 
 def oracle_sql():
-    q = _load()
-    return {k: v for k, v in q.ORACLES.items() if k in q.QUERIES}
+    return {k: v for k, v in queries.ORACLES.items() if k in queries.QUERIES}

@@ -13,6 +13,9 @@ for _v in ("OPENBLAS_NUM_THREADS", "OMP_NUM_THREADS", "MKL_NUM_THREADS"):
 from pyspark.sql import SparkSession
 
 
+SPREAD = "listing_yield.spread"  # number of partitions for the single-row-group test files
+
+
 def build_session(app: str = "listing_yield", cpus: int | str = "*",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster use the cluster's session."""
@@ -25,6 +28,7 @@ def build_session(app: str = "listing_yield", cpus: int | str = "*",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(SPREAD, str(parts))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LY_DRIVER_MEMORY", "12g"))
@@ -76,17 +80,13 @@ def materialize(df, label: str = "stage"):
 
 
 def spread(df):
-    """Spread an input that arrives in far fewer splits than there are cores.
+    """``df`` itself, unless the session was built for the small test files (``build_session``).
 
-    Large inputs come in many files/row groups and are left alone (no extra
-    shuffle); a single-split input (one small file with one row group) would
-    otherwise run every row-local step in one task.
+    Those are single Parquet row groups, which one task would read and parse; a local test or bench session deals
+    them out over its cores.  A cluster session never does.
     """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= target:
-        return df.repartition(target)
-    return df
+    n = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(n)) if n else df
 
 
 _SHIPPED: set = set()

@@ -46,30 +46,75 @@ def with_default_flags(df: DataFrame, flags: Sequence[str] = K.MODEL_FLAGS) -> D
     return df.withColumns({c: F.lit(0) for c in flags if c not in df.columns})
 
 
-def read_csv(spark: SparkSession, paths, schema: T.StructType = LISTING_SCHEMA) -> DataFrame:
-    """Header, UTF-8 (a BOM is skipped), quoted text with embedded commas/newlines/quotes."""
+BAD_RECORD = "_registro_malo"
+
+
+def read_csv(spark: SparkSession, paths, schema: T.StructType = LISTING_SCHEMA, multi_line: bool = True,
+             bad_records: bool = False) -> DataFrame:
+    """Header, UTF-8 (a BOM is skipped), quoted text with embedded commas/newlines/quotes.
+
+    With ``multi_line`` a file is one task, whatever its size: write many bounded files, or pass False for files
+    known to hold no line feed inside a field (those are split).  ``bad_records`` adds the text of each record that
+    doesn't fit the schema as ``_registro_malo`` (NULL for good records).
+    """
+    if bad_records:
+        schema = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType(), True)])
     return (spark.read.schema(schema)
-            .options(header=True, multiLine=True, escape='"', quote='"', encoding="UTF-8", mode="PERMISSIVE")
+            .options(header=True, multiLine=multi_line, escape='"', quote='"', encoding="UTF-8", mode="PERMISSIVE",
+                     columnNameOfCorruptRecord=BAD_RECORD)
             .csv(paths))
 
 
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of a folder's files (Hadoop file system); an absent folder has none, any other failure is raised."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(path))
+
+
 def read_snapshots(spark: SparkSession, folder: str, schema: T.StructType = LISTING_SCHEMA,
-                   exclude_prefixes: Sequence[str] = ("_checkpoint", "dataset_maestro")) -> DataFrame:
-    """Every CSV *and* Parquet snapshot in a folder (names with excluded prefixes skipped),
-    union by name; a malformed CSV row is kept with NULLs rather than failing the read."""
-    def keep(df):
-        name = F.col("_metadata.file_name")
-        cond = F.lit(True)
-        for p in exclude_prefixes:
-            cond = cond & ~name.startswith(p)
-        return df.filter(cond)
-
-    csv = keep(read_csv(spark, folder + "/*.csv", schema).select("*", "_metadata.file_name"))
-    try:
-        pq = keep(spark.read.schema(schema).parquet(folder + "/*.parquet").select("*", "_metadata.file_name"))
-    except Exception:  # no parquet snapshot present
-        return csv.drop("file_name")
-    return csv.unionByName(pq, allowMissingColumns=True).drop("file_name")
+                   exclude_prefixes: Sequence[str] = ("_checkpoint", "dataset_maestro"),
+                   bad_records: bool = False) -> DataFrame:
+    """Every CSV *and* Parquet snapshot in a folder (names with excluded prefixes skipped), union by name.
+
+    A malformed CSV record keeps its row (``bad_records`` shows its text); a Parquet file that can't be read is
+    skipped and named by ``unreadable_snapshots``.
+    """
+    paths = snapshot_paths(spark, folder, exclude_prefixes)
+    frames = []
+    if paths["csv"]:
+        frames.append(read_csv(spark, paths["csv"], schema, bad_records=bad_records))
+    if paths["parquet"]:
+        frames.append(spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths["parquet"]))
+    if not frames:
+        return spark.createDataFrame([], schema)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def snapshot_paths(spark: SparkSession, folder: str,
+                   exclude_prefixes: Sequence[str] = ("_checkpoint", "dataset_maestro")) -> dict[str, list[str]]:
+    names = [(p, p.rsplit("/", 1)[-1]) for p in list_files(spark, folder)]
+    names = [(p, n) for p, n in names if not n.startswith(tuple(exclude_prefixes))]
+    return {ext: [p for p, n in names if n.endswith("." + ext)] for ext in ("csv", "parquet")}
+
+
+def unreadable_snapshots(spark: SparkSession, folder: str, schema: T.StructType = LISTING_SCHEMA,
+                         exclude_prefixes: Sequence[str] = ("_checkpoint", "dataset_maestro")) -> DataFrame:
+    """T5 for S2: (archivo) of each Parquet snapshot that gives no row: damaged files, which ``read_snapshots`` skips,
+    and empty ones."""
+    paths = snapshot_paths(spark, folder, exclude_prefixes)["parquet"]
+    if not paths:
+        return spark.createDataFrame([], "archivo string")
+    known = spark.createDataFrame([(p.rsplit("/", 1)[-1],) for p in paths], "archivo string")
+    read = (spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths)
+            .groupBy(F.col("_metadata.file_name").alias("archivo")).agg(F.count(F.lit(1)).alias("n")))
+    return known.join(read, "archivo", "left_anti")
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
