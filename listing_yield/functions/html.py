@@ -20,6 +20,14 @@ from .text import WS
 TITLE_PATTERNS = [r"(?s)<title[^>]*>(.*?)</title>", r"(?s)<h1[^>]*>(.*?)</h1>"]
 BODY_PATTERNS = [r"(?s)<article[^>]*>.*?<p[^>]*>(.*?)</p>", r"(?s)<p[^>]*>(.*?)</p>"]
 LANG_PATTERN = r"<html[^>]*\slang=\"([^\"]*)\""
+# Fields of a listing card: ordered fallbacks, the attribute before the class.
+CARD_PATTERNS = {
+    "precio": [r'(?s)data-price="([^"]+)"', r'(?s)class="[^"]*price[^"]*"[^>]*>(.*?)</'],
+    "expensas": [r'(?s)class="[^"]*expenses[^"]*"[^>]*>(.*?)</'],
+    "direccion": [r'(?s)class="[^"]*address[^"]*"[^>]*>(.*?)</', r'(?s)<h2[^>]*>(.*?)</h2>'],
+    "detalles": [r'(?s)class="[^"]*features[^"]*"[^>]*>(.*?)</ul>'],
+}
+CARD = r"(?s)<article[^>]*>(.*?)</article>"
 # Entities decoded after tag stripping; '&amp;' last so it is not decoded twice.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
@@ -41,6 +49,16 @@ def first_text(html, patterns: Sequence[str]) -> Column:
     return F.coalesce(*parts, F.lit(""))
 
 
+def cards(html) -> Column:
+    """The markup of each listing card of a page."""
+    return F.regexp_extract_all(_c(html), F.lit(CARD), F.lit(1))
+
+
+def card_fields(card) -> dict[str, Column]:
+    """One text per field of a card ('' where no pattern yields any)."""
+    return {name: first_text(card, patterns) for name, patterns in CARD_PATTERNS.items()}
+
+
 def count_tag(html, tag: str) -> Column:
     low = F.lower(_c(html))
     marker = f"<{tag} "

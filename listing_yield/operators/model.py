@@ -398,6 +398,42 @@ def score_sales(sales: DataFrame, layout: Layout, fits: dict[int, Fit], smear: C
     return yields.yield_band(d)
 
 
+@dataclass
+class StoredFit:
+    """A fit as read back from its table: the coefficients over z, which is all that scoring needs."""
+    beta: np.ndarray
+    alpha: float
+
+    def raw_coefficients(self) -> np.ndarray:
+        return self.beta
+
+
+def bundle_tables(spark, layout: Layout, fits: dict[int, Fit], smear: float, band: DataFrame, coverage: DataFrame,
+                  med_m2: DataFrame) -> dict[str, DataFrame]:
+    """The model as tables: coefficients by training set and design column, scalars, and the lookups."""
+    rows = [(t, i, name, float(b), float(f.alpha)) for t, f in fits.items()
+            for i, (name, b) in enumerate(zip(layout.names, f.raw_coefficients()))]
+    categories = [(f, i, v) for f in CAT for i, v in enumerate(layout.categories[f])]
+    return {"coefficients": spark.createDataFrame(rows, "t int, pos int, name string, beta double, alpha double"),
+            "categories": spark.createDataFrame(categories, "feature string, pos int, value string"),
+            "scalars": spark.createDataFrame([("smear", float(smear))], "name string, value double"),
+            "band": band, "coverage": coverage, "med_m2": med_m2}
+
+
+def bundle_from_tables(tables: dict[str, DataFrame]) -> dict:
+    """What ``bundle_tables`` stored, as scoring takes it: layout, fits, smear and the lookup tables."""
+    cats: dict[str, list[str]] = {f: [] for f in CAT}
+    for r in tables["categories"].orderBy("feature", "pos").collect():  # MAX_COLUMNS at most
+        cats[r["feature"]].append(r["value"])
+    betas: dict[int, list] = {}
+    for r in tables["coefficients"].orderBy("t", "pos").collect():
+        betas.setdefault(r["t"], []).append((r["beta"], r["alpha"]))
+    fits = {t: StoredFit(np.array([b for b, _ in v]), v[0][1]) for t, v in betas.items()}
+    scalars = {r["name"]: r["value"] for r in tables["scalars"].collect()}
+    return dict(layout=Layout(cats), fits=fits, smear=scalars["smear"], band=tables["band"],
+                coverage=tables["coverage"], med_m2=tables["med_m2"])
+
+
 def coefficient_table(fit: Fit) -> pd.DataFrame:
     """H35 source: transformed-feature coefficients of a fit and their % effect."""
     eff = (np.exp(fit.w) - 1) * 100
@@ -426,12 +462,11 @@ def _subset(fit: Fit, keep) -> Fit:
                fit.Xty[cols])
 
 
-def nested_r2(spark, rentals: DataFrame, layout: Layout, k: int = K.N_FOLDS) -> DataFrame:
+def nested_r2(spark, rentals: DataFrame, layout: Layout, fits: dict[int, Fit], k: int = K.N_FOLDS) -> DataFrame:
     """Out-of-fold R2 (log) per feature block, each block with its own LOO-chosen penalty.
 
-    One LOO pass and one metrics pass serve all blocks (the pandas function
+    The blocks' sums are parts of the full fits' sums, so nothing is summed anew.  One LOO pass and one metrics pass serve all blocks (the pandas function
     loops over the small per-block matrices)."""
-    _, fits = fit_all(rentals, k)
     subs = {}
     for bi, (_, keep) in enumerate(BLOCKS):
         for t, f in fits.items():

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import constants as K
+from ..session import materialize
 from . import rules
 
 ACCURACY = 10_000  # the sketch's ranks are off by n / ACCURACY at most
@@ -119,7 +120,8 @@ def quantile_trim(tagged: DataFrame, mode: str = "moderado", min_n: int = K.TRIM
     """
     if mode == "conservador":
         return tagged
-    bounds = trim_bounds(tagged, mode, accuracy).filter(F.col("n") >= min_n)
+    # written, so that every reader of the trimmed table joins two rows instead of finding the quantiles again
+    bounds = materialize(trim_bounds(tagged, mode, accuracy).filter(F.col("n") >= min_n), "trim-bounds")
     b = F.broadcast(bounds.select(F.col("operacion").alias("_op"), F.col("lo").alias("_lo"),
                                   F.col("hi").alias("_hi")))
     j = tagged.join(b, F.col("operacion") == F.col("_op"), "left")

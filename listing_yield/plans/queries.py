@@ -63,14 +63,14 @@ _CLEANED: dict = {}
 
 
 def _tagged(spark, sf_dir, **kw):
-    """The tagged listings (steps 1-7), materialized once per (session, input, parameters).
+    """The tagged listings (steps 1-7), once per (session, input files, parameters).
 
-    Like the original workflow (clean once, every report reads the cleaned
-    table), later queries on the same input read the written table.
+    The table after step 5 and the trim bounds are written; the trim and the derived columns are a join with two rows
+    and row-local expressions, which each reader computes for the columns it needs.
     """
     key = (*input_identity(spark, sf_dir), tuple(sorted(kw.items())))
     if key not in _CLEANED:
-        _CLEANED[key] = materialize(cleaning.tag_listings(_listings(spark, sf_dir), **kw), "tagged")
+        _CLEANED[key] = cleaning.tag_listings(_listings(spark, sf_dir), **kw)
     return _CLEANED[key]
 
 

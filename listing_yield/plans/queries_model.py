@@ -235,7 +235,7 @@ def q_what_if(spark, sf_dir):
 def q_nested_r2(spark, sf_dir):
     """Out-of-fold R2 (log) as feature blocks are added (area only -> all)."""
     b = ridge_bundle(spark, sf_dir)
-    return model.nested_r2(spark, b["rentals"], b["layout"])
+    return model.nested_r2(spark, b["rentals"], b["layout"], b["fits"])
 
 
 @register("learning_curve")

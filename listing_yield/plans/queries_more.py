@@ -8,14 +8,15 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as X
-from ..operators import dedup, lookups, model, profile, rules, yields
+from ..functions import html as H
+from ..operators import dedup, lookups, model, profile, quantiles, rules, scenario, yields
 from ..session import materialize, read_table, spread
 from ..sources import files, payloads
 from ..streaming import ingest
 from . import cleaning
 from . import oracles as O
 from .queries import _kept, _listings, register
-from .queries_model import _rentals_sql, area_model, net_yield_by_band, yield_summary
+from .queries_model import _rentals_sql, area_model, net_yield_by_band, ridge_bundle, yield_summary
 from .queries_stream import _scratch, fs_copy
 from .queries_text import RID, RID_SQL
 
@@ -382,3 +383,68 @@ SELECT segmento, count(*) AS n, median(neta) AS rent_neta_mediana FROM scored WH
 GROUP BY segmento"""))
 def q_area_yield_by_band(spark, sf_dir):
     return net_yield_by_band(area_scores(spark, sf_dir))
+
+
+@register("score_report", _with_scores(f"""
+SELECT count(*) AS n, {O.sround(f'avg((n_alq_barrio >= {K.MIN_RENTALS_PER_AREA})::INT) * 100', 4)} AS pct_confiables,
+  median(est_r) AS mediana, quantile_cont(est_r, 0.05) AS p5, quantile_cont(est_r, 0.95) AS p95 FROM scored"""))
+def q_score_report(spark, sf_dir):
+    """Estimated rents: number, share with enough rentals in the area, median and tails."""
+    s = materialize(area_scores(spark, sf_dir).select("alquiler_est_usd_mes", "estimacion_confiable"), "area-report")
+    q = quantiles.exact_quantiles(s, "alquiler_est_usd_mes", [0.05, 0.5, 0.95], names=["p5", "mediana", "p95"])
+    share = s.agg(F.round(F.avg("estimacion_confiable") * 100, 4)).scalar()
+    return q.select("n", share.alias("pct_confiables"), "mediana", "p5", "p95")
+
+
+# --------------------------------------------------------------------------- S13: score from stored tables
+
+@register("bundle_roundtrip")
+def q_bundle_roundtrip(spark, sf_dir):
+    """The ridge model written as tables, read back, and every sale scored by both."""
+    b = ridge_bundle(spark, sf_dir)
+    path = _scratch(spark, "bundle")
+    tables = model.bundle_tables(spark, b["layout"], b["fits"], b["smear"], b["band"], b["coverage"], b["med_m2"])
+    files.save_bundle(spark, path, tables)
+    stored = model.bundle_from_tables(files.load_bundle(spark, path, list(tables)))
+    props = model.sales_for_model(b["kept"]).select(
+        "row_id", "barrio", F.col("sup_total_m2").alias("m2"), "ambientes", "dormitorios", "banos",
+        F.col("antiguedad_anios").alias("antiguedad"), F.col("tipo_familia").alias("tipo"),
+        F.col("venta_usd").alias("venta"), *K.MODEL_FLAGS)
+    here = scenario.what_if(props, b, market_median=K.MARKET_MEDIAN_GROSS_YIELD)
+    there = scenario.what_if(props, stored, market_median=K.MARKET_MEDIAN_GROSS_YIELD)
+    return here.select("row_id", F.col("alquiler").alias("en_memoria"), "veredicto").join(
+        there.select("row_id", F.col("alquiler").alias("leido"), F.col("veredicto").alias("veredicto_leido")), "row_id")
+
+
+# --------------------------------------------------------------------------- S6: listing cards
+
+@register("html_cards", f"""
+SELECT {RID_SQL}, CAST(floor(l_extendedprice) AS DOUBLE) AS valor,
+  CASE WHEN l_orderkey % 2 = 0 THEN 'USD' ELSE 'ARS' END AS moneda,
+  CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE CAST(l_partkey % 900 + 100 AS DOUBLE) END AS expensas,
+  'Calle ' || l_partkey AS calle, CAST(l_suppkey % 90 + 1 AS VARCHAR) AS altura,
+  CAST(l_partkey % 18 + 1 AS INTEGER) AS ambientes, CAST(l_quantity * 10 AS DOUBLE) AS superficie FROM lineitem""")
+def q_html_cards(spark, sf_dir):
+    """One page per order with a card per line; the price stands in an attribute or in the text."""
+    li = spread(read_table(spark, sf_dir, "lineitem"))
+    price = "concat(CASE WHEN pmod(l_orderkey, 2) = 0 THEN 'U$S ' ELSE '$ ' END, " \
+            "translate(format_number(floor(l_extendedprice), 0), ',', '.'))"
+    card = f"""concat('<article id="', rid, '"><h2>Calle ', l_partkey, ' ', pmod(l_suppkey, 90) + 1, '</h2>',
+      CASE WHEN pmod(l_linenumber, 2) = 0 THEN concat('<div data-price="', {price}, '">ver</div>')
+           ELSE concat('<span class="card price">', {price}, '</span>') END,
+      CASE WHEN pmod(l_orderkey, 3) = 0 THEN '' ELSE
+        concat('<p class="expenses">+ $ ', pmod(l_partkey, 900) + 100, ' expensas</p>') END,
+      '<ul class="features"><li>', pmod(l_partkey, 18) + 1, ' amb.</li><li>', cast(l_quantity * 10 as int),
+      ' m&sup2;</li></ul></article>')""".replace("m&sup2;", "m²")
+    page = (li.selectExpr("l_orderkey", RID, "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity")
+            .selectExpr("l_orderkey", f"{card} AS card").groupBy("l_orderkey")
+            .agg(F.array_join(F.collect_list("card"), "\n").alias("html")))  # an order's lines
+    # the id of a card is an attribute of its opening tag, so the whole element is taken apart
+    whole = F.regexp_extract_all("html", F.lit(r"(?s)<article[^>]*>.*?</article>"), F.lit(0))
+    one = materialize(page.select(F.explode(whole).alias("card")), "cards")
+    d = one.select(F.regexp_extract("card", 'id="([^"]+)"', 1).alias("rid"), H.cards("card")[0].alias("card"))
+    d = materialize(d.select("rid", *[c.alias(n) for n, c in H.card_fields(F.col("card")).items()]), "card-fields")
+    p, a = X.parse_price("precio"), X.parse_address("direccion")
+    return d.select("rid", p["valor"].alias("valor"), p["moneda"].alias("moneda"),
+                    X.parse_expensas("expensas").alias("expensas"), a["calle"].alias("calle"), a["altura"].alias("altura"),
+                    X.parse_ambientes("detalles").alias("ambientes"), X.parse_superficie("detalles").alias("superficie"))

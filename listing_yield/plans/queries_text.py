@@ -199,10 +199,16 @@ def q_html_fields(spark, sf_dir):
                     H.count_tag("html", "a").alias("n_enlaces"))
 
 
-@register("payload_gate")
+@register("payload_gate", f"""
+WITH p AS (SELECT page_id, repeat(chr(1), (page_id % 1500)::INT) || html AS h FROM pages),
+b AS (SELECT page_id, regexp_extract_all(substr(hex(encode(h)), 1, {2 * K.BINARY_SAMPLE_BYTES}), '..') AS b FROM p)
+SELECT page_id, len(b) > 0 AND len(list_filter(b, lambda x: NOT (x BETWEEN '09' AND '0D' OR x BETWEEN '20' AND '7E')))
+  / len(b) > {K.BINARY_SHARE} AS parece_binario FROM b""")
 def q_payload_gate(spark, sf_dir):
+    """Pages behind 0 to 1,499 control characters: those with too many of them can't be read."""
     p = spread(read_table(spark, sf_dir, "pages").select("page_id", "html"))
-    return p.select("page_id", H.looks_binary(F.encode("html", "UTF-8")).alias("parece_binario"))
+    h = F.expr("concat(repeat(char(1), cast(page_id % 1500 as int)), html)")
+    return p.select("page_id", H.looks_binary(F.encode(h, "UTF-8")).alias("parece_binario"))
 
 
 # --------------------------------------------------------------------------- H23 over events
