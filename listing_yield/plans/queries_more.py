@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions import text as X
 from ..functions import html as H
-from ..operators import dedup, lookups, model, profile, quantiles, rules, scenario, yields
+from ..operators import areas, dedup, lookups, model, profile, quantiles, rules, scenario, yields
 from ..session import materialize, read_table, spread
 from ..sources import files, payloads
 from ..streaming import ingest
@@ -18,7 +18,7 @@ from . import oracles as O
 from .queries import _kept, _listings, register
 from .queries_model import _rentals_sql, area_model, net_yield_by_band, ridge_bundle, yield_summary
 from .queries_stream import _scratch, fs_copy
-from .queries_text import RID, RID_SQL
+from .queries_text import RID, RID_SQL, _area_sql, _flags_sql
 
 # --------------------------------------------------------------------------- W1-W3 on repeated rows
 
@@ -183,6 +183,37 @@ def q_age_year_built(spark, sf_dir):
     return d.select("rid", F.col("a.anios").alias("anios"), F.col("a.a_estrenar").alias("a_estrenar"))
 
 
+# --------------------------------------------------------------------------- H18, J4, J5: every keyword, alias and name occurs
+
+KEYWORDS = [w.strip() for words in K.FLAG_KEYWORDS.values() for w in words]
+PLACES = [*K.AREA_ALIASES, *K.AREA_DISTRICT, "centro cultural once", "bocacalle", "flores y once", "nada"]
+
+
+def _rendered(words: list[str]) -> str:
+    """Each row's text names the word of its turn, in capitals in every second row."""
+    turn = " ".join(f"WHEN {i} THEN {O.q(w)}" for i, w in enumerate(words))
+    word = f"CASE l_partkey % {len(words)} {turn} END"
+    return (f"concat('Depto, ', CASE WHEN l_linenumber % 2 = 0 THEN upper({word}) ELSE {word} END, "
+            "' , Capital Federal ', l_suppkey)")
+
+
+def _rendered_sql(words: list[str]) -> str:
+    return f"(SELECT {RID_SQL}, {_rendered(words)} AS text FROM lineitem)"
+
+
+@register("flag_lexicon", _flags_sql(_rendered_sql(KEYWORDS), "rid"))
+def q_flag_lexicon(spark, sf_dir):
+    d = spread(read_table(spark, sf_dir, "lineitem")).selectExpr(RID, f"{_rendered(KEYWORDS)} AS text")
+    d = d.withColumn("_n", X.norm_key("text"))
+    return d.select("rid", *[c.alias(n) for n, c in X.keyword_flags("text", norm=F.col("_n")).items()])
+
+
+@register("area_lexicon", _area_sql(_rendered_sql(PLACES), "rid"))
+def q_area_lexicon(spark, sf_dir):
+    d = spread(read_table(spark, sf_dir, "lineitem")).selectExpr(RID, f"{_rendered(PLACES)} AS text")
+    return areas.match_areas(d, "text").select("rid", "barrio", "comuna")
+
+
 # --------------------------------------------------------------------------- S4, F8-F11, H24, H25, H37 with every fallback
 
 PRICE = "CASE WHEN l_orderkey % 5 = 0 THEN 0.0 WHEN l_orderkey % 5 = 1 THEN NULL ELSE l_extendedprice * 100 END"

@@ -131,13 +131,13 @@ def q_clean_text(spark, sf_dir):
     return d.select("doc_id", F.md5(T.clean_text("text")).alias("h_clean"), F.md5(T.norm_key("text")).alias("h_norm"))
 
 
-def _flags_sql():
+def _flags_sql(source: str = "documents", key: str = "doc_id"):
     t = f"(' ' || {norm_sql('text')} || ' ')"
     cols = []
     for flag, kws in K.FLAG_KEYWORDS.items():
         cond = " OR ".join(f"contains({t}, {O.q(k)})" for k in kws)
         cols.append(f"CASE WHEN {cond} THEN 1 ELSE 0 END AS {flag}")
-    return f"SELECT doc_id, {', '.join(cols)} FROM documents"
+    return f"SELECT {key}, {', '.join(cols)} FROM {source}"
 
 
 @register("keyword_flags", _flags_sql())
@@ -148,7 +148,7 @@ def q_keyword_flags(spark, sf_dir):
 
 # --------------------------------------------------------------------------- J4, J5
 
-def _area_sql():
+def _area_sql(source: str = "documents", key: str = "doc_id"):
     t = norm_sql("text")
     for noise in K.AREA_NOISE:
         t = f"replace({t}, {O.q(noise)}, ' ')"
@@ -160,9 +160,9 @@ def _area_sql():
         f"THEN {O.q(target)}" for _, _, _, p, target in sorted(listed))
     dist = " ".join(f"WHEN {O.q(k)} THEN {v}" for k, v in K.AREA_DISTRICT.items())
     return f"""
-SELECT doc_id, barrio, CAST(CASE barrio {dist} END AS INTEGER) AS comuna FROM (
-  SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN NULL ELSE (CASE {whens} END) END AS barrio
-  FROM (SELECT doc_id, text, {t} AS t FROM documents))"""
+SELECT {key}, barrio, CAST(CASE barrio {dist} END AS INTEGER) AS comuna FROM (
+  SELECT {key}, CASE WHEN text IS NULL OR text = '' THEN NULL ELSE (CASE {whens} END) END AS barrio
+  FROM (SELECT {key}, text, {t} AS t FROM {source}))"""
 
 
 @register("area_match", _area_sql())
