@@ -10,12 +10,13 @@ sorted order of all signatures, so the forest has one order (tree) for each bloc
   order) and the class that agrees best with the region's most frequent minima. That is at most two pairs for each
   class and tree, whatever the region's size.
 * Links are confirmed on full sets, and linked classes joined to components.
-* The rest. Pairs of one region that are still in different components are all candidates too, so nothing is lost to
-  the first step's limit; in a group of near copies hardly any pair is left by then. Large regions are compared block by
-  block, in as many tasks as there are pairs of blocks.
+* The rest. Pairs of one region that are still in different components are all compared too, so nothing is lost to
+  the first step's limit. Classes with a likely partner are sent, with their full sets, to their region's task (large
+  regions in blocks, one task for each pair of blocks), which counts common shingles over postings and returns links that
+  join something new: at most one for each class, never the pairs themselves.
 
-Candidates whose signatures agree in so few minima that they are ``DEVIATIONS`` standard deviations below the threshold,
-or whose set sizes alone exclude a link, are not sent to confirmation. A pair of similarity 0.85 is in a
+Pairs whose signatures agree in so few minima that they are ``DEVIATIONS`` standard deviations below the threshold,
+or whose set sizes alone exclude a link, are no candidates. A pair of similarity 0.85 is in a
 common region of depth 5 in at least one of 16 trees with probability 0.9999, of depth 3 with 0.9999998.
 
 Defined cases: texts without words are linked with nothing and keep themselves; documents of fewer words than a shingle
@@ -40,7 +41,8 @@ TREES = 16
 BLOCK = 8  # minima of a tree's block
 MINIMA = TREES * BLOCK
 CROWDED = (32, 256)
-CHUNK = 512  # classes of a region that one pass compares
+CHUNK = 2048  # classes of a region that one task compares
+BROADCAST_IDS = 500_000
 DEVIATIONS = 4.5
 SLICE = 1 << 19
 
@@ -191,64 +193,114 @@ def likely(sig: np.ndarray, n: np.ndarray, pairs: np.ndarray, percent: int) -> n
     return same & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
 
 
-def _pairs(a: list, b: list) -> pa.RecordBatch:
+def _pairs(a: list, b: list, names: tuple[str, str] = ("a", "b")) -> pa.RecordBatch:
     x, y = np.array(a, np.int64), np.array(b, np.int64)
-    return pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], list(names))
 
 
-def other_candidates(members: DataFrame, percent: int) -> DataFrame:
-    """a, b: the likely pairs of a region (or of two blocks of a large one) that are in different components."""
+def members_left(members: DataFrame, percent: int) -> DataFrame:
+    """key, i, j, cls: the classes of a region (or of two of its blocks) with a likely partner in another component."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, cls, n, sigs, part, side in _runs(batches, 3):
+        for key, first, second, cls, n, sigs, part, side in _runs(batches, 3):
             parts, sig = np.unique(part, return_inverse=True)[1], _matrix(sigs)
             if parts.max() == 0:
                 continue
+            active = np.zeros(len(cls), bool)
             for i in range(len(cls)):
-                j = np.flatnonzero(parts[i + 1:] != parts[i]) + i + 1
-                if side.max() != side.min():  # two blocks: pairs within one are another run's
-                    j = j[side[j] != side[i]]
+                j = np.flatnonzero(_apart(parts, side, i)) + i + 1
                 if len(j):
-                    keep = likely(sig, n, np.c_[np.full(len(j), i), j], percent)
-                    if keep.any():
-                        yield _pairs([cls[i]] * int(keep.sum()), cls[j[keep]].tolist())
+                    j = j[likely(sig, n, np.c_[np.full(len(j), i), j], percent)]
+                    active[j] = True
+                    active[i] |= len(j) > 0
+            if active.any():
+                m = int(active.sum())
+                yield pa.RecordBatch.from_pydict({"key": key[:m], "i": first[:m], "j": second[:m], "cls": cls[active]})
 
-    return members.mapInArrow(run, "a long, b long").distinct()
+    return members.mapInArrow(run, "key long, i long, j long, cls long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """u, v: the pairs whose full sets have a similarity of at least ``percent``. A class goes by its least doc_id, so
-    that document's set is the class's."""
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+def _apart(parts: np.ndarray, side: np.ndarray, i: int) -> np.ndarray:
+    """Which of the rows after i are in another component; of two blocks, only pairs between them count (those within
+    one are another task's)."""
+    out = parts[i + 1:] != parts[i]
+    return out & (side[i + 1:] != side[i]) if side.max() != side.min() else out
+
+
+def region_links(members: DataFrame, percent: int) -> DataFrame:
+    """u, v: links between different components that the full sets of each region's members give; of links that join
+    the same components only the first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, cls, part, side, packed in _runs(batches, 3):
+            parts = np.unique(part, return_inverse=True)[1]
+            sets = [_numbers(x) for x in packed]
+            n = np.array([len(x) for x in sets])
+            ids, item = np.unique(np.concatenate(sets), return_inverse=True)
+            owner = np.repeat(np.arange(len(sets)), n)
+            posting = owner[np.argsort(item, kind="stable")]
+            upto = np.r_[0, np.cumsum(np.bincount(item, minlength=len(ids)))]
+            begin = np.r_[0, np.cumsum(n)]
+            found: list[tuple[int, int]] = []
+            for i in range(len(sets) - 1):
+                e = item[begin[i]: begin[i + 1]]
+                size = upto[e + 1] - upto[e]
+                at = np.repeat(upto[e] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+                common = np.bincount(posting[at], minlength=len(sets))[i + 1:]
+                good = (100 * common >= percent * (n[i] + n[i + 1:] - common)) & _apart(parts, side, i)
+                for j in (np.flatnonzero(good) + i + 1).tolist():
+                    if parts[j] != parts[i]:
+                        found.append((i, j))
+                        parts[parts == parts[j]] = parts[i]
+            if found:
+                x, y = np.array(found).T
+                yield _pairs(cls[x].tolist(), cls[y].tolist(), ("u", "v"))
+
+    return materialize(members.mapInArrow(run, "u long, v long"), "links")
+
+
+def _numbers(packed: bytes) -> np.ndarray:
+    """The sorted 48-bit numbers of a set."""
+    out = np.zeros((len(packed) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """cls, set: the shingle set of each class in ``wanted``, as sorted 48-bit hashes. A class goes by its least doc_id,
+    so that document's set is the class's. Up to ``BROADCAST_IDS`` ids are broadcast; more of them join by a shuffle."""
+    wanted = materialize(wanted.distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     own = docs.select(F.col("doc_id").cast("long").alias("cls"), "text").join(wanted, "cls", "left_semi")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in T.slices(batch.column(1), SLICE):
                 found, row = shingles(batch.column(1).slice(a, b - a), words)
                 at = np.searchsorted(row, np.arange(b - a + 1))
-                six = np.ascontiguousarray((found >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6])  # 48 bits
+                six = np.ascontiguousarray((found >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6])
                 yield pa.RecordBatch.from_pydict({
                     "cls": batch.column(0).slice(a, b - a),
                     "set": pa.array([six[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())})
 
-    def numbers(x: bytes) -> np.ndarray:
-        out = np.zeros((len(x) // 6, 8), np.uint8)
-        out[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
-        return out.view(np.uint64).ravel()
+    return materialize(own.mapInArrow(run, "cls long, set binary").dropDuplicates(["cls"]), "sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """u, v: the pairs whose full sets have a similarity of at least ``percent``."""
+    known = full_sets(docs, pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))),
+                      words)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = x.as_buffer(), y.as_buffer()
-                both = np.concatenate([numbers(x), numbers(y)])
+                both = np.concatenate([_numbers(x.as_buffer()), _numbers(y.as_buffer())])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= percent * (len(both) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(
+                pa.array(keep, pa.bool_()))
 
-    known = own.mapInArrow(sets, "cls long, set binary")
-    known = materialize(known.dropDuplicates(["cls"]), "sets")
     both = (pairs.join(known.select(F.col("cls").alias("a"), F.col("set").alias("x")), "a")
             .join(known.select(F.col("cls").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y"))
     return materialize(both.mapInArrow(compare, "u long, v long"), "links")
@@ -277,12 +329,17 @@ def group(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     blocks = F.ceil(F.col("size") / CHUNK).cast("long")
     placed = placed.withColumn("other", F.explode(F.when(
         F.col("size") > CHUNK, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.lit(0).cast("long")))))
-    rest = other_candidates(
-        placed.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "cls",
-                      "n_shingles", "sig", "part", "chunk")
-        .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"), percent)
-    rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "candidates")
-    links = links.unionByName(confirmed(rest, docs, words, percent))
+    columns = ["key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "cls"]
+    by_task = ["key", "i", "j"]
+    left = materialize(members_left(
+        placed.select(*columns, "n_shingles", "sig", "part", "chunk").repartition(*by_task)
+        .sortWithinPartitions(*by_task), percent), "members-left")
+    known = full_sets(docs, left.select("cls"), words)
+    places = placed.select(*columns, "part", "chunk")
+    found = region_links(left.join(places, [*by_task, "cls"]).join(known, "cls")
+                         .select(*by_task, "cls", "part", "chunk", "set").repartition(*by_task)
+                         .sortWithinPartitions(*by_task, "cls"), percent)
+    links = links.unionByName(found)
     parts = components(links)
 
     by_class = (classes.select("n_shingles", "s1", "s2", "cls")

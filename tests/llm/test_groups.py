@@ -153,11 +153,12 @@ def edited_docs(seed, n=250):
     return rows + [(n, None), (n + 1, ""), (n + 2, "a"), (n + 3, "A"), (n + 4, "a b"), (n + 5, " \t")]
 
 
-@pytest.mark.parametrize("seed,words,percent,crowded,chunk",
-                         [(1, 3, 85, (32, 256), 512), (2, 3, 85, (4, 8), 8), (3, 5, 80, (32, 256), 16)])
-def test_near_dedup(spark, monkeypatch, seed, words, percent, crowded, chunk):
+@pytest.mark.parametrize("seed,words,percent,crowded,chunk,ids",
+                         [(1, 3, 85, (32, 256), 512, 10**6), (2, 3, 85, (4, 8), 8, 0), (3, 5, 80, (32, 256), 16, 10**6)])
+def test_near_dedup(spark, monkeypatch, seed, words, percent, crowded, chunk, ids):
     monkeypatch.setattr(near_dedup, "CROWDED", crowded)
     monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(near_dedup, "BROADCAST_IDS", ids)
     rows = edited_docs(seed)
     df = docs_of(spark, [*rows, rows[3], (None, "a b")])
     got = near_dedup.group(df, words, percent).collect()
