@@ -176,3 +176,27 @@ def remove_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int =
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines(read_table(spark, sf_dir, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE = rf"""
+WITH p AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, unnest(x) AS x, generate_subscripts(x, 1) - 1 AS line FROM p),
+k AS (SELECT doc_id * 10000000 + line AS place,
+    regexp_extract_all(translate(x, '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM l),
+e AS (SELECT place, w, min(place) OVER (PARTITION BY w) AS f FROM k WHERE len(w) >= {MIN_WORDS}),
+d AS (SELECT DISTINCT w, f FROM e WHERE len(w) >= {NEAR_WORDS}),
+g AS (SELECT f, w, unnest(generate_series(1, len(w))) AS gone FROM d),
+v AS (SELECT f, gone, md5(array_to_string(list_concat(w[1:gone - 1], w[gone + 1:len(w)]), ' ')) AS h FROM g
+  UNION ALL SELECT f, -1, md5(array_to_string(w, ' ')) FROM d),
+m AS (SELECT f, gone, min(f) OVER (PARTITION BY h, gone) AS same,
+    min(f) FILTER (gone = -1) OVER (PARTITION BY h) AS whole, min(f) FILTER (gone > 0) OVER (PARTITION BY h) AS less
+  FROM v),
+c AS (SELECT f, unnest([CASE WHEN gone > 0 THEN same END, CASE WHEN gone > 0 THEN whole ELSE less END]) AS c FROM m),
+r AS (SELECT f AS place, min(c) AS f, 1 AS edits FROM c WHERE c < f GROUP BY f
+  UNION ALL SELECT place, f, 0 FROM e WHERE f < place)
+SELECT place // 10000000 AS doc_id, place % 10000000 AS line, f // 10000000 AS first_doc_id, f % 10000000 AS first_line,
+    edits
+FROM r QUALIFY row_number() OVER (PARTITION BY place ORDER BY edits, f) = 1
+"""

@@ -363,3 +363,21 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group(read_table(spark, sf_dir, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: All pairs by their common shingles, and the closure of the links.
+ORACLE = rf"""
+WITH RECURSIVE d AS (SELECT doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(generate_series(1, len(w) - 2),
+    lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS x FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+e AS (SELECT u, v FROM c JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * k >= 85 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS node, doc_id AS root FROM d UNION SELECT v, root FROM r JOIN e ON u = node WHERE root < v)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(root) AS component_id, min(root) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON node = d.doc_id GROUP BY d.doc_id, n.n
+"""

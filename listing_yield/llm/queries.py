@@ -23,5 +23,7 @@ ORACLES = {
     "op3_exact_search": exact_search.ORACLE,
     "op4_quality_rules": quality_rules.ORACLE,
     "op5_secret_scans": secret_scans.ORACLE,
+    "op6_line_dedup": line_dedup.ORACLE,
+    "op7_near_dedup": near_dedup.ORACLE,
     "op9_mixing": mixing.ORACLE,
 }

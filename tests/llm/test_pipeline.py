@@ -18,7 +18,7 @@ def clean(v):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 @pytest.mark.parametrize("name", ["op2_url_filters", "op3_exact_search", "op4_quality_rules", "op5_secret_scans",
-                                  "op9_mixing"])
+                                  "op6_line_dedup", "op7_near_dedup", "op9_mixing"])
 def test_oracles(spark, name):
     con = duckdb.connect()
     for t in TABLES:
