@@ -160,8 +160,10 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int
                     F.col("why.first.line").alias("first_line"), F.col("why.edits").alias("edits")))
 
 
-def remove_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """``docs`` without its repeated lines (n_chars counted again); columns and rows stay."""
+def remove_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS,
+                 drop_emptied: bool = False) -> DataFrame:
+    """``docs`` without its repeated lines (n_chars counted again); columns and rows stay. With ``drop_emptied`` a
+    document goes if it lost lines and has no word left: all of it stands earlier."""
     gone = (repeated_lines(docs, min_words, near_words).groupBy(F.col("doc_id").alias("gone_doc"))
             .agg(F.collect_set("line").alias("gone")))  # at most a document's lines
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
@@ -170,6 +172,8 @@ def remove_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int =
         F.transform(F.split("row.text", "\n", -1),
                     lambda x, i: F.when(~F.array_contains("gone", i.cast("long")), x)), lambda x: x.isNotNull()), "\n"))
     out = joined.withColumn("kept", kept)
+    if drop_emptied:
+        out = out.where(F.col("gone").isNull() | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
     return out.select(*[F.col("kept").alias(c) if c == "text" else F.length("kept").cast("long").alias(c)
                         if c == "n_chars" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
