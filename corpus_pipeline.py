@@ -21,9 +21,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand, equal or one word apart, at an earlier place."""
+    """Documents without lines that stand, equal or one word apart, at an earlier place; a document of which nothing
+    is left goes."""
     ship_package(spark)
-    return line_dedup.remove_lines(docs)
+    return line_dedup.remove_lines(docs, drop_emptied=True)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
