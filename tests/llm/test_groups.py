@@ -259,6 +259,9 @@ def test_mixing(spark):
     assert abs(share - 1) < 0.1
     whole = mixing.mix(df)
     assert whole.count() == len(rows)
+    mixing.BROADCAST_CELLS, most = 0, mixing.BROADCAST_CELLS
+    assert mixing.mix(df).where("kept").count() == whole.where("kept").count()
+    mixing.BROADCAST_CELLS = most
     assert whole.where("tokens = 0 and not kept").count() == 0
     assert mixing.sample(df).columns == df.columns
     assert mixing.sample(df.limit(0)).count() == 0
