@@ -51,16 +51,6 @@ def right_closed_bins(value: str | Column, edges: Sequence[float], labels: Seque
     return expr
 
 
-def bin_ordinal(value: str | Column, edges: Sequence[float]) -> Column:
-    """Ordinal (1-based) of the right-closed bin, NULL outside."""
-    v = col_(value)
-    expr = None
-    for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:]), start=1):
-        cond = (v > F.lit(lo)) & (v <= F.lit(hi))
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
-
-
 def covered_ratio(covered: str | Column = "sup_cubierta_m2", total: str | Column = "sup_total_m2") -> Column:
     r = F.round(safe_div(covered, total), 3)
     return F.when((r > F.lit(K.COVERED_RATIO_MAX)) | (r <= 0), F.lit(None).cast("double")).otherwise(r)
@@ -95,8 +85,3 @@ def payback_months(price: str | Column, rent_month: str | Column) -> Column:
 
 def yield_band(gross: str | Column, error: str | Column, sign: int) -> Column:
     return F.round(col_(gross) * (F.lit(1) + F.lit(sign) * col_(error)), 2)
-
-
-def pct_effect(coef: str | Column) -> Column:
-    """Log-scale coefficient -> % effect: (exp(b) - 1) x 100."""
-    return (F.exp(col_(coef)) - 1) * 100

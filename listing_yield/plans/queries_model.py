@@ -8,7 +8,6 @@ counts by the driver and against a closed-form NumPy fit in the unit tests.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,7 +18,7 @@ from ..operators import lookups, model, stats, yields
 from ..session import materialize
 from . import oracles as O
 from ..operators.quantiles import exact_quantiles, medians
-from .queries import ORACLES, _kept, input_identity, register
+from .queries import _kept, input_identity, register
 
 FOLD_SQL = "CAST(('0x' || substr(md5(row_id), 1, 7)) AS BIGINT) % 5"
 

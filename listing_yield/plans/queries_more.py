@@ -423,7 +423,7 @@ def q_score_report(spark, sf_dir):
     """Estimated rents: number, share with enough rentals in the area, median and tails."""
     s = materialize(area_scores(spark, sf_dir).select("alquiler_est_usd_mes", "estimacion_confiable"), "area-report")
     q = quantiles.exact_quantiles(s, "alquiler_est_usd_mes", [0.05, 0.5, 0.95], names=["p5", "mediana", "p95"])
-    share = s.agg(F.round(F.avg("estimacion_confiable") * 100, 4)).scalar()
+    share = profile.share(s, F.col("estimacion_confiable") == 1).select("pct").scalar()
     return q.select("n", share.alias("pct_confiables"), "mediana", "p5", "p95")
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import measures as M
-from ..operators import dedup, lookups, profile, quantiles, rules, stats, yields
+from ..operators import dedup, lookups, profile, quantiles, stats, yields
 from . import oracles as O
-from .queries import ORACLES, _kept, _listings, _until, register
+from .queries import _kept, _listings, _until, register
 
 KEPT = O.KEPT
 
