@@ -102,47 +102,68 @@ class Tree:
                            np.sqrt(((own - centre) ** 2).sum(axis=1))))
         return len(self.pages) - 1
 
-    def search(self, q: np.ndarray, own_id: int, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows other than ``own_id`` among those of at least ``least``."""
-        qq = float(q @ q)
-        size = math.sqrt(qq)
-        if size * math.sqrt(self.most) < least - SLACK:
-            return np.zeros(0, np.int64), np.zeros(0)
-        ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        start = math.sqrt(((q - self.centre) ** 2).sum())
-        queue, turn = [(-math.inf, 0, self.root, start)], 1
+    def search(self, q: np.ndarray, own: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each query of a block (a row of q), ids and scores of its best k rows other than its own, best first
+        (score -inf where there are fewer), among those of at least ``least``. Pages are visited in order of the best
+        bound that any query of the block has; on a page only the queries that need it are computed."""
+        n, least = len(q), least.copy()
+        qq = np.einsum("ij,ij->i", q, q)
+        size = np.sqrt(qq)
+        slack = SLACK + 1e-9 * (qq + self.most)  # rounding errors of the bounds stay far below
+        ids, scores = np.full((n, k), np.iinfo(np.int64).max), np.full((n, k), -np.inf)
+        rows = np.flatnonzero(size * math.sqrt(self.most) >= least - slack)
+        queue: list[tuple] = []
+        if len(rows):
+            d = np.sqrt(((q[rows] - self.centre) ** 2).sum(axis=1))
+            queue.append((-math.inf, 0, self.root, rows, d, np.full(len(rows), np.inf)))
+        turn = 1
         while queue:
-            bound, _, number, d = heapq.heappop(queue)
-            if -bound < least - SLACK:
-                break
+            _, _, number, rows, d, bound = heapq.heappop(queue)
+            keep = bound >= least[rows] - slack[rows]
+            rows, d = rows[keep], d[keep]
+            if not len(rows):
+                continue
             page = self.pages[number]
+            need = (least[rows] - slack[rows])[:, None]
             if page[0]:
                 _, numbers, routing, radius, most, stored = page
-                gap = np.maximum(np.abs(d - stored) - radius, 0.0)
-                left = np.flatnonzero((qq + most - gap * gap) / 2 >= least - SLACK)
+                gap = np.maximum(np.abs(d[:, None] - stored) - radius, 0.0)
+                alive = (qq[rows, None] + most - gap * gap) / 2 >= need
+                left = np.flatnonzero(alive.any(axis=0))
                 if not len(left):
                     continue
-                dots = routing[left] @ q
-                r, m = radius[left], most[left]
-                far = np.sqrt(np.maximum(((routing[left] - q) ** 2).sum(axis=1), 0.0))
+                x, r, m = routing[left], radius[left], most[left]
+                dots = q[rows] @ x.T
+                far = np.sqrt(np.maximum(qq[rows, None] - 2 * dots + np.einsum("ij,ij->i", x, x), 0.0))
                 gap = np.maximum(far - r, 0.0)
-                best = np.minimum(np.minimum(dots + size * r, size * np.sqrt(m)), (qq + m - gap * gap) / 2)
-                for i in np.flatnonzero(best >= least - SLACK).tolist():
-                    heapq.heappush(queue, (-best[i], turn, int(numbers[left[i]]), far[i]))
+                best = np.minimum(np.minimum(dots + size[rows, None] * r, size[rows, None] * np.sqrt(m)),
+                                  (qq[rows, None] + m - gap * gap) / 2)
+                alive = alive[:, left] & (best >= need)
+                for c in np.flatnonzero(alive.any(axis=0)).tolist():
+                    own_rows = np.flatnonzero(alive[:, c])
+                    value = best[own_rows, c]
+                    heapq.heappush(queue, (-float(value.max()), turn, int(numbers[left[c]]), rows[own_rows],
+                                           far[own_rows, c], value))
                     turn += 1
             else:
-                _, own, vectors, norms, stored = page
-                gap = d - stored
-                left = np.flatnonzero(((qq + norms - gap * gap) / 2 >= least - SLACK) & (own != own_id))
+                _, names, vectors, norms, stored = page
+                gap = d[:, None] - stored
+                alive = (qq[rows, None] + norms - gap * gap) / 2 >= need
+                left = np.flatnonzero(alive.any(axis=0))
                 if not len(left):
                     continue
-                got = vectors[left] @ q
-                fine = got >= least
-                ids, scores = np.r_[ids, own[left[fine]]], np.r_[scores, got[fine]]
-                if len(ids) > k:
-                    order = np.lexsort((ids, -scores))[:k]
-                    ids, scores = ids[order], scores[order]
-                    least = max(least, scores[-1])
+                got = q[rows] @ vectors[left].T
+                got[names[left][None, :] == own[rows, None]] = -np.inf
+                better = np.flatnonzero((got >= least[rows, None]).any(axis=1))
+                if not len(better):
+                    continue
+                rows, got = rows[better], got[better]
+                both = np.concatenate([scores[rows], got], axis=1)
+                name = np.concatenate([ids[rows], np.broadcast_to(names[left], got.shape)], axis=1)
+                order = np.lexsort((name, -both), axis=1)[:, :k]
+                scores[rows] = np.take_along_axis(both, order, axis=1)
+                ids[rows] = np.take_along_axis(name, order, axis=1)
+                least[rows] = np.maximum(least[rows], scores[rows, -1])
         return ids, scores
 
 
@@ -196,12 +217,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, tree_rows: int = TREE
                 s[seed_ids[:, None] == own[None, :]] = -np.inf
                 least = np.partition(s, len(s) - k, axis=0)[len(s) - k] if len(s) >= k else np.full(len(own), -np.inf)
                 q = q[:, : tree.wide]  # what the tree's vectors lack counts as 0
-                found = [tree.search(q[j], int(own[j]), k, float(least[j])) for j in range(len(own))]
-                sizes = [len(x[0]) for x in found]
-                yield pa.RecordBatch.from_pydict({
-                    "query_id": pa.array(np.repeat(own, sizes)),
-                    "vec_id": pa.array(np.concatenate([x[0] for x in found])),
-                    "score": pa.array(np.concatenate([x[1] for x in found]).astype(np.int64))})
+                ids, scores = tree.search(q, own, k, least)
+                j, at = np.nonzero(scores >= np.where(np.isfinite(least), least, -1e300)[:, None])
+                yield pa.RecordBatch.from_pydict({"query_id": pa.array(own[j]), "vec_id": pa.array(ids[j, at]),
+                                                  "score": pa.array(scores[j, at].astype(np.int64))})
 
     found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
