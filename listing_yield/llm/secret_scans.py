@@ -42,9 +42,14 @@ LEAST_BITS = {"hex": 3.0, "base64": 3.75}
 LIMIT = {k: round(WINDOW * (math.log2(WINDOW) - v) * SCALE) for k, v in LEAST_BITS.items()}
 CANDIDATE = f"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 HEX_ONLY = "^[0-9A-Fa-f]+$"
-#: Candidates that hold one of these are no secrets.
-ALLOWED = "(?:0123456789|abcdefghij|ABCDEFGHIJ|EXAMPLE|example|PLACEHOLDER|placeholder|/[^/]*/[^/]*/|sha256|sha512|" \
-          "[A-Za-z]{12})"
+_SEPARATOR, _PART = "[/_=+-]+", "(?:[A-Z]?[a-z]{1,15}|[A-Z]{1,15}|[0-9]{1,8})"
+#: A path of words: nothing but single-case words (a capital may lead) and short numbers between separators, and a word
+#: of six letters or more among them. Repeats are bounded, so what is longer is scanned.
+WORD_PATH = f"^(?:{_SEPARATOR})?(?:{_PART}{_SEPARATOR}){{0,32}}(?:[A-Z]?[a-z]{{6,15}}|[A-Z]{{6,15}})" \
+            f"(?:{_SEPARATOR}{_PART}){{0,32}}(?:{_SEPARATOR})?$"
+#: Candidates that hold one of the literals, or are a path of words as a whole, are no secrets.
+ALLOWED = "(?:0123456789|abcdefghij|ABCDEFGHIJ|EXAMPLE|example|PLACEHOLDER|placeholder|sha256|sha512|" \
+          f"{WORD_PATH})"
 
 
 def spans(text: Column, pattern: str, test: str, kind: int, keep=None) -> Column:
@@ -73,9 +78,13 @@ def _f(count: Column) -> Column:
 
 def passing(candidate: Column) -> Column:
     """struct<first, last> of the candidate's windows that pass (numbered from 0), last -1 if none does."""
-    chars = F.split(candidate, "")
     limit = F.when(candidate.rlike(HEX_ONLY), F.lit(LIMIT["hex"])).otherwise(F.lit(LIMIT["base64"])).cast("long")
+    once = F.struct(F.split(candidate, "").alias("chars"), limit.alias("limit"))
+    # as a lambda's variable it is made once for a candidate, not once for each window
+    return F.element_at(F.transform(F.array(once), lambda x: _passing(x["chars"], x["limit"])), 1)
 
+
+def _passing(chars: Column, limit: Column) -> Column:
     def count(i: Column, n: int, c: Column) -> Column:  # of c among n characters from i on
         return F.size(F.filter(F.slice(chars, i, n), lambda x: x == c))
 
