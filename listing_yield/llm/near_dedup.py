@@ -5,7 +5,8 @@ sets form a class, and only classes go on. A signature has ``TREES`` blocks of 8
 sorted order of all signatures, so the forest has one order (tree) for each block.
 
 * Regions. A region of a tree is a common prefix of its order. Its depth adapts to its population: 3 minima, one more
-  where over ``CROWDED[0]`` classes share them, and another one where over ``CROWDED[1]`` do.
+  where over ``CROWDED[0]`` classes share them, and another one where over ``CROWDED[1]`` do. Classes of a region that
+  was split so also meet in ``TREES`` further trees, each of 5 minima from four blocks, so that crowding loses no pairs.
 * First candidates. In each region, every class meets its neighbours of longest common prefix (the next one in the sorted
   order) and the class that agrees best with the region's most frequent minima. That is at most two pairs for each
   class and tree, whatever the region's size.
@@ -15,9 +16,9 @@ sorted order of all signatures, so the forest has one order (tree) for each bloc
   regions in blocks, one task for each pair of blocks), which counts common shingles over postings and returns links that
   join something new: at most one for each class, never the pairs themselves.
 
-Pairs whose signatures agree in so few minima that they are ``DEVIATIONS`` standard deviations below the threshold,
-or whose set sizes alone exclude a link, are no candidates. A pair of similarity 0.85 is in a
-common region of depth 5 in at least one of 16 trees with probability 0.9999, of depth 3 with 0.9999998.
+Pairs whose signatures agree in so few minima that a pair at the threshold has as few or fewer with probability ``LOSS``
+at most (exact binomial tail), or whose set sizes alone exclude a link, are no candidates. A pair of similarity 0.8 shares
+no region of depth 3 in 16 trees with probability 1e-5, and none of depth 5 in those and the further ones with 1.2e-5.
 
 Defined cases: texts without words are linked with nothing and keep themselves; documents of fewer words than a shingle
 have their whole sequence as one; null doc_id is kept apart (component null, kept); rows with equal doc_id and text are
@@ -27,6 +28,8 @@ one node, but each row is returned; an empty table gives no rows; other columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +46,11 @@ MINIMA = TREES * BLOCK
 CROWDED = (32, 256)
 CHUNK = 2048  # classes of a region that one task compares
 BROADCAST_IDS = 500_000
-DEVIATIONS = 4.5
+LOSS = 3e-6  # of links, by the signature test
 SLICE = 1 << 19
+#: The minima of a further tree, from the first of its block on: those that no tree's prefix uses, and one of each of two
+#: other blocks.
+FURTHER = (5, 6, 7, 3 * BLOCK + 3, 7 * BLOCK + 4)
 
 _SEEDS = T.mix(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D)) | np.uint64(1)
 
@@ -69,7 +75,7 @@ def shingles(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, s1, s2 (128 bits that name the set), sig (a byte of each minimum), keys (for each tree, the
-    prefixes of 3, 4 and 5 minima); sig and keys are null for empty sets."""
+    prefixes of 3, 4 and 5 minima; then the further trees' keys); sig and keys are null for empty sets."""
     schema = "doc_id long, n_shingles long, s1 long, s2 long, sig binary, keys array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,15 +108,19 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def prefixes(minima: np.ndarray) -> np.ndarray:
-    """For each row, 3 x TREES keys: tree 0's prefixes of 3, 4 and 5 minima, then tree 1's, and so on."""
-    out = np.zeros((len(minima), TREES, 3), np.uint64)
-    for t in range(TREES):
+    """For each row, 3 x TREES keys: tree 0's prefixes of 3, 4 and 5 minima, then tree 1's, and so on; then one key for
+    each of TREES further trees."""
+    out = np.zeros((len(minima), 4 * TREES), np.uint64)
+    for t in range(2 * TREES):
         h = np.full(len(minima), t + 1, np.uint64)
-        for i in range(5):
-            h = T.mix(h ^ T.mix(minima[:, BLOCK * t + i].astype(np.uint64) + np.uint64((i + 1) << 40)))
-            if i >= 2:
-                out[:, t, i - 2] = h
-    return out.reshape(len(minima), 3 * TREES).view(np.int64)
+        places = range(5) if t < TREES else FURTHER
+        for i, place in enumerate(places):
+            h = T.mix(h ^ T.mix(minima[:, (BLOCK * t + place) % MINIMA].astype(np.uint64) + np.uint64((i + 1) << 40)))
+            if t < TREES and i >= 2:
+                out[:, 3 * t + i - 2] = h
+        if t >= TREES:
+            out[:, 2 * TREES + t] = h
+    return out.view(np.int64)
 
 
 def regions(classes: DataFrame) -> DataFrame:
@@ -118,7 +128,7 @@ def regions(classes: DataFrame) -> DataFrame:
     rows = (classes.select("cls", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.slice("keys", t * 3 + 1, 3))).alias("tree", "k"))
         .select("cls", "tree", F.col("k")[0].alias("k0"), F.col("k")[1].alias("k1"), F.col("k")[2].alias("k2")))
-    out = None
+    out = crowded = None
     for depth in range(3):
         key = f"k{depth}"
         sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -129,7 +139,13 @@ def regions(classes: DataFrame) -> DataFrame:
         out = done if out is None else out.unionByName(done)
         if not last:
             rows = rows.where(F.col("size") > CROWDED[depth]).drop("size")
-    return out
+        if depth == 0:
+            crowded = rows.select("cls").distinct()
+    more = (classes.join(crowded, "cls", "left_semi")
+            .select("cls", F.posexplode(F.slice("keys", 3 * TREES + 1, TREES)).alias("tree", "key"))
+            .withColumn("tree", F.col("tree") + TREES))
+    sizes = more.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return out.unionByName(materialize(more.join(sizes, "key"), "forest-further").select("tree", "key", "size", "cls"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
@@ -185,11 +201,19 @@ def first_candidates(members: DataFrame, percent: int) -> DataFrame:
     return members.mapInArrow(run, "a long, b long").distinct()
 
 
+@cache
+def least_equal(percent: int) -> int:
+    """The largest k such that a pair at the threshold has fewer than k equal minima with probability LOSS at most."""
+    p, below, k = percent / 100, 0.0, 0
+    while (below := below + comb(MINIMA, k) * p**k * (1 - p) ** (MINIMA - k)) <= LOSS:
+        k += 1
+    return k
+
+
 def likely(sig: np.ndarray, n: np.ndarray, pairs: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs agree in enough minima and have set sizes that allow a link."""
-    i, j, p = pairs[:, 0], pairs[:, 1], percent / 100
-    least = MINIMA * p - DEVIATIONS * (MINIMA * p * (1 - p)) ** 0.5
-    same = (sig[i] == sig[j]).sum(axis=1) >= least
+    i, j = pairs[:, 0], pairs[:, 1]
+    same = (sig[i] == sig[j]).sum(axis=1) >= least_equal(percent)
     return same & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
 
 
