@@ -1,7 +1,7 @@
 """Packing: order-preserving dynamic programming over cut points.
 
 Each input partition is one stream of ids in input order (a document's ids, then the separator 0). Cut points are
-document ends, sentence ends and, inside long sentences, a coarse grid. With P the position of a cut point and
+document ends, all sentence ends and, inside long sentences, a coarse grid. With P the position of a cut point and
 c its price (0 at a document's end, more at a sentence's end, most on the grid), the best price of a stream that is
 cut at j is
 
@@ -31,7 +31,6 @@ WINDOW = 1024
 SENTENCE_PRICE = 2.0  # in padded tokens
 GRID_PRICE = 8.0
 GRID = 24  # a sentence longer than this may be cut at multiples of it
-SPACING = 24  # sentence ends nearer than this to the last cut point are no cut points
 SEGMENT = 1 << 19  # ids that one dynamic programme covers
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -40,8 +39,6 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 def cut_points(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions where the stream may be cut, 0 first and the end last, and the price of a cut there."""
     ends = np.flatnonzero(ends_sentence[ids]) + 1
-    if len(ends):  # the first sentence end of each cell of SPACING ids
-        ends = ends[np.r_[True, np.diff(ends // SPACING) > 0]]
     at = np.union1d(ends, np.r_[0, doc_ends])
     gaps = np.diff(at)
     wide = np.flatnonzero(gaps > GRID)
