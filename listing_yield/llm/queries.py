@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (exact_search, language_id, line_dedup, mixing, near_dedup, packing, quality_rules, secret_scans,
-               token_counts, url_filters)
+from . import (exact_search, hard_negatives, language_id, line_dedup, mixing, near_dedup, packing, quality_rules,
+               secret_scans, token_counts, url_filters, warc_bundles, whitening)
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_mixing": mixing.op9_mixing,
     "op10_packing": packing.op10_packing,
+    "op11_warc_bundles": warc_bundles.op11_warc_bundles,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLES = {
@@ -26,4 +29,6 @@ ORACLES = {
     "op6_line_dedup": line_dedup.ORACLE,
     "op7_near_dedup": near_dedup.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op11_warc_bundles": warc_bundles.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }

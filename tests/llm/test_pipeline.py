@@ -18,7 +18,8 @@ def clean(v):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 @pytest.mark.parametrize("name", ["op2_url_filters", "op3_exact_search", "op4_quality_rules", "op5_secret_scans",
-                                  "op6_line_dedup", "op7_near_dedup", "op9_mixing"])
+                                  "op6_line_dedup", "op7_near_dedup", "op9_mixing", "op11_warc_bundles",
+                                  "op13_hard_negatives"])
 def test_oracles(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -70,5 +71,5 @@ def test_pipeline_stages(spark, tmp_path):
 
 def test_every_query_is_registered():
     names = E.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert set(E.oracle_sql()) <= set(names)
