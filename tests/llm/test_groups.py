@@ -191,27 +191,64 @@ def test_components(spark):
 
 # language ID
 
+def total_probability(word, probs):
+    """Sum over all segmentations, letter by letter in logs, with no limit on the word's length."""
+    import math
+    longest = max(map(len, probs))
+    a = [0.0] + [-math.inf] * len(word)
+    for j in range(1, len(word) + 1):
+        terms = []
+        for n in range(1, min(longest, j) + 1):
+            p = max(probs.get(word[j - n: j], 0.0), language_id.FLOOR if n == 1 else 0.0)
+            if p and a[j - n] > -math.inf:
+                terms.append(a[j - n] + math.log(p))
+        top = max(terms)
+        a[j] = top + math.log(sum(math.exp(x - top) for x in terms))
+    return a[-1]
+
+
+def table_of(probs):
+    """Pieces and their column of probabilities."""
+    hashes, longest = language_id.hashes_of(sorted(probs))
+    own = {int(language_id.hashes_of([x])[0][0]): p for x, p in probs.items()}
+    return language_id.Pieces(hashes, longest), np.array([[own[h]] for h in hashes.tolist()] + [[0.0]]), [
+        next(x for x in probs if int(language_id.hashes_of([x])[0][0]) == h) for h in hashes.tolist()]
+
+
+LONG_PIECE = "abcdefghijklmnop"
+PROBS = {"a": 0.1, "b": 0.2, "ab": 0.3, "ba": 0.15, "aba": 0.05, LONG_PIECE: 0.1, "\U00030001\U00030002": 0.1}
+HIGH = "\U00030001\U00030002\U0002A700"  # letters of planes 2 and 3
+
+
 def test_forward_sums_all_segmentations():
-    pieces = ["a", "b", "ab", "ba", "aba"]
-    letters = language_id.Letters.get()
-    hashes = sorted(int(language_id.T.span_hash(letters.value[[ord(c) for c in x]], np.array([0]), np.array([len(x)]))[0])
-                    for x in pieces)
-    by_hash = {h: x for x in pieces for h in
-               [int(language_id.T.span_hash(letters.value[[ord(c) for c in x]], np.array([0]), np.array([len(x)]))[0])]}
-    probs = np.array([[0.1 * (1 + pieces.index(by_hash[h]))] for h in hashes] + [[0.0]])
-
-    def total(x):
-        if not x:
-            return 1.0
-        return sum((probs[hashes.index(h), 0] if (h := next((k for k, v in by_hash.items() if v == x[:i]), None)) else
-                    language_id.FLOOR if i == 1 else 0.0) * total(x[i:]) for i in range(1, len(x) + 1))
-
-    found = language_id.Pieces(np.array(hashes, np.uint64))
-    codes, s, e, row = language_id.parts_of(["abab, Ba! aba", "c", None, "1 2"])
-    values, first, inverse = language_id.distinct_parts(codes, s, e)
-    got = np.exp(language_id.part_scores(values, s, e, first, found, probs))[inverse][:, 0]
-    assert np.allclose(got, [total("abab"), total("ba"), total("aba"), language_id.FLOOR])
-    assert row.tolist() == [0, 0, 0, 1]
+    pieces, probs, _ = table_of(PROBS)
+    rng = random.Random(1)
+    long = ["".join(rng.choice(["a", "b", "ab", LONG_PIECE, "z"]) for _ in range(n)) for n in (20, 30, 200, 1000)]
+    long += ["z" * 4000, LONG_PIECE * 50, "a" * 25, "ab" * 24, "b" * 24, "z" + LONG_PIECE * 3]
+    words = ["abab", "ba", "aba", "c", LONG_PIECE, "x" + LONG_PIECE + "y", HIGH, HIGH * 30] + long
+    codes, s, e, row = language_id.words_of(["abab, Ba! aba", "c", None, "1 2", " ".join(words[4:])])
+    values, first, inverse = language_id.distinct_words(codes, s, e)
+    got = language_id.word_scores(values, s, e, first, pieces, probs)[inverse][:, 0]
+    assert np.allclose(got, [total_probability(w, PROBS) for w in words], rtol=1e-10)
+    assert row.tolist() == [0, 0, 0, 1] + [4] * len(words[4:])
+
+
+def test_expected_counts_follow_from_all_segmentations():
+    """The expected uses of a piece are the derivative of the log probability by the log of its probability."""
+    pieces, probs, names = table_of(PROBS)
+    rng = random.Random(2)
+    words = ["abab", LONG_PIECE + "ab", "ab" * 40, "".join(rng.choice(["a", "b", "z", LONG_PIECE]) for _ in range(90)), HIGH * 12]
+    codes, s, e, _ = language_id.words_of([" ".join(words)])
+    values, first, inverse = language_id.distinct_words(codes, s, e)
+    weight = np.zeros(len(first))
+    weight[inverse] = [1, 2, 3, 4, 5]
+    got = language_id.expected_counts(values, s, e, first, weight, pieces, probs)
+    for i, x in enumerate(names):
+        up, down = ({**PROBS, x: PROBS[x] * f} for f in (1 + 1e-6, 1 - 1e-6))
+        slope = sum(w * (total_probability(t, up) - total_probability(t, down)) / 2e-6
+                    for w, t in zip([1, 2, 3, 4, 5], words, strict=True))
+        assert abs(got[i] - slope) < 1e-4 * max(1, slope), x
+    assert got[-1] == 0
 
 
 def test_language_id(spark):
@@ -223,7 +260,8 @@ def test_language_id(spark):
         text = " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randint(1, 4))) for _ in range(30))
         rows.append((i, text, lang if i % 7 else None, lang))
     extra = [(1000, None, "en", "und"), (1001, "", "en", "und"), (1002, "12 34 !", "fr", "und"), (None, "sch", "de", "de"),
-             (1003, "the " * 30_000 + "é" * 5000, "en", None), (1004, "x" * 3000, None, None)]
+             (1003, "the " * 30_000 + "é" * 5000, "en", None), (1004, "x" * 3000, None, None),
+             (1005, HIGH, None, "de"), (1006, HIGH * 2000 + " eau eau", None, "fr")]  # ties go to the first by name
     df = spark.createDataFrame([r[:3] for r in rows + extra], "doc_id long, text string, lang string")
     df = df.withColumn("score", F.lit(3)).withColumn("source", F.lit("s"))
     out = {r.doc_id: r for r in language_id.predict(df, language_id.fit(df, train_docs=40)).collect()}
@@ -233,6 +271,7 @@ def test_language_id(spark):
         assert 0 <= r.score <= 1
         assert want is None or r.lang_pred == want
         assert r.held_out == (i is not None and zlib.crc32(str(i).encode()) % 4 == 2)
+    assert out[1005].score > 0.3 and out[1004].lang_pred != "und"
     nothing = language_id.fit(df.limit(0))
     assert {r.lang_pred for r in language_id.predict(df, nothing).collect()} == {"und"}
     assert language_id.predict(df.limit(0), nothing).count() == 0
