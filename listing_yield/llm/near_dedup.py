@@ -1,7 +1,7 @@
 """MinHash near-dedup by an LSH forest.
 
-A document's set holds its distinct shingles of words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased); documents with equal
-sets form a class, and only classes go on. A signature has ``TREES`` blocks of 8 minima; each block is the head of one
+A document's set holds its distinct shingles of words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased); texts with equal
+sets form a class, and only classes go on, each under a number of its own. A signature has ``TREES`` blocks of 8 minima; each block is the head of one
 sorted order of all signatures, so the forest has one order (tree) for each block.
 
 * Regions. A region of a tree is a common prefix of its order. Its depth adapts to its population: 3 minima, one more
@@ -12,17 +12,19 @@ sorted order of all signatures, so the forest has one order (tree) for each bloc
   class and tree, whatever the region's size.
 * Links are confirmed on full sets, and linked classes joined to components.
 * The rest. Pairs of one region that are still in different components are all compared too, so nothing is lost to
-  the first step's limit. Classes with a likely partner are sent, with their full sets, to their region's task (large
-  regions in blocks, one task for each pair of blocks), which counts common shingles over postings and returns links that
-  join something new: at most one for each class, never the pairs themselves.
+  the first step's limit. Classes with a likely partner are sent, with their full sets, to their region's task, which
+  counts common shingles over postings and returns links that join something new: at most one for each class, never the
+  pairs themselves. Regions of over ``CHUNK`` classes go in blocks, one task for each pair of blocks; the blocks of the
+  region's largest component meet only those of the others, so a region that one group of copies fills stays linear.
 
 Pairs whose signatures agree in so few minima that a pair at the threshold has as few or fewer with probability ``LOSS``
 at most (exact binomial tail), or whose set sizes alone exclude a link, are no candidates. A pair of similarity 0.8 shares
 no region of depth 3 in 16 trees with probability 1e-5, and none of depth 5 in those and the further ones with 1.2e-5.
 
 Defined cases: texts without words are linked with nothing and keep themselves; documents of fewer words than a shingle
-have their whole sequence as one; null doc_id is kept apart (component null, kept); rows with equal doc_id and text are
-one node, but each row is returned; an empty table gives no rows; other columns are not read.
+have their whole sequence as one; null doc_id is kept apart (component null, kept); rows of one doc_id are one document,
+whose texts each have their own set and whose links are those of all its texts, but each row is returned; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -74,22 +76,21 @@ def shingles(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, s1, s2 (128 bits that name the set), sig (a byte of each minimum), keys (for each tree, the
-    prefixes of 3, 4 and 5 minima; then the further trees' keys); sig and keys are null for empty sets."""
-    schema = "doc_id long, n_shingles long, s1 long, s2 long, sig binary, keys array<long>"
+    """doc_id, spot (names the row by doc_id and text), n_shingles, s1, s2 (128 bits that name the set), sig (a byte of
+    each minimum), keys (for each tree, the prefixes of 3, 4 and 5 minima; then the further trees' keys); sig and keys
+    are null for empty sets."""
+    schema = "doc_id long, spot long, n_shingles long, s1 long, s2 long, sig binary, keys array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in T.slices(batch.column(1), SLICE):
-                found, row = shingles(batch.column(1).slice(a, b - a), words)
+            for a, b in T.slices(batch.column(2), SLICE):
+                found, row = shingles(batch.column(2).slice(a, b - a), words)
                 n = np.bincount(row, minlength=b - a)
                 full = np.flatnonzero(n)
                 at = np.flatnonzero(np.r_[True, np.diff(row) != 0]) if len(row) else np.zeros(0, int)
-                names = np.zeros((2, b - a), np.uint64)
+                names = set_names(found, row, b - a)
                 minima = np.zeros((len(full), MINIMA), np.uint32)
                 if len(full):
-                    names[0, full] = np.add.reduceat(found, at)
-                    names[1, full] = np.add.reduceat(T.mix(found ^ np.uint64(0x9FB21C651E98DF25)), at)
                     for i, seed in enumerate(_SEEDS):
                         minima[:, i] = np.minimum.reduceat(found * seed, at) >> np.uint64(32)
                 keys = prefixes(minima)
@@ -99,12 +100,27 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     sig[i] = minima[j].astype(np.uint8).tobytes()
                     lists[i] = keys[j]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(names[0].view(np.int64)),
-                     pa.array(names[1].view(np.int64)), pa.array(sig, pa.binary()),
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(n, pa.int64()),
+                     pa.array(names[0]), pa.array(names[1]), pa.array(sig, pa.binary()),
                      pa.array(lists, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "s1", "s2", "sig", "keys"])
+                    ["doc_id", "spot", "n_shingles", "s1", "s2", "sig", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return _spotted(docs).select("doc_id", "spot", "text").mapInArrow(run, schema)
+
+
+def _spotted(docs: DataFrame) -> DataFrame:
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.withColumn("spot", F.xxhash64("doc_id", "text"))
+
+
+def set_names(found: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """128 bits that name each row's set, as two rows of longs; 0 for an empty set."""
+    out = np.zeros((2, rows), np.uint64)
+    if len(row):
+        at = np.flatnonzero(np.r_[True, np.diff(row) != 0])
+        out[0, row[at]] = np.add.reduceat(found, at)
+        out[1, row[at]] = np.add.reduceat(T.mix(found ^ np.uint64(0x9FB21C651E98DF25)), at)
+    return out.view(np.int64)
 
 
 def prefixes(minima: np.ndarray) -> np.ndarray:
@@ -288,31 +304,35 @@ def _numbers(packed: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """cls, set: the shingle set of each class in ``wanted``, as sorted 48-bit hashes. A class goes by its least doc_id,
-    so that document's set is the class's. Up to ``BROADCAST_IDS`` ids are broadcast; more of them join by a shuffle."""
-    wanted = materialize(wanted.distinct(), "wanted")
+def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """cls, set: the shingle set of each class in ``wanted``, as sorted 48-bit hashes, read from one of its texts. The
+    names of up to ``BROADCAST_IDS`` such texts are broadcast; more of them join by a shuffle."""
+    wanted = materialize(classes.join(wanted.distinct(), "cls", "left_semi").select("spot", "cls", "s1", "s2"), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    own = docs.select(F.col("doc_id").cast("long").alias("cls"), "text").join(wanted, "cls", "left_semi")
+    own = _spotted(docs).select("spot", "text").join(wanted, "spot").select("cls", "s1", "s2", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in T.slices(batch.column(1), SLICE):
-                found, row = shingles(batch.column(1).slice(a, b - a), words)
+            for a, b in T.slices(batch.column(3), SLICE):
+                part = batch.slice(a, b - a)
+                found, row = shingles(part.column(3), words)
+                names = set_names(found, row, b - a)
+                right = (part.column(1).to_numpy() == names[0]) & (part.column(2).to_numpy() == names[1])
                 at = np.searchsorted(row, np.arange(b - a + 1))
                 six = np.ascontiguousarray((found >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6])
                 yield pa.RecordBatch.from_pydict({
-                    "cls": batch.column(0).slice(a, b - a),
-                    "set": pa.array([six[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())})
+                    "cls": part.column(0),
+                    "set": pa.array([six[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+                }).filter(pa.array(right))
 
     return materialize(own.mapInArrow(run, "cls long, set binary").dropDuplicates(["cls"]), "sets")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """u, v: the pairs whose full sets have a similarity of at least ``percent``."""
-    known = full_sets(docs, pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))),
-                      words)
+    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
+    known = full_sets(docs, classes, wanted, words)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,12 +350,50 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return materialize(both.mapInArrow(compare, "u long, v long"), "links")
 
 
+def same_document(signed: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """u, v: links between the classes of a doc_id that has several; None if there is no such doc_id."""
+    filled = signed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "s1", "s2")
+    several = materialize(filled.groupBy("doc_id").agg(
+        *[f(c).alias(f"{c}_{f.__name__}") for c in ("n_shingles", "s1", "s2") for f in (F.min, F.max)])
+        .where(" or ".join(f"{c}_min <> {c}_max" for c in ("n_shingles", "s1", "s2"))).select("doc_id"), "several")
+    if several.isEmpty():
+        return None
+    texts = materialize(filled.join(several, "doc_id").distinct().join(
+        classes.select("n_shingles", "s1", "s2", "cls"), ["n_shingles", "s1", "s2"]).select("doc_id", "cls"), "several-texts")
+    least = texts.groupBy("doc_id").agg(F.min("cls").alias("v"))
+    return texts.join(least, "doc_id").select(F.col("cls").alias("u"), "v").where("u <> v")
+
+
+def block_pairs(placed: DataFrame) -> DataFrame:
+    """``placed`` with block, i and j: a row for each pair of blocks (a task) that a class of a region takes part in.
+    Blocks of a large region's largest component come first and meet only the other blocks."""
+    zero = F.lit(0).cast("long")
+    large = F.col("size") > CHUNK
+    lead = (placed.where(large).groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("key").agg(F.max(F.struct("n", "part")).alias("lead")))
+    placed = placed.join(lead, "key", "left")
+    first = F.ceil(F.col("lead.n") / CHUNK).cast("long")
+    rest = F.ceil((F.col("size") - F.col("lead.n")) / CHUNK).cast("long")
+    placed = placed.withColumn("first", F.coalesce(first, zero)).withColumn("rest", F.coalesce(rest, zero))
+    leads = F.col("part") == F.col("lead.part")
+    block = F.when(leads, F.pmod(F.xxhash64("cls"), F.col("first"))).otherwise(
+        F.col("first") + F.pmod(F.xxhash64("cls"), F.col("rest")))
+    placed = placed.withColumn("block", F.when(large, block).otherwise(zero)).withColumn(
+        "other", F.explode(F.when(~large, F.array(zero)).when(
+            leads, F.sequence(F.col("first"), F.col("first") + F.col("rest") - 1)).otherwise(
+            F.sequence(zero, F.col("first") + F.col("rest") - 1))))
+    return placed.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
 def group(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     signed = materialize(signatures(docs, words), "signatures")
+    by_set = ["n_shingles", "s1", "s2"]
     classes = materialize(
-        signed.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "s1", "s2")
-        .agg(F.min("doc_id").alias("cls"), F.first("sig").alias("sig"), F.first("keys").alias("keys")), "classes")
+        signed.where("n_shingles > 0 and doc_id is not null").groupBy(*by_set)
+        .agg(F.min(F.struct("doc_id", "spot")).alias("least"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+        .select(F.monotonically_increasing_id().alias("cls"), *by_set, "least.doc_id", "least.spot", "sig", "keys"),
+        "classes")
     spots = regions(classes)
     signs = classes.select("cls", "n_shingles", "sig")
     chunk = F.when(F.col("size") > CHUNK, F.pmod(F.xxhash64("cls", "tree"), F.ceil(F.col("size") / CHUNK))).otherwise(0)
@@ -343,33 +401,33 @@ def group(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     near = first_candidates(members.repartition("key", "chunk").sortWithinPartitions("key", "chunk")
                             .select("key", "chunk", "tree", "cls", "n_shingles", "sig"), percent)
     tried = materialize(near, "candidates")
-    links = confirmed(tried, docs, words, percent)
+    links = confirmed(tried, docs, classes, words, percent)
+    same = same_document(signed, classes)
+    if same is not None:
+        links = materialize(links.unionByName(same), "links")
     parts = components(links)
 
-    placed = members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+    placed = members.drop("chunk").join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "part", F.coalesce("component", "cls")).drop("component")
     mixed = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
-    placed = placed.join(mixed, "key")
-    blocks = F.ceil(F.col("size") / CHUNK).cast("long")
-    placed = placed.withColumn("other", F.explode(F.when(
-        F.col("size") > CHUNK, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.lit(0).cast("long")))))
-    columns = ["key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "cls"]
+    placed = block_pairs(materialize(placed.join(mixed, "key"), "mixed"))
     by_task = ["key", "i", "j"]
     left = materialize(members_left(
-        placed.select(*columns, "n_shingles", "sig", "part", "chunk").repartition(*by_task)
+        placed.select(*by_task, "cls", "n_shingles", "sig", "part", "block").repartition(*by_task)
         .sortWithinPartitions(*by_task), percent), "members-left")
-    known = full_sets(docs, left.select("cls"), words)
-    places = placed.select(*columns, "part", "chunk")
+    known = full_sets(docs, classes, left.select("cls"), words)
+    places = placed.select(*by_task, "cls", "part", "block")
     found = region_links(left.join(places, [*by_task, "cls"]).join(known, "cls")
-                         .select(*by_task, "cls", "part", "chunk", "set").repartition(*by_task)
+                         .select(*by_task, "cls", "part", "block", "set").repartition(*by_task)
                          .sortWithinPartitions(*by_task, "cls"), percent)
     links = links.unionByName(found)
     parts = components(links)
 
-    by_class = (classes.select("n_shingles", "s1", "s2", "cls")
-                .join(parts.withColumnRenamed("node", "cls"), "cls", "left")
-                .select("n_shingles", "s1", "s2", F.coalesce("component", "cls").alias("component")))
-    known = signed.select("doc_id", "n_shingles", "s1", "s2").join(by_class, ["n_shingles", "s1", "s2"], "left")
+    named = classes.select(*by_set, "cls", "doc_id").join(parts.withColumnRenamed("node", "cls"), "cls", "left")
+    named = named.withColumn("part", F.coalesce("component", "cls"))
+    least = named.groupBy("part").agg(F.min("doc_id").alias("least"))
+    by_class = named.join(least, "part").select(*by_set, F.col("least").alias("component"))
+    known = signed.select("doc_id", *by_set).join(by_class, by_set, "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return (known.select("doc_id", "n_shingles", component.alias("component_id"))

@@ -176,6 +176,22 @@ def test_near_dedup(spark, monkeypatch, seed, words, percent, crowded, chunk, id
     assert near_dedup.group(df.limit(0), words, percent).count() == 0
 
 
+def test_one_doc_id_with_several_texts(spark):
+    """All texts of a doc_id lead to its links, however the rows are dealt."""
+    words = [f"w{i}" for i in range(120)]
+    a, b, other = words[:60], words[60:], [f"o{i}" for i in range(60)]
+    near = lambda x: " ".join([*x[:-1], "zz"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(b)), (2, near(b)), (3, near(a)), (7, " ".join(other)),
+            (4, " ".join(a)), (9, None), (9, " ".join(other)), (5, "x y"), (5, None)]
+    want = {1: 1, 2: 1, 3: 1, 4: 1, 7: 7, 9: 7, 5: 5}
+    for n in (1, 3, 5):
+        got = near_dedup.group(docs_of(spark, rows).repartition(n), 3, 85).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert r.component_id == (want[r.doc_id] if r.n_shingles else r.doc_id)
+            assert r.kept == (r.doc_id == r.component_id)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(30)]
