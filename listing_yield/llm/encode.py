@@ -10,8 +10,6 @@ from __future__ import annotations
 import base64
 from array import array
 
-import numpy as np
-
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 _encoders: dict[str, "Encoder"] = {}
@@ -60,13 +58,6 @@ class Encoder:
             return array("I", self._encode(text)).tobytes()
         return array("I", self._encode(parts[0])).tobytes() + b"".join(map(self._get, parts[1:]))
 
-    def ends_sentence(self) -> np.ndarray:
-        """By id: does the token end with a full stop, exclamation mark, question mark or line end?"""
-        out = np.zeros(max(self.tokens.values()) + 1, bool)
-        for token, i in self.tokens.items():
-            out[i] = token[-1:] in (b".", b"!", b"?", b"\n")
-        return out
-
 
 #: White space other than space and line feed: a text that holds any is encoded in one call.
 ODD = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")

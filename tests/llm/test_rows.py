@@ -84,26 +84,14 @@ def test_packing_round_trip(spark, reference):
             assert r.offset == at
             at += r.length
         assert at <= 1024
+    report = packing.padding(packing.pack(df)).first()
+    assert report.tokens == sum(len(ids) for _, ids in want)
+    assert report.sequences == len(by_sequence)
+    assert report.padded == sum(0 if n & (n - 1) == 0 else 1024 - n for own in by_sequence.values()
+                                for n in [sum(r.length for r in own)])
     assert packing.pack(df.limit(0)).count() == 0
 
 
-def test_cuts_are_the_cheapest():
-    import numpy as np
-
-    rng = np.random.default_rng(1)
-    for _ in range(200):
-        at = np.cumsum(np.r_[0, rng.integers(1, 9, rng.integers(1, 14))])
-        price = rng.integers(0, 5, len(at)).astype(float)
-        price[0] = 0
-        cuts = packing.best_cuts(at, price, window=12)
-        cost = lambda c: sum(12 - (b - a) + price[list(at).index(b)] for a, b in zip(c, c[1:]))
-        best = {0: 0.0}
-        for j in at[1:]:
-            best[j] = min(best[i] + 12 - (j - i) for i in best if j - i <= 12) + price[list(at).index(j)]
-        assert cuts[0] == 0 and cuts[-1] == at[-1] and all(b - a <= 12 for a, b in zip(cuts, cuts[1:]))
-        assert cost(cuts) == best[at[-1]]
-
-
 URLS = [None, "", "no scheme", "http://", "http://com", "http://com/", "HTTP://A.COM/x", "x://example.com/en/1",
         "x://EXAMPLE.com/en/", "x://www.example.com/en/q?a#b", "x://a.www.example.com/en", "x://notexample.com/en/",
         "x://a.b.net/es/1", "x://net/fr/", "x://net/FR/", "x://net?/fr/", "x://net#/es/", "x://a..com//",
