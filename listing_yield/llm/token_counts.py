@@ -1,8 +1,8 @@
 """Token counts: an exact histogram of encoded lengths, and suffix sums over it.
 
 Each task counts its own documents by length, so the shuffle carries one row for each task and distinct length. A
-context limit is answered from the row of the smallest length at or above it (``at_limits``): with D documents and T
-tokens in rows of that length or more, a limit m keeps all tokens of shorter documents and m of each of the D others.
+context limit is answered from the suffix sums of the smallest length above it (``at_limits``): with D documents of that
+length or more, and T tokens in shorter ones, a limit m keeps the T tokens and m of each of the D documents.
 
 The suffix sums are taken in two steps, inside cells of ``CELL`` lengths and over the cells' totals, so no task orders
 the whole histogram.
@@ -64,23 +64,24 @@ def suffix_sums(counts: DataFrame) -> DataFrame:
 
 
 def at_limits(sums: DataFrame, limits: list[int]) -> DataFrame:
-    """context_limit, total_docs, total_tokens, docs_over, truncated_tokens for each limit, in one aggregate over the
-    histogram: documents longer than the limit keep its many tokens."""
-    spark = sums.sparkSession
-    asked = spark.createDataFrame([(int(x),) for x in limits], "context_limit long")
-    lit = [F.struct(F.lit(int(x)).alias("m"),
-                    F.coalesce(F.sum(F.when(F.col("n_tokens") > x, F.col("n_docs"))), F.lit(0)).alias("over"),
-                    F.coalesce(F.sum(F.least("n_tokens", F.lit(int(x))) * F.col("n_docs")), F.lit(0)).alias("kept"))
-           for x in limits]
-    one = sums.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("total_docs"),
-                   F.coalesce(F.sum(F.col("n_docs") * F.col("n_tokens")), F.lit(0)).alias("total_tokens"),
-                   F.array(*lit).alias("rows")) if limits else None
-    if one is None:
-        return asked.selectExpr("context_limit", "0L total_docs", "0L total_tokens", "0L docs_over",
-                                "0L truncated_tokens")
-    return (one.select("total_docs", "total_tokens", F.explode("rows").alias("r"))
-            .selectExpr("r.m context_limit", "total_docs", "total_tokens", "r.over docs_over",
-                        "r.kept truncated_tokens"))
+    """context_limit, total_docs, total_tokens, docs_over, truncated_tokens for each limit, read off the suffix sums: of
+    the first length above the limit (its documents and the longer ones keep the limit's many tokens, all shorter ones
+    stay whole), or of the longest length, for limits from there on. Without documents all are 0."""
+    if not limits:
+        return sums.limit(0).selectExpr("n_tokens context_limit", "0L total_docs", "0L total_tokens", "0L docs_over",
+                                        "0L truncated_tokens")
+    row = F.struct("n_tokens", "docs_ge", "docs_lt", "tokens_ge", "tokens_lt")
+    # the smallest and largest row of either side combine on the map side; nothing but the limits' rows comes together
+    picked = sums.agg(F.max(row).alias("top"), *[
+        F.min(F.when(F.col("n_tokens") > int(x), row)).alias(f"above{i}") for i, x in enumerate(limits)])
+    above = F.array(*[F.struct(F.lit(int(x)).cast("long").alias("context_limit"), F.col(f"above{i}").alias("above"))
+                      for i, x in enumerate(limits)])
+    none = F.lit(0).cast("long")
+    found = picked.select("top", F.explode(above).alias("at")).select("top", "at.context_limit", "at.above")
+    total = lambda c: F.coalesce(F.col(f"top.{c}_ge") + F.col(f"top.{c}_lt"), none)
+    kept = F.coalesce(F.col("above.tokens_lt") + F.col("context_limit") * F.col("above.docs_ge"), total("tokens"))
+    return found.select("context_limit", total("docs").alias("total_docs"), total("tokens").alias("total_tokens"),
+                        F.coalesce("above.docs_ge", none).alias("docs_over"), kept.alias("truncated_tokens"))
 
 
 def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
@@ -92,9 +93,23 @@ def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
     return sums.agg(*rank).select(F.explode(rows).alias("r")).select("r.share", "r.n_tokens")
 
 
+#: Context limits that the registered query reports besides the lengths that occur.
+LIMITS = [128, 512, 1024, 2048, 4096, 8192, 32768, 131072]
+SHARES = [0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each encoded length that occurs, with its suffix sums and the share of documents up to it."""
-    # two branches read the histogram; written once, texts are encoded once
-    sums = suffix_sums(materialize(length_counts(read_table(spark, sf_dir, "documents")), "lengths"))
+    """One row for each encoded length that occurs (kind ``length``), with its suffix sums and the share of documents up
+    to it; then the answers read off them: for each of ``LIMITS`` (kind ``limit``) how many documents are longer and what
+    is left of all tokens, and for each of ``SHARES`` (kind ``quantile``) its length."""
+    # several branches read the sums; written once, texts are encoded once
+    counts = materialize(length_counts(read_table(spark, sf_dir, "documents")), "lengths")
+    sums = materialize(suffix_sums(counts), "suffix-sums")
     share = (F.col("docs_lt") + F.col("n_docs")) / (F.col("docs_lt") + F.col("docs_ge"))
-    return sums.withColumn("share_le", share)
+    lengths = sums.withColumn("share_le", share).withColumn("kind", F.lit("length"))
+    limits = at_limits(sums, LIMITS).select(
+        F.lit("limit").alias("kind"), F.col("context_limit").alias("n_tokens"), F.col("docs_over").alias("docs_ge"),
+        (F.col("total_docs") - F.col("docs_over")).alias("docs_lt"), "truncated_tokens")
+    cuts = quantiles(sums, SHARES).where("n_tokens is not null").select(
+        F.lit("quantile").alias("kind"), "n_tokens", F.col("share").alias("share_le"))
+    return lengths.unionByName(limits, allowMissingColumns=True).unionByName(cuts, allowMissingColumns=True)
