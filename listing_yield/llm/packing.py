@@ -49,9 +49,11 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 KINDS = ("document", "sentence", "inside")
 
 _CLOSING = rb"(?:[\"')\]]|\xe2\x80[\x99\x9d]|\xc2\xbb)*"
+_WIDE = rb"(?:\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f|\xe2\x80\xa6)*"
+#: It starts with one set of bytes, so that the search jumps from one of these to the next.
 SENTENCE_END = re.compile(
-    rb"(?:(?<!\b[A-Za-z])\.|[!?])[.!?]*" + _CLOSING + rb"(?=\s|$)"
-    rb"|(?:\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f|\xe2\x80\xa6)+" + _CLOSING + rb"|\n+")
+    rb"[.!?\n\xe2\xe3\xef](?:(?<=[.!?])(?<!\b[A-Za-z]\.)[.!?]*" + _CLOSING + rb"(?=\s|$)|(?<=\n)\n*"
+    rb"|(?:(?<=\xe3)\x80\x82|(?<=\xef)\xbc[\x81\x9f]|(?<=\xe2)\x80\xa6)" + _WIDE + _CLOSING + rb")")
 
 
 def sentence_ends(text: bytes, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -94,19 +96,39 @@ class Cutter:
         self.queue, self.worth, self.head = [0], [0.0], 0  # cut points with growing best + position
         self.done = 0
 
+    def _a_power_before(self, at: list[int]) -> tuple[list[int], list[int]]:
+        """Points that lie a power of two before each of ``at``: where each one's begin in the list, and the list."""
+        new = np.array(at, np.int64)
+        first = self.points[self.low]
+        known = np.zeros(new[-1] - first + 1, bool)
+        known[np.array(self.points[self.low:], np.int64) - first] = True
+        known[new - first] = True
+        of, found = [], []
+        for step in self.powers:
+            before = new - step - first
+            own = np.flatnonzero(before >= 0)
+            own = own[known[before[own]]]
+            of.append(own)
+            found.append(new[own] - step)
+        of, found = np.concatenate(of), np.concatenate(found)
+        order = np.argsort(of, kind="stable")
+        return np.searchsorted(of[order], np.arange(len(new) + 1)).tolist(), found[order].tolist()
+
     def feed(self, at: list[int], price: list[float]) -> None:
+        if not at:
+            return
+        begin, earlier = self._a_power_before(at)
         best, came, queue, worth, points, window = self.best, self.came, self.queue, self.worth, self.points, self.window
         head, low = self.head, self.low
-        for p, c in zip(at, price, strict=True):
+        for j, (p, c) in enumerate(zip(at, price, strict=True)):
             while queue[head] < p - window:
                 head += 1
             while points[low] < p - window:
                 low += 1
             i, least = queue[head], window - p + worth[head]
-            for step in self.powers:
-                own = best.get(p - step)
-                if own is not None and own < least:
-                    i, least = p - step, own
+            for q in earlier[begin[j]: begin[j + 1]]:
+                if best[q] < least:
+                    i, least = q, best[q]
             came[p] = i
             best[p] = least + c
             w = best[p] + p
