@@ -35,7 +35,8 @@ def price_per_m2(price: str | Column, area: str | Column, digits: int = 2) -> Co
 
 
 def price_per_m2_guarded(price: str | Column, area: str | Column) -> Column:
-    """Only when both present and area > 0, rounded to 2."""
+    """Only when both present and area > 0, rounded to 2: half up on the shortest decimal text of the quotient, as all
+    rounded columns here."""
     a = col_(area)
     return F.when(col_(price).isNotNull() & (col_(price) != 0) & a.isNotNull() & (a > 0),
                   F.round(safe_div(price, a), 2))

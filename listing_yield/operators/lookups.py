@@ -61,14 +61,18 @@ def with_band_error(rows: DataFrame, band_err: DataFrame, area: str = "sup_total
 
 
 def detail_join(listing: DataFrame, detail: DataFrame, key: str = "slug") -> DataFrame:
-    """Enrich listings with detail records.
+    """Enrich listings with detail records, one per key.
 
-    On a match, bedrooms / parking / age / new-flag are overwritten even by NULL;
+    Of several details of a key the newest building (the least age, NULL last) counts, then the greatest row by
+    content, so a listing is never doubled and the choice doesn't depend on the order of the records. On a match, bedrooms / parking / age / new-flag are overwritten even by NULL;
     description and details only when the detail value is non-empty; the area
     only when the listing has none.  Unmatched rows keep their values.
     """
-    d = detail.select(F.col(key), F.lit(True).alias("_hit"),
-                      *[F.col(c).alias(f"_d_{c}") for c in detail.columns if c != key])
+    rest = [c for c in detail.columns if c != key]
+    first = [(-F.col("antiguedad_anios")).alias("_young")] if "antiguedad_anios" in rest else []
+    best = F.max(F.struct(*first, *rest)).alias("_b")  # combines on the map side
+    d = detail.groupBy(key).agg(best).select(
+        F.col(key), F.lit(True).alias("_hit"), *[F.col(f"_b.{c}").alias(f"_d_{c}") for c in rest])
     j = listing.join(d, key, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     out = j

@@ -272,18 +272,18 @@ def q_payload_fields(spark, sf_dir):
 
 # --------------------------------------------------------------------------- S5, J6, H18-H20, H25, H26, H36: details and enrichment
 
-@register("detail_enrich", """
+@register("detail_enrich", f"""
 WITH o AS (SELECT *, o_orderkey % 4 AS k FROM orders)
 SELECT o_orderkey, CASE WHEN k = 0 THEN CAST(o_custkey % 5 AS INTEGER) END AS dormitorios,
   CAST(CASE WHEN k = 0 THEN o_custkey % 3 WHEN k = 1 THEN 1 END AS INTEGER) AS cocheras,
   CASE WHEN k = 0 THEN 26 END AS antiguedad_anios,
   CASE WHEN k = 0 THEN 'Pileta y balcón' ELSE '' END AS descripcion,
-  CASE WHEN k = 0 THEN 'parrilla es-gym' ELSE '' END AS detalles,
+  CASE WHEN k = 0 THEN 'parrilla es-gym x' ELSE '' END AS detalles,
   (k = 0)::INT AS pileta, (k = 0)::INT AS balcon, (k = 0)::INT AS parrilla, (k = 0)::INT AS gimnasio,
   (k = 1)::INT AS cochera_txt,
   CASE k WHEN 0 THEN 'retiro' WHEN 1 THEN 'palermo' WHEN 2 THEN 'la boca' ELSE 'boedo' END AS barrio,
   CASE k WHEN 0 THEN 1 WHEN 1 THEN 14 WHEN 2 THEN 4 ELSE 5 END AS comuna,
-  CAST(round(o_totalprice / 50, 2) AS DOUBLE) AS precio_m2
+  CAST({O.sround('o_totalprice / 50', 2)} AS DOUBLE) AS precio_m2, TIMESTAMP '2026-01-01 00:00:00' AS fecha_scraping
 FROM o""")
 def q_detail_enrich(spark, sf_dir):
     o = spread(read_table(spark, sf_dir, "orders")).select("o_orderkey", "o_custkey", "o_totalprice")
@@ -303,15 +303,22 @@ def q_detail_enrich(spark, sf_dir):
         F.col("o_orderkey").cast("string").alias("slug"),
         F.struct((F.col("o_custkey") % 5).alias("bedrooms"), (F.col("o_custkey") % 3).cast("string").alias("parkingSpaces"),
                  F.lit(2000).alias("yearBuilt"), F.lit("Pileta  y balcón").alias("description"),
-                 F.array(feature("parrilla", "es"), feature(None, "es-gym")).alias("features"),
+                 F.array(feature("parrilla", "es"), feature(None, "es-gym"), feature("", "x"),
+                         feature(None, "")).alias("features"),
                  F.struct(F.lit("Retiro").alias("citie")).alias("geo")).alias("data")))
     path = _scratch(spark, "details")
-    o.filter(k == 0).select(record.alias("value")).write.mode("overwrite").text(path)
+    # every third record comes twice, the older one with another number of rooms
+    twice = o.filter(k == 0).select("o_orderkey", record.alias("value")).withColumn("again", F.explode(
+        F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    older = F.regexp_replace("value", '"yearBuilt":2000', '"yearBuilt":1900')
+    twice.select(F.when(F.col("again") == 1, older).otherwise(F.col("value")).alias("value")).write.mode(
+        "overwrite").text(path)
     parsed = spark.read.text(path).select(F.from_json("value", payloads.DETAIL_SCHEMA).alias("d")).select("d.*")
     details = materialize(payloads.parse_details(parsed, 2026), "details")
     out = payloads.enrich(lookups.detail_join(listing, details), captured_at="2026-01-01 00:00:00")
     return out.select("o_orderkey", "dormitorios", "cocheras", "antiguedad_anios", "descripcion", "detalles", "pileta",
-                      "balcon", "parrilla", "gimnasio", "cochera_txt", "barrio", "comuna", "precio_m2")
+                      "balcon", "parrilla", "gimnasio", "cochera_txt", "barrio", "comuna", "precio_m2",
+                      F.col("fecha_scraping").cast("timestamp_ntz").alias("fecha_scraping"))
 
 
 # --------------------------------------------------------------------------- T3, T5: a stream that is stopped and taken up again
@@ -325,9 +332,8 @@ def q_stream_resume(spark, sf_dir):
         part = _scratch(spark, "part")
         ev.filter(F.pmod(F.xxhash64("user_id", "ts"), F.lit(2)) == i).write.parquet(part)
         fs_copy(spark, part, land, ".parquet", f"p{i}")
-        s = ingest.dedup_stream(ingest.landed_stream(spark, land, ev.schema, max_files=2), ["user_id", "event_type"],
-                                "ts", "3650 days")
-        got = ingest.run_to_parquet(s, out, ckpt)
+        got = ingest.keep_first_stream(ingest.landed_stream(spark, land, ev.schema, max_files=2),
+                                       ["user_id", "event_type"], ["ts", "event_id"], out, ckpt, buckets=8)
     return got.select("user_id", "event_type")
 
 

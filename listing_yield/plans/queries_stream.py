@@ -30,22 +30,44 @@ def _scratch(spark, label):
 def q_stream_dedup(spark, sf_dir):
     schema = read_table(spark, sf_dir, "events").schema
     s = ingest.landed_stream(spark, sf_dir, schema, "parquet", glob="events.parquet")
-    d = ingest.dedup_stream(s, ["user_id", "event_type"], "ts", "3650 days")
-    out = ingest.run_to_parquet(d, _scratch(spark, "stream-dedup"))
+    out = ingest.keep_first_stream(s, ["user_id", "event_type"], ["ts", "event_id"], _scratch(spark, "stream-dedup"),
+                                   buckets=8)
     return out.select("user_id", "event_type")
 
 
+ARRIVAL = (2, 0, 3, 1)  # slices of the events by event_id land in this order, so later files hold earlier times too
+
+
+@register("stream_keep_first", """
+SELECT user_id, event_type, event_id, ts, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type
+        ORDER BY list_position([2, 0, 3, 1], (event_id % 4)::INTEGER), ts, event_id) = 1""")
+def q_stream_keep_first(spark, sf_dir):
+    """Four landings, each drained by the same query: of a key's rows the first batch's earliest one stays, whatever
+    comes later or late."""
+    ev = read_table(spark, sf_dir, "events")
+    land, out, ckpt = (_scratch(spark, x) for x in ("landing", "first", "first-ckpt"))
+    for i, k in enumerate(ARRIVAL):
+        part = _scratch(spark, "part")
+        ev.filter(F.col("event_id") % 4 == k).write.parquet(part)
+        fs_copy(spark, part, land, ".parquet", f"p{i}")
+        s = ingest.landed_stream(spark, land, ev.schema)
+        got = ingest.keep_first_stream(s, ["user_id", "event_type"], ["ts", "event_id"], out, ckpt, buckets=8)
+    return got.select("user_id", "event_type", "event_id", "ts", "value")
+
+
 # --------------------------------------------------------------------------- T4 (+S8/S10 landing)
 
 @register("stream_master", ORACLES["snapshot_merge"])
 def q_stream_master(spark, sf_dir):
     land = _scratch(spark, "landing")
     lst = _listings(spark, sf_dir)
-    # several snapshots land; each micro-batch takes two files
+    # several snapshots land; each of six micro-batches takes one file
     lst.repartition(6, "row_id").write.mode("overwrite").parquet(land)
     schema = spark.read.parquet(land).schema
-    s = ingest.landed_stream(spark, land, schema, "parquet", max_files=2)
-    m = ingest.master_stream(s, _scratch(spark, "history"), _scratch(spark, "master"), _scratch(spark, "metrics"))
+    s = ingest.landed_stream(spark, land, schema, "parquet", max_files=1)
+    m = ingest.master_stream(s, _scratch(spark, "history"), _scratch(spark, "master"), _scratch(spark, "metrics"),
+                             buckets=8)
     return m.select("row_id", "portal", "id_aviso", "url")
 
 
