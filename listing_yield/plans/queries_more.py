@@ -214,6 +214,40 @@ def q_area_lexicon(spark, sf_dir):
     return areas.match_areas(d, "text").select("rid", "barrio", "comuna")
 
 
+@register("area_lexicon_join", _area_sql(_rendered_sql(PLACES), "rid"))
+def q_area_lexicon_join(spark, sf_dir):
+    """The same match as a join with the lists as a table."""
+    d = spread(read_table(spark, sf_dir, "lineitem")).selectExpr(RID, f"{_rendered(PLACES)} AS text")
+    found = areas.match_dictionary(d, "text", areas.fixed_dictionary(spark))
+    return found.select("rid", "barrio", areas.district_of("barrio").alias("comuna"))
+
+
+@register("area_dictionary", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'alias-' || o_orderkey
+    WHEN l_linenumber IS NOT NULL THEN 'lote-' || o_orderkey || '-' || l_linenumber
+    ELSE 'plaza-' || o_custkey END AS lugar
+FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
+  ON l_orderkey = o_orderkey AND l_linenumber = o_orderkey % 7 + 1""")
+def q_area_dictionary(spark, sf_dir):
+    """A dictionary that grows with the tables: every lot of a street, every customer's square, and aliases of every
+    fifth street. A text names a street and lot and a square; an alias wins, then the longer name."""
+    o = spread(read_table(spark, sf_dir, "orders")).select("o_orderkey", "o_custkey")
+    lots = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    name = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    ok, ln, ck = F.col("l_orderkey"), F.col("l_linenumber"), F.col("o_custkey")
+    zero = F.lit(0).cast("long").alias("place")
+    names = lots.select(name("Calle Número ", ok, " lote ", ln).alias("name"), name("lote-", ok, "-", ln).alias("target"),
+                        F.lit(1).alias("class"), zero)
+    names = names.unionByName(o.select(name("plaza ", ck).alias("name"), name("plaza-", ck).alias("target"),
+                                       F.lit(1).alias("class"), zero).distinct())
+    names = names.unionByName(o.filter("o_orderkey % 5 = 0").select(
+        name("calle  numero ", F.col("o_orderkey")).alias("name"), name("alias-", F.col("o_orderkey")).alias("target"),
+        F.lit(0).alias("class"), zero))
+    text = name("Depto frente a PLAZA ", ck, ", calle número ", F.col("o_orderkey"), " lote ",
+                F.col("o_orderkey") % 7 + 1, ".")
+    return areas.match_dictionary(o.withColumn("text", text), "text", names, "lugar").select("o_orderkey", "lugar")
+
+
 # --------------------------------------------------------------------------- S4, F8-F11, H24, H25, H37 with every fallback
 
 PRICE = "CASE WHEN l_orderkey % 5 = 0 THEN 0.0 WHEN l_orderkey % 5 = 1 THEN NULL ELSE l_extendedprice * 100 END"
