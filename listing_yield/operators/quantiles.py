@@ -1,22 +1,25 @@
 """Grouped quantiles, the per-group quantile trim (F14) and the Tukey fence.
 
-Exact quantiles (linear interpolation, as pandas' default and DuckDB's ``quantile_cont``) in two bounded passes:
+Exact quantiles (linear interpolation, as pandas' default and DuckDB's ``quantile_cont``) of any number of columns, in a
+pair of aggregates that both combine map-side; rows are never multiplied:
 
-1. a quantile sketch per group brackets each wanted rank between two values;
-2. one aggregation counts what lies below the bracket and the rows of each distinct value inside it, both combined
-   map-side, and the rank is picked from the running count inside the bracket.
+1. a quantile sketch for each column brackets each wanted rank between two values;
+2. for each bracket the rows below it and at its lower end are counted, and the values strictly inside are listed; the
+   rank is then read off.
 
-A bracket spans ``2 * MARGIN`` of a group's ranks (groups of up to ``SMALL`` rows are one bracket), so no task ever
-holds a group's values: Spark's ``percentile`` keeps a count for each distinct value of a group in one task.
+A bracket spans ``2 * MARGIN`` of a group's ranks (groups of up to ``SMALL`` rows are one bracket), and ties at its ends
+are only counted. Where that could still be more than ``LIST`` values, passes over a grid of sketched values narrow the
+brackets first, so no task ever holds a group's values, however many rows or ties it has.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import constants as K
 from ..session import materialize
@@ -25,56 +28,137 @@ from . import rules
 ACCURACY = 10_000  # the sketch's ranks are off by n / ACCURACY at most
 SMALL = 10_000
 MARGIN = 2 / ACCURACY + 1 / SMALL
+LIST = 50_000  # values of a bracket that are listed
+GRID = 64  # parts into which a narrowing pass splits a bracket; LIST has to be several times as many
+BROADCAST_GROUPS = 20_000
+
+Wanted = Sequence[tuple[Column, Sequence[float]]]  # columns, and the probabilities asked of each
+
+
+def quantiles_of(df: DataFrame, wanted: Wanted, by: Sequence[str] = ()) -> DataFrame:
+    """by, n0, q0_0, q0_1, ..., n1, q1_0, ...: for each column the number of its values and its exact quantiles. NULL
+    values are left out, NULL keys form a group; a group without any value has no row, a column without any has n = 0
+    and NULL quantiles."""
+    keys = [f"_k{i}" for i in range(len(by))]
+    vals = [f"_v{i}" for i in range(len(wanted))]
+    base = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)],
+                     *[v.cast("double").alias(n) for n, (v, _) in zip(vals, wanted)])
+    base = base.filter(reduce(or_, [F.col(v).isNotNull() for v in vals]))
+    brackets = materialize(_sketched(base, keys, vals, wanted), "brackets")
+    while True:
+        groups, most = brackets.agg(F.count(F.lit(1)), F.max(F.greatest(F.lit(0), *[
+            F.col(_b(i, j, "most")) for i, (_, ps) in enumerate(wanted) for j in range(len(ps))]))).first()
+        if (most or 0) <= LIST:
+            break
+        brackets = materialize(_narrowed(_bracketed(base, brackets, keys, groups), keys, wanted), "brackets")
+    aggs = []
+    for i, (_, probs) in enumerate(wanted):
+        v = F.col(vals[i])
+        aggs.append(F.count(v).alias(f"n{i}"))
+        for j in range(len(probs)):
+            lo, hi = F.col(_b(i, j, "lo")), F.col(_b(i, j, "hi"))
+            aggs += [F.count(F.when(v <= lo, 1)).alias(_b(i, j, "upto")),
+                     F.collect_list(F.when((v > lo) & (v < hi), v)).alias(_b(i, j, "in")),
+                     F.first(lo, ignorenulls=True).alias(_b(i, j, "lo")),
+                     F.first(hi, ignorenulls=True).alias(_b(i, j, "hi"))]
+    counted = _bracketed(base, brackets, keys, groups).groupBy(*keys).agg(*aggs)
+    counted = counted.select("*", *[F.array_sort(_b(i, j, "in")).alias(_b(i, j, "sorted"))
+                                    for i, (_, ps) in enumerate(wanted) for j in range(len(ps))])
+    out = []
+    for i, (_, probs) in enumerate(wanted):
+        out.append(F.col(f"n{i}"))
+        for j, p in enumerate(probs):
+            pos = (F.col(f"n{i}") - 1) * F.lit(float(p))
+            a, z = (_at(i, j, F.floor(pos)), _at(i, j, F.ceil(pos)))
+            q = F.when(a == z, a).otherwise((F.ceil(pos) - pos) * a + (pos - F.floor(pos)) * z)
+            out.append(F.when(F.col(f"n{i}") > 0, q).alias(f"q{i}_{j}"))
+    got = counted.select(*[F.col(k).alias(c) for k, c in zip(keys, by)], *out)
+    return got if by else got.filter(reduce(or_, [F.col(f"n{i}") > 0 for i in range(len(wanted))]))
+
+
+def _b(i: int, j: int, what: str) -> str:
+    return f"_{what}_{i}_{j}"
+
+
+def _at(i: int, j: int, rank: Column) -> Column:
+    """The value of a rank (from 0): at the lower end, listed inside, or at the upper end."""
+    inside = rank - F.col(_b(i, j, "upto"))
+    listed = F.col(_b(i, j, "sorted"))
+    return (F.when(inside < 0, F.col(_b(i, j, "lo")))
+            .when(inside < F.size(listed), F.get(listed, inside.cast("int"))).otherwise(F.col(_b(i, j, "hi"))))
+
+
+def _sketched(base: DataFrame, keys: list[str], vals: list[str], wanted: Wanted) -> DataFrame:
+    """keys, and for each wanted quantile its bracket (lo, hi) and the most values that may lie inside."""
+    aggs = []
+    for v, (_, probs) in zip(vals, wanted):
+        ends = [min(1.0, max(0.0, p + m)) for p in probs for m in (-MARGIN, MARGIN)]
+        aggs += [F.count(v).alias(f"{v}_n"), F.min(v).alias(f"{v}_min"), F.max(v).alias(f"{v}_max"),
+                 F.percentile_approx(v, F.array(*map(F.lit, ends)), ACCURACY).alias(f"{v}_q")]
+    columns = []
+    for i, (v, (_, probs)) in enumerate(zip(vals, wanted)):
+        whole, n = F.col(f"{v}_n") <= SMALL, F.col(f"{v}_n")
+        for j in range(len(probs)):
+            columns += [F.when(whole, F.col(f"{v}_min")).otherwise(F.col(f"{v}_q")[2 * j]).alias(_b(i, j, "lo")),
+                        F.when(whole, F.col(f"{v}_max")).otherwise(F.col(f"{v}_q")[2 * j + 1]).alias(_b(i, j, "hi")),
+                        F.when(whole, n).otherwise(F.ceil(n * (2 * MARGIN + 2 / ACCURACY))).cast("long")
+                        .alias(_b(i, j, "most"))]
+    return base.groupBy(*keys).agg(*aggs).select(*keys, *columns)
+
+
+def _bracketed(base: DataFrame, brackets: DataFrame, keys: list[str], groups: int) -> DataFrame:
+    """The rows with their group's brackets: a single group's as literals, up to ``BROADCAST_GROUPS`` groups' by a
+    broadcast, more by a shuffle."""
+    ends = [c for c in brackets.columns if c not in keys]
+    if not keys:
+        row = brackets.first() or dict.fromkeys(ends)
+        return base.select("*", *[F.lit(row[c]).cast("double" if not c.startswith("_most") else "long").alias(c)
+                                  for c in ends])
+    side = brackets.select(*[F.col(k).alias(f"_o{k}") for k in keys], *ends)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_o{k}")) for k in keys])
+    return base.join(F.broadcast(side) if groups <= BROADCAST_GROUPS else side, same).drop(*[f"_o{k}" for k in keys])
+
+
+def _narrowed(rows: DataFrame, keys: list[str], wanted: Wanted) -> DataFrame:
+    """Brackets of about 3 / ``GRID`` of the values in those of ``rows``."""
+    grid = F.array(*[F.lit(g / GRID) for g in range(GRID + 1)])
+    aggs = []
+    for i, (_, probs) in enumerate(wanted):
+        v = F.col(f"_v{i}")
+        aggs.append(F.count(v).alias(f"n{i}"))
+        for j in range(len(probs)):
+            lo, hi = F.col(_b(i, j, "lo")), F.col(_b(i, j, "hi"))
+            inside = F.when((v > lo) & (v < hi), v)
+            aggs += [F.count(F.when(v <= lo, 1)).alias(_b(i, j, "upto")), F.count(inside).alias(_b(i, j, "n")),
+                     F.percentile_approx(inside, grid, ACCURACY).alias(_b(i, j, "grid")),
+                     F.first(lo, ignorenulls=True).alias(_b(i, j, "lo")),
+                     F.first(hi, ignorenulls=True).alias(_b(i, j, "hi"))]
+    columns = []
+    for i, (_, probs) in enumerate(wanted):
+        for j, p in enumerate(probs):
+            lo, hi, n, own = (F.col(_b(i, j, x)) for x in ("lo", "hi", "n", "grid"))
+            rank = (F.col(f"n{i}") - 1) * F.lit(float(p)) - F.col(_b(i, j, "upto"))
+            part = F.floor(rank / F.nullif(n, F.lit(0)) * GRID).cast("int")
+            few = n <= LIST
+            columns += [F.when(few | (part < 1), lo).when(part > GRID, hi).otherwise(F.get(own, part - 1)).alias(_b(i, j, "lo")),
+                        F.when(few | (part > GRID - 2), hi).when(part < -1, lo).otherwise(
+                            F.get(own, F.greatest(part, F.lit(0)) + 2)).alias(_b(i, j, "hi")),
+                        F.when(few, n).otherwise(F.ceil(n * (3 / GRID + 2 / ACCURACY))).cast("long").alias(_b(i, j, "most"))]
+    return rows.groupBy(*keys).agg(*aggs).select(*keys, *columns)
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str] = (),
                     names: Sequence[str] | None = None) -> DataFrame:
     """by, n, and one column per probability; NULL values are left out, NULL keys form a group."""
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    keys = [f"_k{i}" for i in range(len(by))]
-    base = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], v.alias("_v")).filter(F.col("_v").isNotNull())
-    low = F.array(*[F.lit(max(0.0, p - MARGIN)) for p in probs])
-    high = F.array(*[F.lit(min(1.0, p + MARGIN)) for p in probs])
-    sketch = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", low, ACCURACY).alias("_lo"), F.percentile_approx("_v", high, ACCURACY).alias("_hi"))
-    whole = F.col("n") <= SMALL
-    sketch = sketch.filter(F.col("n") > 0).select(*keys, "n", F.array(*[F.struct(
-        F.lit(i).alias("i"), ((F.col("n") - 1) * F.lit(float(p))).alias("pos"),
-        F.when(whole, F.col("_min")).otherwise(F.col("_lo")[i]).alias("lo"),
-        F.when(whole, F.col("_max")).otherwise(F.col("_hi")[i]).alias("hi")) for i, p in enumerate(probs)]).alias("_b"))
-    if by:  # adaptive execution broadcasts the brackets where their measured size allows
-        side = sketch.select(*[F.col(k).alias(f"_o{k}") for k in keys], "n", "_b")
-        on = F.col(keys[0]).eqNullSafe(F.col(f"_o{keys[0]}"))
-        for k in keys[1:]:
-            on = on & F.col(k).eqNullSafe(F.col(f"_o{k}"))
-        rows = base.join(side, on)
-    else:  # one row: a scalar subquery
-        one = sketch.select(F.struct("n", "_b").alias("s")).scalar()
-        rows = base.select("_v", one.alias("_s")).select("_v", F.col("_s.n").alias("n"), F.col("_s._b").alias("_b"))
-    hits = F.filter(F.col("_b"), lambda x: F.col("_v") <= x["hi"])
-    rows = rows.select(*keys, "n", "_v", F.explode(hits).alias("_x"))
-    counts = (rows.groupBy(*keys, "n", "_x", F.when(F.col("_v") >= F.col("_x.lo"), F.col("_v")).alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    upto = F.sum("_c").over(Window.partitionBy(*keys, "_x").orderBy(F.col("_v").asc_nulls_first()))
-    counts = counts.withColumn("_upto", upto)
-    at = lambda r: F.max(F.when((F.col("_upto") - F.col("_c") <= r) & (r < F.col("_upto")), F.col("_v")))
-    pos = F.col("_x.pos")
-    picked = counts.groupBy(*keys, "n", "_x").agg(at(F.floor(pos)).alias("_a"), at(F.ceil(pos)).alias("_z"))
-    q = F.when(F.col("_a") == F.col("_z"), F.col("_a")).otherwise(
-        (F.ceil(pos) - pos) * F.col("_a") + (pos - F.floor(pos)) * F.col("_z"))
-    out = picked.groupBy(*keys, "n").agg(*[F.max(F.when(F.col("_x.i") == i, q)).alias(c) for i, c in enumerate(names)])
-    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, by)], "n", *names)
+    got = quantiles_of(df, [(F.col(value) if isinstance(value, str) else value, probs)], by)
+    return got.select(*by, F.col("n0").alias("n"), *[F.col(f"q0_{j}").alias(c) for j, c in enumerate(names)])
 
 
 def medians(df: DataFrame, values: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """by and one exact median per named value, in one pair of passes; a group without any value has no row."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("_name"), v.cast("double").alias("_value"))
-                                for k, v in values.items()])).alias("_p")
-    long = df.select(*by, pairs).select(*by, "_p.*")
-    got = exact_quantiles(long, "_value", [0.5], [*by, "_name"], ["_median"])
-    return got.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == k, F.col("_median"))).alias(k) for k in values])
+    got = quantiles_of(df, [(v, [0.5]) for v in values.values()], by)
+    return got.select(*by, *[F.col(f"q{i}_0").alias(k) for i, k in enumerate(values)])
 
 
 def group_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str] = (),
