@@ -10,8 +10,8 @@ Scale design (rows stay on executors; the driver only holds p x p matrices, p ~
   is ``A^T (sum z z^T) A``.
 * Pass 1 (two jobs): exact medians of the numeric columns for the full set and
   each fold's complement (one aggregation), and per-fold ``sum z z^T``,
-  ``sum z y``, ``sum y^2``, ``n`` (``mapInPandas`` partial sums per partition,
-  reduced by a grouped sum).  A fold complement is ``total - fold``.
+  ``sum z y``, ``sum y^2``, ``n`` (``mapInPandas`` partial sums per partition, added
+  up in a tree, fetched as blocks of bytes).  A fold complement is ``total - fold``.
 * Driver: per training set, one eigendecomposition serves all 30 penalties.
 * Pass 2: leave-one-out residuals ``e / (1 - h)`` per row and penalty
   (``mapInPandas``, numpy per Arrow batch), summed per (set, penalty); the
@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import measures as M
+from ..session import materialize
 from .quantiles import exact_quantiles, medians
+from .sums import PARTS, tree_sums
 
 NUM = K.MODEL_NUMERIC
 CAT = K.MODEL_CATEGORICAL
@@ -118,22 +120,22 @@ MODEL_COLS = ["fold", "y"] + NUM + CAT + FLAGS
 
 
 def category_layout(rentals: DataFrame) -> Layout:
-    """Distinct category values (bounded by the category domains), sorted like the encoder."""
+    """Distinct category values, sorted like the encoder; more than ``MAX_COLUMNS`` of a feature are an error before
+    they are fetched."""
     cats = {}
     for f in CAT:
-        vals = [r[0] for r in rentals.select(f).filter(F.col(f).isNotNull()).distinct().collect()]
-        cats[f] = sorted(vals)
+        own = rentals.select(f).filter(F.col(f).isNotNull()).distinct().limit(MAX_COLUMNS + 1)
+        cats[f] = sorted(r[0] for r in own.collect())
+        if len(cats[f]) > MAX_COLUMNS:
+            raise ValueError(f"{f} has more than {MAX_COLUMNS} values")
     return Layout(cats)
 
 
-def fold_medians(rentals: DataFrame, k: int = K.N_FOLDS) -> dict[int, dict[str, float]]:
-    """Exact training medians for the full set and each fold complement, one aggregation."""
-    values = {}
-    for c in NUM:
-        values[f"{c}@{FULL}"] = F.col(c)
-        for j in range(k):
-            values[f"{c}@{j}"] = F.when(F.col("fold") != j, F.col(c))
-    rows = medians(rentals.select("fold", *NUM), values).collect()
+def training_medians(rentals: DataFrame, sets: dict[int, Column]) -> dict[int, dict[str, float]]:
+    """Exact medians of the numeric columns for each training set (named by a number, told by a condition), all in one
+    pair of aggregates."""
+    values = {f"{c}@{t}": F.when(own, F.col(c)) for t, own in sets.items() for c in NUM}
+    rows = medians(rentals, values).collect()
     row = rows[0].asDict() if rows else dict.fromkeys(values)
     out: dict[int, dict[str, float]] = {}
     for key, v in row.items():
@@ -142,50 +144,59 @@ def fold_medians(rentals: DataFrame, k: int = K.N_FOLDS) -> dict[int, dict[str,
     return out
 
 
-def _gram_partials(layout: Layout, k: int):
+def fold_medians(rentals: DataFrame, k: int = K.N_FOLDS) -> dict[int, dict[str, float]]:
+    """Exact training medians for the full set and each fold complement."""
+    return training_medians(rentals, {FULL: F.lit(True)} | {j: F.col("fold") != j for j in range(k)})
+
+
+GRAM_ROWS = 256  # rows of a Gram matrix that make a block
+
+
+def _gram_partials(layout: Layout):
     p = layout.p
 
     def fn(batches):
-        acc = {}
+        from pyspark import TaskContext
+
+        acc: dict[int, np.ndarray] = {}
         for pdf in batches:
             if pdf.empty:
                 continue
-            z = build_z(pdf, layout)
-            y = pdf["y"].to_numpy(dtype=float)
-            folds = pdf["fold"].to_numpy()
-            for j in np.unique(folds):
-                m = folds == j
-                zm, ym = z[m], y[m]
-                g = acc.setdefault(int(j), [np.zeros((p, p)), np.zeros(p), 0.0, 0])
-                g[0] += zm.T @ zm
-                g[1] += zm.T @ ym
-                g[2] += float(ym @ ym)
-                g[3] += int(m.sum())
-        for j, (g, b, yy, n) in acc.items():
-            yield pd.DataFrame({"fold": [j], "stats": [np.concatenate([g.ravel(), b, [yy, n]]).tolist()]})
+            zy = np.column_stack([build_z(pdf, layout), pdf["y"].to_numpy(dtype=float)])
+            keys = pdf["_key"].to_numpy()
+            for j in np.unique(keys):
+                own = zy[keys == j]
+                acc[int(j)] = acc.get(int(j), 0.0) + own.T @ own
+        task = TaskContext.get().partitionId()
+        for j, m in acc.items():
+            for b, at in enumerate(range(0, p + 1, GRAM_ROWS)):
+                yield pd.DataFrame({"clave": [j], "bloque": [b], "tarea": [task],
+                                    "datos": [m[at:at + GRAM_ROWS].tobytes()]})
     return fn
 
 
-def gram_by_fold(rentals: DataFrame, layout: Layout, k: int = K.N_FOLDS):
-    """Per-fold sums; per-partition partials are reduced by a grouped sum (never collected raw).
+def gram_sums(rentals: DataFrame, layout: Layout, key: Column, keys: int):
+    """For each key 0..keys-1 of the rows: ``(sum z z^T, sum z y, sum y^2, n)``, from one pass.
 
-    The driver holds k matrices of p x p, so p has to stay under ``MAX_COLUMNS``."""
+    The driver holds ``keys`` matrices of p x p (32 MB each for the 2,000 columns of ``MAX_COLUMNS``; with five folds,
+    the eigenvectors and transforms of six training sets, about 0.7 GB in all)."""
     p = layout.p
     if p > MAX_COLUMNS:
         raise ValueError(f"{p} design columns; the normal equations are solved on the driver for {MAX_COLUMNS} at most")
-    part = rentals.select(*MODEL_COLS).mapInPandas(_gram_partials(layout, k), "fold int, stats array<double>")
-    red = (part.select("fold", F.posexplode("stats").alias("pos", "v"))
-           .groupBy("fold", "pos").agg(F.sum("v").alias("v")))
-    size = p * p + p + 2
-    out = {j: np.zeros(size) for j in range(k)}
-    for r in red.collect():  # k x (p^2 + p + 2) numbers
-        out[r["fold"]][r["pos"]] = r["v"]
+    rows = rentals.select(key.cast("int").alias("_key"), "y", *NUM, *CAT, *FLAGS)
+    found = tree_sums(rows.mapInPandas(_gram_partials(layout), PARTS), rows.rdd.getNumPartitions())
     res = {}
-    for j, v in out.items():
-        res[j] = (v[:p * p].reshape(p, p), v[p * p:p * p + p], v[-2], v[-1])
+    for j in range(keys):
+        blocks = [found[j, b] for b in range(-(-(p + 1) // GRAM_ROWS)) if (j, b) in found]
+        m = np.concatenate(blocks).reshape(p + 1, p + 1) if blocks else np.zeros((p + 1, p + 1))
+        res[j] = (m[:p, :p], m[:p, p], m[p, p], m[0, 0])
     return res
 
 
+def gram_by_fold(rentals: DataFrame, layout: Layout, k: int = K.N_FOLDS):
+    return gram_sums(rentals, layout, F.col("fold"), k)
+
+
 # --------------------------------------------------------------------------- driver-side algebra (p x p)
 
 @dataclass
@@ -274,21 +285,23 @@ def fit_set(layout: Layout, G: np.ndarray, b: np.ndarray, n: float, med: dict[st
 def fit_all(rentals: DataFrame, k: int = K.N_FOLDS):
     """Pass 1 + driver algebra: fits for the full set and each fold complement."""
     layout = category_layout(rentals)
-    meds = fold_medians(rentals, k)
-    by_fold = gram_by_fold(rentals, layout, k)
+    return layout, fits_of(layout, gram_by_fold(rentals, layout, k), fold_medians(rentals, k))
+
+
+def fits_of(layout: Layout, by_fold: dict[int, tuple], meds: dict[int, dict[str, float]]) -> dict[int, Fit]:
+    """The fits of the full set and of each fold's complement from the folds' sums."""
     Gt = sum(v[0] for v in by_fold.values())
     bt = sum(v[1] for v in by_fold.values())
     nt = sum(v[3] for v in by_fold.values())
     fits = {FULL: fit_set(layout, Gt, bt, nt, meds[FULL])}
-    for j in range(k):
-        G, b, _, n = by_fold[j]
+    for j, (G, b, _, n) in by_fold.items():
         fits[j] = fit_set(layout, Gt - G, bt - b, nt - n, meds[j])
-    return layout, fits
+    return fits
 
 
 # --------------------------------------------------------------------------- pass 2: leave-one-out
 
-def _loo_partials(layout: Layout, fits: dict[int, Fit], alphas: list[float]):
+def _loo_partials(layout: Layout, fits: dict[int, Fit], alphas: list[float], member):
     alph = np.asarray(alphas)
 
     def fn(batches):
@@ -298,9 +311,8 @@ def _loo_partials(layout: Layout, fits: dict[int, Fit], alphas: list[float]):
                 continue
             z = build_z(pdf, layout)
             y = pdf["y"].to_numpy(dtype=float)
-            folds = pdf["fold"].to_numpy()
             for t, fit in fits.items():
-                m = np.ones(len(y), bool) if t == FULL else folds != t
+                m = member(t, pdf)
                 if not m.any():
                     continue
                 xc = z[m] @ fit.A - fit.mu
@@ -316,10 +328,18 @@ def _loo_partials(layout: Layout, fits: dict[int, Fit], alphas: list[float]):
     return fn
 
 
+def in_fold_complement(t: int, pdf: pd.DataFrame) -> np.ndarray:
+    """The rows of a training set: all for ``FULL``, else those outside the fold."""
+    return np.ones(len(pdf), bool) if t == FULL else pdf["fold"].to_numpy() != t
+
+
 def choose_alphas(rentals: DataFrame, layout: Layout, fits: dict[int, Fit],
-                  alphas: list[float] = K.RIDGE_ALPHAS) -> None:
-    part = rentals.select(*MODEL_COLS).mapInPandas(_loo_partials(layout, fits, alphas), "t int, a int, v double")
-    sums = part.groupBy("t", "a").agg(F.sum("v").alias("v")).collect()   # 6 x 30 numbers
+                  alphas: list[float] = K.RIDGE_ALPHAS, member=in_fold_complement, extra: tuple[str, ...] = ()) -> None:
+    """Give each fit the penalty of its least leave-one-out error; ``member(t, rows)`` tells a training set's rows (by
+    fold and the ``extra`` columns)."""
+    part = rentals.select(*MODEL_COLS, *extra).mapInPandas(
+        _loo_partials(layout, fits, alphas, member), "t int, a int, v double")
+    sums = part.groupBy("t", "a").agg(F.sum("v").alias("v")).collect()   # sets x 30 numbers
     table: dict[int, dict[int, float]] = {}
     for r in sums:
         table.setdefault(r["t"], {})[r["a"]] = r["v"]
@@ -465,13 +485,13 @@ def _subset(fit: Fit, keep) -> Fit:
 def nested_r2(spark, rentals: DataFrame, layout: Layout, fits: dict[int, Fit], k: int = K.N_FOLDS) -> DataFrame:
     """Out-of-fold R2 (log) per feature block, each block with its own LOO-chosen penalty.
 
-    The blocks' sums are parts of the full fits' sums, so nothing is summed anew.  One LOO pass and one metrics pass serve all blocks (the pandas function
-    loops over the small per-block matrices)."""
+    The blocks' sums are parts of the full fits' sums, so nothing is summed anew.  One LOO pass and one metrics pass serve
+    all blocks (the pandas function loops over the small per-block matrices)."""
     subs = {}
     for bi, (_, keep) in enumerate(BLOCKS):
         for t, f in fits.items():
             subs[bi * 10 + (t + 1)] = _subset(f, keep)
-    choose_alphas(rentals, layout, subs)
+    choose_alphas(rentals, layout, subs, member=lambda c, pdf: in_fold_complement(c % 10 - 1, pdf))
     exprs = []
     for bi, (name, _) in enumerate(BLOCKS):
         per = {j: subs[bi * 10 + j + 1] for j in range(k)}
@@ -490,25 +510,53 @@ def nested_r2(spark, rentals: DataFrame, layout: Layout, fits: dict[int, Fit], k
 LEARNING_FRACTIONS = (0.15, 0.5, 1.0)
 
 
-def learning_curve(rentals: DataFrame, fractions=LEARNING_FRACTIONS, k: int = K.N_FOLDS) -> DataFrame:
-    """Out-of-fold R2 (log) and median relative error when training on growing,
-    hash-ordered fractions of the rentals (a fixed order, so each fraction contains the
-    previous one).  Each fraction gets the full fold / penalty-path fit."""
-    spark = rentals.sparkSession
-    ranked = rentals.withColumn("_h", F.pmod(F.xxhash64("row_id"), F.lit(10000)))
-    outs = []
-    for frac in fractions:
-        sub = ranked.filter(F.col("_h") < int(round(frac * 10000))).drop("_h")
-        layout, fits = fit_all(sub, k)
-        choose_alphas(sub, layout, fits)
-        oof = with_oof(sub, layout, fits)
-        middle = exact_quantiles(oof, "err_rel", [0.5], names=["m"]).select("m").scalar()
-        one = oof.agg(
-            F.lit(float(frac)).alias("fraccion"), F.count(F.lit(1)).alias("n"),
-            F.round(1 - F.sum((F.col("y") - F.col("pred_log")) ** 2) / (F.count(F.lit(1)) * F.var_pop("y")), 6)
-            .alias("r2_log_oof"))
-        outs.append(one.select("*", F.round(middle * 100, 4).alias("err_mediano_pct")))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res
+def learning_curve(rentals: DataFrame, fractions=LEARNING_FRACTIONS, k: int = K.N_FOLDS, keep=None) -> DataFrame:
+    """Out-of-fold R2 (log) and median relative error when training on growing, hash-ordered fractions of the
+    rentals (a fixed order, so each fraction contains the previous one), with the full fold / penalty-path fit of each.
+    ``keep`` (of a feature's name) restricts the design.
+
+    One pass sums the Gram matrices by (slice between two fractions, fold); a fraction's are running sums of them. All
+    medians come from one pair of aggregates, all leave-one-out errors from one pass, all metrics from one more."""
+    fractions = sorted(fractions)
+    rows = rentals.withColumn("_h", hash_order())
+    piece = F.lit(None).cast("int")
+    for i, f in reversed(list(enumerate(fractions))):
+        piece = F.when(F.col("_h") < int(round(f * 10000)), i).otherwise(piece)
+    rows = rows.withColumn("slice", piece).drop("_h").filter(F.col("slice").isNotNull())
+    layout = category_layout(rows)
+    sums = gram_sums(rows, layout, F.col("slice") * k + F.col("fold"), len(fractions) * k)
+    sets = {_code(i, t, k): (F.col("slice") <= i) & (F.lit(True) if t == FULL else F.col("fold") != t)
+            for i in range(len(fractions)) for t in (FULL, *range(k))}
+    meds = training_medians(rows, sets)
+    every: dict[int, Fit] = {}
+    for i in range(len(fractions)):
+        by_fold = {j: tuple(sum(sums[s * k + j][x] for s in range(i + 1)) for x in range(4)) for j in range(k)}
+        for t, fit in fits_of(layout, by_fold, {t: meds[_code(i, t, k)] for t in (FULL, *range(k))}).items():
+            every[_code(i, t, k)] = fit if keep is None else _subset(fit, keep)
+
+    def member(code: int, pdf: pd.DataFrame) -> np.ndarray:
+        return (pdf["slice"].to_numpy() <= code // (k + 1)) & in_fold_complement(code % (k + 1) - 1, pdf)
+
+    choose_alphas(rows, layout, every, member=member, extra=("slice",))
+    preds = [F.when(F.col("slice") <= i, F.struct(
+        F.lit(float(f)).alias("fraccion"),
+        oof_prediction(layout, {t: every[_code(i, t, k)] for t in range(k)}, k).alias("pred_log")))
+        for i, f in enumerate(fractions)]
+    long = rows.select("y", "alquiler_usd_mes", F.explode(F.filter(F.array(*preds), lambda x: x.isNotNull())).alias("_x"))
+    error = F.abs(F.exp("pred_log") - F.col("alquiler_usd_mes")) / F.col("alquiler_usd_mes")
+    long = materialize(long.select("y", "alquiler_usd_mes", "_x.*").withColumn("err_rel", error), "learning")
+    middle = exact_quantiles(long, "err_rel", [0.5], ["fraccion"], ["m"]).select("fraccion", "m")
+    out = long.groupBy("fraccion").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(1 - F.sum((F.col("y") - F.col("pred_log")) ** 2) / (F.count(F.lit(1)) * F.var_pop("y")), 6)
+        .alias("r2_log_oof"))
+    return out.join(middle, "fraccion").select("fraccion", "n", "r2_log_oof", F.round(F.col("m") * 100, 4).alias("err_mediano_pct"))
+
+
+def _code(i: int, t: int, k: int) -> int:
+    return i * (k + 1) + t + 1
+
+
+def hash_order(row_id: str = "row_id") -> Column:
+    """0..9999 from the row id, independent of its fold; the same formula in SQL."""
+    return F.pmod(F.conv(F.substring(F.md5(F.col(row_id)), 8, 7), 16, 10).cast("long"), F.lit(10000)).cast("int")

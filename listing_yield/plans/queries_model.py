@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from .. import constants as K
 from ..functions import measures as M
-from ..operators import lookups, model, stats, yields
+from ..operators import lookups, model, scenario, stats, yields
 from ..session import materialize
 from . import oracles as O
 from ..operators.quantiles import exact_quantiles, medians
@@ -212,22 +212,31 @@ def q_coef_effects(spark, sf_dir):
     df = spark.createDataFrame(pdf)
     areas_ = df.filter(F.col("variable").startswith("barrio_"))
     rest = df.filter(~F.col("variable").startswith("barrio_"))
-    top = rest.orderBy(F.abs("efecto_pct").desc(), "variable").limit(K.TOP_EFFECTS).withColumn("grupo", F.lit("caracteristica"))
-    hi = areas_.orderBy(F.col("efecto_pct").desc(), "variable").limit(K.TOP_AREA_EFFECTS).withColumn("grupo", F.lit("barrio_suma"))
-    lo = areas_.orderBy(F.col("efecto_pct").asc(), "variable").limit(K.TOP_AREA_EFFECTS).withColumn("grupo", F.lit("barrio_resta"))
-    return top.unionByName(hi).unionByName(lo)
+    return top_effects(rest, areas_)
+
+
+def top_effects(features, areas_):
+    """O3: the features of the largest effects either way; O4: the areas that add and take away most."""
+    def top(df, n, name, *order):
+        return df.orderBy(*order, "variable").limit(n).withColumn("grupo", F.lit(name))
+    return (top(features, K.TOP_EFFECTS, "caracteristica", F.abs("efecto_pct").desc())
+            .unionByName(top(areas_, K.TOP_AREA_EFFECTS, "barrio_suma", F.col("efecto_pct").desc()))
+            .unionByName(top(areas_, K.TOP_AREA_EFFECTS, "barrio_resta", F.col("efecto_pct").asc())))
+
+
+def what_if_input(kept):
+    """Every cleaned sale restated as a what-if input."""
+    return model.sales_for_model(kept).select(
+        "row_id", "barrio", F.col("sup_total_m2").alias("m2"), "ambientes", "dormitorios", "banos",
+        F.col("antiguedad_anios").alias("antiguedad"), F.col("tipo_familia").alias("tipo"),
+        F.col("venta_usd").alias("venta"), *K.MODEL_FLAGS)
 
 
 @register("what_if")
 def q_what_if(spark, sf_dir):
     """M10 over a table of properties (here: every cleaned sale restated as a what-if input)."""
     b = ridge_bundle(spark, sf_dir)
-    props = model.sales_for_model(b["kept"]).select(
-        "row_id", "barrio", F.col("sup_total_m2").alias("m2"), "ambientes", "dormitorios", "banos",
-        F.col("antiguedad_anios").alias("antiguedad"), F.col("tipo_familia").alias("tipo"),
-        F.col("venta_usd").alias("venta"), *K.MODEL_FLAGS)
-    from ..operators import scenario
-    return scenario.what_if(props, b, market_median=None)
+    return scenario.what_if(what_if_input(b["kept"]), b, market_median=None)
 
 
 @register("nested_r2")
@@ -256,3 +265,82 @@ def net_yield_by_band(scored):
     middle = exact_quantiles(rows, "rent_neta_pct", [0.5], ["segmento"], ["rent_neta_mediana"]).drop("n")
     return (rows.groupBy("segmento").agg(F.count(F.lit(1)).alias("n")).join(middle, "segmento", "left")
             .select("segmento", "n", "rent_neta_mediana"))
+
+
+# --------------------------------------------------------------------------- M5, M6, M12, H35, O3, O4 in closed form
+
+_ALPHAS = ", ".join(f"({i}, {a!r}::DOUBLE)" for i, a in enumerate(K.RIDGE_ALPHAS))
+_LIMITS = ", ".join(f"({i}, {f!r}::DOUBLE, {int(round(f * 10000))})" for i, f in enumerate(model.LEARNING_FRACTIONS))
+
+
+def _path_sql(select: str) -> str:
+    """Ridge on the standardized log area alone: for each fraction and training set, the leave-one-out error of every
+    penalty, the least one, and the out-of-fold predictions."""
+    return O.with_clean(_rentals_sql().replace("\n, r AS", ", r AS", 1) + f""",
+fr(i, f, lim) AS (VALUES {_LIMITS}), al(k, alpha) AS (VALUES {_ALPHAS}),
+rh AS (SELECT r.*, CAST(('0x' || substr(md5(row_id), 8, 7)) AS BIGINT) % 10000 AS h FROM r),
+m AS (SELECT fr.i, t.t, y, x FROM rh, fr, (VALUES (-1), (0), (1), (2), (3), (4)) t(t)
+      WHERE h < lim AND (t.t = -1 OR fold <> t.t)),
+st AS (SELECT i, t, count(*) AS n, avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, covar_pop(x, y) AS cxy
+       FROM m GROUP BY i, t),
+loo AS (SELECT i, t, k, alpha, avg(pow((y - my - n * cxy / sx / (n + alpha) * (x - mx) / sx)
+               / (1 - 1.0 / n - pow((x - mx) / sx, 2) / (n + alpha)), 2)) AS e
+        FROM m JOIN st USING (i, t), al GROUP BY i, t, k, alpha),
+best AS (SELECT * FROM loo QUALIFY row_number() OVER (PARTITION BY i, t ORDER BY e, k) = 1),
+oof AS (SELECT i, y, alquiler_usd_mes, my + n * cxy / sx / (n + alpha) * (x - mx) / sx AS p
+        FROM rh JOIN fr ON h < lim JOIN best USING (i) JOIN st USING (i, t) WHERE t = fold)
+""" + select)
+
+
+def only_log_area(name: str) -> bool:
+    return name == "log_sup"
+
+
+@register("ridge_area_path", _path_sql(f"""
+SELECT t AS conjunto, {O.sround('alpha', 6)} AS penalidad, {O.sround('e', 6)} AS error_loo FROM best WHERE i = 2"""))
+def q_ridge_area_path(spark, sf_dir):
+    """M5: the penalty chosen on the path for the full set and each fold's complement, one standardized column."""
+    rentals = materialize(model.rentals_for_model(_kept(spark, sf_dir)), "rentals")
+    layout, fits = model.fit_all(rentals)
+    subs = {t: model._subset(f, only_log_area) for t, f in fits.items()}
+    model.choose_alphas(rentals, layout, subs)
+    rows = [(t, round(f.alpha, 6), float(f.loo[f.alpha])) for t, f in subs.items()]
+    return spark.createDataFrame(rows, "conjunto int, penalidad double, error_loo double").withColumn(
+        "error_loo", F.round("error_loo", 6))
+
+
+@register("learning_curve_area", _path_sql(f"""
+SELECT any_value(f) AS fraccion, count(*) AS n,
+  {O.sround('1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y))', 6)} AS r2_log_oof,
+  {O.sround('median(abs(exp(p) - alquiler_usd_mes) / alquiler_usd_mes) * 100', 4)} AS err_mediano_pct
+FROM oof JOIN fr USING (i) GROUP BY i"""))
+def q_learning_curve_area(spark, sf_dir):
+    """M12 on the log area alone."""
+    rentals = materialize(model.rentals_for_model(_kept(spark, sf_dir)), "rentals")
+    return model.learning_curve(rentals, keep=only_log_area)
+
+
+EFFECT_PENALTY = 10.0
+
+
+@register("area_effects", O.with_clean(_rentals_sql().replace("\n, r AS", ", r AS", 1) + f""",
+c AS (SELECT 'barrio_' || CASE WHEN k >= {K.ONEHOT_MIN_FREQUENCY} THEN barrio ELSE 'infrequent_sklearn' END AS variable,
+        count(*) AS n, avg(y) AS m
+      FROM (SELECT *, count(*) OVER (PARTITION BY barrio) AS k FROM r) GROUP BY 1),
+w AS (SELECT variable, n / (n + {EFFECT_PENALTY}) * (m - (SELECT sum(n / (n + {EFFECT_PENALTY}) * m)
+        / sum(n / (n + {EFFECT_PENALTY})) FROM c)) AS coef FROM c),
+e AS (SELECT variable, coef, (exp(coef) - 1) * 100 AS x FROM w),
+g AS (SELECT *, 'caracteristica' AS grupo FROM e
+      QUALIFY row_number() OVER (ORDER BY abs(x) DESC, variable) <= {K.TOP_EFFECTS}
+  UNION ALL SELECT *, 'barrio_suma' FROM e QUALIFY row_number() OVER (ORDER BY x DESC, variable) <= {K.TOP_AREA_EFFECTS}
+  UNION ALL SELECT *, 'barrio_resta' FROM e QUALIFY row_number() OVER (ORDER BY x, variable) <= {K.TOP_AREA_EFFECTS})
+SELECT variable, {O.sround('coef', 6)} AS coef, {O.sround('x', 4)} AS efecto_pct, grupo FROM g"""))
+def q_area_effects(spark, sf_dir):
+    """H35, O3 and O4 for a ridge on the areas alone, whose coefficients have a closed form."""
+    rentals = materialize(model.rentals_for_model(_kept(spark, sf_dir)), "rentals")
+    layout, fits = model.fit_all(rentals)
+    fit = model._subset(fits[model.FULL], lambda n: n.startswith("barrio_"))
+    fit.w = fit.coef_path(EFFECT_PENALTY)
+    df = spark.createDataFrame(model.coefficient_table(fit))
+    return top_effects(df, df).select("variable", F.round("coef", 6).alias("coef"),
+                                      F.round("efecto_pct", 4).alias("efecto_pct"), "grupo")

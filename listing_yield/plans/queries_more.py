@@ -16,7 +16,8 @@ from ..streaming import ingest
 from . import cleaning
 from . import oracles as O
 from .queries import _kept, _listings, register
-from .queries_model import _rentals_sql, area_model, net_yield_by_band, ridge_bundle, yield_summary
+from .queries_model import (_rentals_sql, area_model, net_yield_by_band, ridge_bundle, what_if_input,
+                            yield_summary)
 from .queries_stream import _scratch, fs_copy
 from .queries_text import RID, RID_SQL, _area_sql, _flags_sql
 
@@ -477,16 +478,68 @@ def q_bundle_roundtrip(spark, sf_dir):
     tables = model.bundle_tables(spark, b["layout"], b["fits"], b["smear"], b["band"], b["coverage"], b["med_m2"])
     files.save_bundle(spark, path, tables)
     stored = model.bundle_from_tables(files.load_bundle(spark, path, list(tables)))
-    props = model.sales_for_model(b["kept"]).select(
-        "row_id", "barrio", F.col("sup_total_m2").alias("m2"), "ambientes", "dormitorios", "banos",
-        F.col("antiguedad_anios").alias("antiguedad"), F.col("tipo_familia").alias("tipo"),
-        F.col("venta_usd").alias("venta"), *K.MODEL_FLAGS)
+    props = what_if_input(b["kept"])
     here = scenario.what_if(props, b, market_median=K.MARKET_MEDIAN_GROSS_YIELD)
     there = scenario.what_if(props, stored, market_median=K.MARKET_MEDIAN_GROSS_YIELD)
     return here.select("row_id", F.col("alquiler").alias("en_memoria"), "veredicto").join(
         there.select("row_id", F.col("alquiler").alias("leido"), F.col("veredicto").alias("veredicto_leido")), "row_id")
 
 
+@register("bundle_equal", O.with_clean(f"""
+SELECT row_id, true AS iguales FROM {O.KEPT} k WHERE operacion = 'venta' AND venta_usd IS NOT NULL
+  AND sup_total_m2 IS NOT NULL AND barrio IS NOT NULL"""))
+def q_bundle_equal(spark, sf_dir):
+    """For every sale, whether the stored model scores it exactly like the one in memory."""
+    d = q_bundle_roundtrip(spark, sf_dir)
+    same = F.col("en_memoria").eqNullSafe(F.col("leido")) & F.col("veredicto").eqNullSafe(F.col("veredicto_leido"))
+    return d.select("row_id", same.alias("iguales"))
+
+
+def area_bundle(spark, sf_dir) -> dict:
+    """The area-only model as a bundle: what ``scenario.what_if`` takes."""
+    kept = _kept(spark, sf_dir)
+    oof = materialize(area_model(kept)[1], "area-oof")
+    rentals = model.rentals_for_model(kept)
+    a, b = rentals.agg(F.regr_intercept("y", "log_sup"), F.regr_slope("y", "log_sup")).first()
+    layout = model.Layout({"barrio": model.category_layout(rentals).categories["barrio"], "tipo_familia": []})
+    beta = [0.0] * layout.p
+    beta[layout.index()["1"]], beta[layout.index()["x:log_sup"]] = float(a or 0.0), float(b or 0.0)
+    smear = oof.agg(F.avg(F.exp(F.col("y") - F.col("pred_log")))).first()[0]
+    return dict(layout=layout, fits={model.FULL: model.StoredFit(beta, 0.0)}, smear=float(smear or 1.0),
+                band=materialize(model.band_errors(oof), "area-band"), coverage=lookups.rental_coverage(kept),
+                med_m2=lookups.area_median(rentals, "alquiler_m2_usd_mes"))
+
+
+_MARKET = K.MARKET_MEDIAN_GROSS_YIELD
+
+
+@register("what_if_area", _with_scores(f"""
+, q AS (SELECT row_id, barrio, sup_total_m2 AS m2, venta_usd AS venta, segmento, n_alq_barrio, error_estimacion AS e,
+    exp(a + b * ln(sup_total_m2)) * s AS alq FROM scored, full_fit, sm),
+md AS (SELECT barrio, median(alquiler_m2_usd_mes) AS m FROM r GROUP BY barrio),
+z AS (SELECT q.*, md.barrio IS NOT NULL AS known, md.m, CASE WHEN venta > 0 THEN alq * 12 / venta * 100 END AS rb
+  FROM q LEFT JOIN md ON q.barrio = md.barrio)
+SELECT row_id, segmento, n_alq_barrio, (n_alq_barrio >= {K.MIN_RENTALS_PER_AREA})::INT AS confiable,
+  CASE WHEN known THEN {O.sround('alq', 4)} END AS alquiler, CASE WHEN known THEN {O.sround('alq * (1 - e)', 4)} END AS minimo,
+  CASE WHEN known THEN {O.sround('alq * (1 + e)', 4)} END AS maximo,
+  CASE WHEN m <> 0 THEN {O.sround('m * m2', 4)} END AS referencia_barrio,
+  CASE WHEN known AND m <> 0 THEN {O.sround('(alq / (m * m2) - 1) * 100', 4)} END AS dif_referencia_pct,
+  CASE WHEN known THEN {O.sround('rb', 4)} END AS rent_bruta_pct,
+  CASE WHEN known THEN {O.sround(f'rb * {1 - K.VACANCY_PCT / 100!r} * {1 - K.OWNER_COSTS_PCT / 100!r}', 4)} END AS rent_neta_pct,
+  CASE WHEN known THEN {O.sround('venta / alq', 4)} END AS meses_repago,
+  CASE WHEN NOT known THEN NULL WHEN rb > {_MARKET * (1 + K.WHATIF_VERDICT_BAND)!r} THEN 'por_encima'
+    WHEN rb < {_MARKET * (1 - K.WHATIF_VERDICT_BAND)!r} THEN 'por_debajo' ELSE 'en_linea' END AS veredicto,
+  CASE WHEN NOT known THEN 'barrio_desconocido' END AS motivo_rechazo
+FROM z"""))
+def q_what_if_area(spark, sf_dir):
+    """M10 by value: every sale as a what-if input of the area-only model."""
+    out = scenario.what_if(what_if_input(_kept(spark, sf_dir)), area_bundle(spark, sf_dir), market_median=_MARKET)
+    r4 = lambda c, name=None: F.round(c, 4).alias(name or c)
+    return out.select("row_id", "segmento", "n_alq_barrio", "confiable", r4("alquiler"), r4("min", "minimo"),
+                      r4("max", "maximo"), r4("referencia_barrio"), r4("dif_referencia_pct"), r4("rent_bruta_pct"),
+                      r4("rent_neta_pct"), r4("meses_repago"), "veredicto", "motivo_rechazo")
+
+
 # --------------------------------------------------------------------------- S6: listing cards
 
 @register("html_cards", f"""

@@ -82,3 +82,40 @@ def test_ridge_matches_closed_form(spark):
         pred, _ = _numpy_pipeline(tr, te, fits[k].alpha)
         got = oof.loc[te["row_id"], "pred_log"].to_numpy()
         assert np.allclose(got, pred, atol=1e-8)
+
+
+def test_learning_curve_equals_refits(spark):
+    """One pass over the rentals gives what a complete refit of each fraction gives."""
+    sdf = spark.createDataFrame(_frame(700, 11)).withColumn("fold", model.fold_of("row_id")).repartition(5)
+    fractions = (0.3, 0.6, 0.9)
+    got = {r.fraccion: r for r in model.learning_curve(sdf, fractions).collect()}
+    for f in fractions:
+        sub = sdf.filter(model.hash_order() < int(round(f * 10000)))
+        layout, fits = model.fit_all(sub)
+        model.choose_alphas(sub, layout, fits)
+        oof = model.with_oof(sub, layout, fits).select("y", "pred_log", "err_rel").toPandas()
+        r2 = 1 - ((oof.y - oof.pred_log) ** 2).sum() / ((oof.y - oof.y.mean()) ** 2).sum()
+        assert got[f].n == len(oof)
+        assert abs(got[f].r2_log_oof - r2) < 2e-6 and abs(got[f].err_mediano_pct - 100 * oof.err_rel.median()) < 2e-4
+
+
+def test_gram_sums_in_a_tree(spark, monkeypatch):
+    """Blocks and levels don't change the sums; every fit of the nested blocks uses its own training rows."""
+    from listing_yield.operators import sums
+
+    pdf = _frame(300, 5)
+    sdf = spark.createDataFrame(pdf).withColumn("fold", model.fold_of("row_id")).repartition(9)
+    layout = model.category_layout(sdf)
+    whole = model.gram_by_fold(sdf, layout)
+    monkeypatch.setattr(sums, "FAN", 2)
+    monkeypatch.setattr(model, "GRAM_ROWS", 7)
+    cut = model.gram_by_fold(sdf, layout)
+    folds = np.array([r.fold for r in sdf.select("row_id", "fold").orderBy("row_id").collect()])
+    z = np.column_stack([model.build_z(pdf, layout), pdf["y"]])
+    for j in range(5):
+        own = z[folds == j]
+        for got in (whole[j], cut[j]):
+            assert np.allclose(got[0], own[:, :-1].T @ own[:, :-1]) and np.allclose(got[1], own[:, :-1].T @ own[:, -1])
+            assert np.isclose(got[2], own[:, -1] @ own[:, -1]) and got[3] == len(own)
+    blocks = {r.bloque: r for r in model.nested_r2(spark, sdf, *model.fit_all(sdf)).collect()}
+    assert list(blocks) == [name for name, _ in model.BLOCKS] and blocks["todas"].r2_log_oof > 0.5
