@@ -19,14 +19,15 @@ each; an empty table gives no rows; other columns are neither read nor changed.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
+from . import textnp as T
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -46,16 +47,18 @@ SCHEMA = f"{BASE}, n_bad_words long, n_bad_lines long, base_failed boolean, kept
 
 
 def repeated_words(words: list[bytes]) -> int:
-    """Words that stand in a 3-word window found twice or more."""
-    windows = list(zip(words, words[1:], words[2:], strict=False))
-    if len(set(windows)) == len(windows):
+    """Words that stand in a 3-word window found twice or more. Words, then pairs, then windows are numbered, so equal
+    numbers are equal windows."""
+    if len(words) < 4:
         return 0
-    seen, covered, upto = Counter(windows), 0, 0
-    for i, x in enumerate(windows):
-        if seen[x] > 1:
-            covered += i + 3 - max(i, upto)
-            upto = i + 3
-    return covered
+    number: dict[bytes, int] = {}
+    ids = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
+    pairs = np.unique(ids[:-1] * len(number) + ids[1:], return_inverse=True)[1]
+    found, at, count = np.unique(pairs[:-1] * len(number) + ids[2:], return_inverse=True, return_counts=True)
+    if len(found) == len(at):
+        return 0
+    start = np.flatnonzero(count[at] > 1)
+    return int(np.minimum(np.diff(start, append=start[-1] + 3), 3).sum())
 
 
 def line_fails(line: bytes, words: list[bytes]) -> bool:
@@ -113,8 +116,8 @@ def apply_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), clean_text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64()] * 7 + [pa.bool_(), pa.bool_(), pa.string()]
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for a, b in T.slices(batch.column(1)):
+                part = batch.slice(a, b - a)
                 columns = list(zip(*[judge(x.as_py()) for x in part.column(1)], strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *[pa.array(c, t) for c, t in zip(columns[: len(wanted)], types, strict=False)]],
