@@ -2,13 +2,16 @@
 
 The original walks a parsed DOM with an ordered list of selectors and takes
 the first that yields non-empty text.  Over a table of pages the same
-contract is an ordered ``coalesce`` of regex extractions, tags stripped,
-entities decoded and white space collapsed; no per-page parser runs.
+contract is an ordered ``coalesce``: of regex extractions for fields of a whole
+page (``first_text``), and of elements for cards (``select_text``): the page is
+split into tags and texts, and an element reaches from its tag to the closing tag
+at the same depth, whatever is nested in it and however its attributes are ordered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,14 +23,6 @@ from .text import WS
 TITLE_PATTERNS = [r"(?s)<title[^>]*>(.*?)</title>", r"(?s)<h1[^>]*>(.*?)</h1>"]
 BODY_PATTERNS = [r"(?s)<article[^>]*>.*?<p[^>]*>(.*?)</p>", r"(?s)<p[^>]*>(.*?)</p>"]
 LANG_PATTERN = r"<html[^>]*\slang=\"([^\"]*)\""
-# Fields of a listing card: ordered fallbacks, the attribute before the class.
-CARD_PATTERNS = {
-    "precio": [r'(?s)data-price="([^"]+)"', r'(?s)class="[^"]*price[^"]*"[^>]*>(.*?)</'],
-    "expensas": [r'(?s)class="[^"]*expenses[^"]*"[^>]*>(.*?)</'],
-    "direccion": [r'(?s)class="[^"]*address[^"]*"[^>]*>(.*?)</', r'(?s)<h2[^>]*>(.*?)</h2>'],
-    "detalles": [r'(?s)class="[^"]*features[^"]*"[^>]*>(.*?)</ul>'],
-}
-CARD = r"(?s)<article[^>]*>(.*?)</article>"
 # Entities decoded after tag stripping; '&amp;' last so it is not decoded twice.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
@@ -36,11 +31,25 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def decode_entities(s: Column) -> Column:
+    """Named entities of the list, and all by number (decimal or hexadecimal); ``&amp;`` last."""
+    def by_number(acc: Column, ent: Column) -> Column:
+        digits = F.regexp_extract(ent, r"&#[xX]?([0-9a-fA-F]+);", 1)
+        code = F.when(ent.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("long")
+        fine = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(fine, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.replace(acc, ent, char)
+
+    numbers = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(0)))
+    out = F.when(F.contains(s, F.lit("&#")), F.aggregate(numbers, s, by_number)).otherwise(s)
+    for ent, rep in ENTITIES:
+        out = F.replace(out, F.lit(ent), F.lit(rep))
+    return out
+
+
 def strip_tags(x) -> Column:
     s = F.regexp_replace(_c(x), r"<[^>]*>", " ")
-    for ent, rep in ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(rep))
-    return F.trim(F.regexp_replace(s, WS, " "))
+    return F.trim(F.regexp_replace(decode_entities(s), WS, " "))
 
 
 def first_text(html, patterns: Sequence[str]) -> Column:
@@ -49,14 +58,127 @@ def first_text(html, patterns: Sequence[str]) -> Column:
     return F.coalesce(*parts, F.lit(""))
 
 
+# --------------------------------------------------------------------------- elements
+
+TOKEN = r"(?s)<!--.*?-->|<(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|<|[^<]+"
+OPENING, CLOSING = r"^<([a-zA-Z][^\s/>]*)", r"^</([a-zA-Z][^\s/>]*)"
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+
+
+@dataclass(frozen=True)
+class Selector:
+    """An element by tag name, by a part of its class, or by an attribute that it has; ``value`` is the attribute whose
+    value is wanted instead of the element's text."""
+
+    tag: str | None = None
+    cls: str | None = None
+    attr: str | None = None
+    value: str | None = None
+
+
+# Fields of a listing card: ordered fallbacks.
+CARD_FIELDS = {
+    "precio": [Selector(attr="data-price", value="data-price"), Selector(cls="price")],
+    "expensas": [Selector(cls="expenses")],
+    "direccion": [Selector(cls="address"), Selector(tag="h2")],
+    "detalles": [Selector(cls="features")],
+}
+
+
+def tokens(html) -> Column:
+    """A page as an array of tags, comments and texts, in order."""
+    return F.regexp_extract_all(_c(html), F.lit(TOKEN), F.lit(0))
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute of a tag wherever it stands, quoted or not; NULL if the tag hasn't any."""
+    found = F.regexp_extract(tag, rf"(?is)^<[^\s>]+(?:\"[^\"]*\"|'[^']*'|[^\"'])*?\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    return F.when(found != "", F.regexp_replace(found, r"^[\"']|[\"']$", ""))
+
+
+def _opens(token: Column) -> Column:
+    return F.lower(F.regexp_extract(token, OPENING, 1))
+
+
+def matches(token: Column, s: Selector) -> Column:
+    ok = _opens(token) != ""
+    if s.tag:
+        ok = ok & (_opens(token) == s.tag)
+    if s.cls:
+        ok = ok & F.contains(token, F.lit(s.cls)) & F.coalesce(F.contains(attribute(token, "class"), F.lit(s.cls)), F.lit(False))
+    if s.attr:
+        ok = ok & F.contains(token, F.lit(s.attr)) & attribute(token, s.attr).isNotNull()
+    return ok
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, the value made once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def element_at(toks: Column, place: Column) -> Column:
+    """The tokens of the element that opens at ``place`` (from 1): up to the closing tag at the same depth of its name, or
+    to the end where that is missing; a void or self-closed element is its tag alone."""
+    def cut(x: Column) -> Column:
+        rest, name = x["rest"], x["name"]
+        alone = name.isin(*VOID) | F.element_at(rest, 1).endswith("/>")
+        zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+
+        def step(s: Column, t: Column) -> Column:
+            inner = (F.when((_opens(t) == name) & ~t.endswith("/>"), 1)
+                     .when(F.lower(F.regexp_extract(t, CLOSING, 1)) == name, -1).otherwise(0))
+            depth = s["depth"] + F.when(t.startswith("<"), inner).otherwise(0)
+            return F.when(s["done"], s).otherwise(F.struct(
+                depth.alias("depth"), (s["n"] + 1).alias("n"), (depth <= 0).alias("done")))
+        return F.slice(rest, 1, F.when(alone, 1).otherwise(F.aggregate(rest, zero, step, lambda s: s["n"])))
+
+    def at(p: Column) -> Column:
+        rest = F.slice(toks, p, F.greatest(F.size(toks) - p + 1, F.lit(0)))
+        return _let(F.struct(rest.alias("rest"), _opens(F.element_at(rest, 1)).alias("name")), cut)
+    return _let(place, at)
+
+
+def elements(toks: Column, s: Selector) -> Column:
+    """The token arrays of all elements that match, outermost ones only."""
+    def all_of(t: Column) -> Column:
+        places = F.filter(F.transform(t, lambda x, i: F.when(matches(x, s), i + 1)), lambda p: p.isNotNull())
+        spans = F.transform(places, lambda p: F.struct(p.alias("at"), element_at(t, p).alias("own")))
+        zero = F.struct(F.lit(0).alias("upto"), F.array().cast("array<array<string>>").alias("found"))
+        return F.aggregate(spans, zero, lambda a, x: F.when(x["at"] <= a["upto"], a).otherwise(F.struct(
+            (x["at"] + F.size(x["own"]) - 1).alias("upto"), F.concat(a["found"], F.array(x["own"])).alias("found"))),
+            lambda a: a["found"])
+    return _let(toks, all_of)
+
+
+def element_text(own: Column) -> Column:
+    """The text of an element's tokens: pieces parted by spaces, entities decoded, white space collapsed."""
+    pieces = F.filter(own, lambda t: ~t.startswith("<") | (t == "<"))
+    return F.trim(F.regexp_replace(decode_entities(F.array_join(pieces, " ")), WS, " "))
+
+
+def select_text(toks: Column, selectors: Sequence[Selector]) -> Column:
+    """H22 by element: the first selector whose first element has a text (or attribute) that isn't empty, else ''."""
+    def one(t: Column, s: Selector) -> Column:
+        def found(p: Column) -> Column:
+            if s.value:
+                got = F.trim(F.regexp_replace(decode_entities(attribute(F.element_at(t, p), s.value)), WS, " "))
+            else:
+                got = element_text(element_at(t, p))
+            return F.when(p > 0, F.nullif(got, F.lit("")))
+        place = F.coalesce(F.array_position(F.transform(t, lambda x: matches(x, s)), True), F.lit(0)).cast("int")
+        return _let(F.greatest(place, F.lit(0)), lambda p: F.when(p > 0, found(F.greatest(p, F.lit(1)))))
+
+    return _let(toks, lambda t: F.coalesce(*[one(t, s) for s in selectors], F.lit("")))
+
+
 def cards(html) -> Column:
-    """The markup of each listing card of a page."""
-    return F.regexp_extract_all(_c(html), F.lit(CARD), F.lit(1))
+    """The tokens of each listing card of a page."""
+    return elements(tokens(html), Selector(tag="article"))
 
 
 def card_fields(card) -> dict[str, Column]:
-    """One text per field of a card ('' where no pattern yields any)."""
-    return {name: first_text(card, patterns) for name, patterns in CARD_PATTERNS.items()}
+    """One text per field of a card's tokens ('' where no selector yields any)."""
+    return {name: select_text(_c(card), selectors) for name, selectors in CARD_FIELDS.items()}
 
 
 def count_tag(html, tag: str) -> Column:

@@ -6,24 +6,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialize
 from .quantiles import exact_quantiles
 
 
-def average_rank(value: str) -> Column:
-    """Rank with ties averaged (pandas ``rank(method='average')``), over the whole input.
+SMALL_TABLE = 10_000  # rows that one task may rank
 
-    Used only on group-level tables (one row per area), never on raw rows:
-    the frame is global, so its input must be small by construction.
-    """
-    w_all = Window.orderBy(F.col(value))
+
+def average_rank(value: str) -> Column:
+    """Rank with ties averaged (pandas ``rank(method='average')``), over the whole input, which one task sorts: only
+    for tables of at most ``SMALL_TABLE`` rows, as ``with_average_ranks`` checks."""
+    w_all = Window.orderBy(F.col(value).asc_nulls_last())
     w_tie = Window.partitionBy(F.col(value))
     return F.rank().over(w_all) + (F.count(F.lit(1)).over(w_tie) - 1) / 2.0
 
 
+def value_ranks(df: DataFrame, value: str, out: str) -> DataFrame:
+    """value, out: the average rank of each distinct value, with no task that sees them all.
+
+    Distinct values with their counts (combined map-side, so ties shrink first) are dealt into ranges of values and
+    summed within their range; the ranges' totals, one row each, are summed up and added.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(counts.repartitionByRange(ranges, "_v").withColumn("_p", F.spark_partition_id()), "rank-ranges")
+    totals = dealt.groupBy("_p").agg(F.sum("_c").alias("_t"))  # a row for each range
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_p", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    local = F.sum("_c").over(Window.partitionBy("_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1))
+    ranked = dealt.withColumn("_below", F.coalesce(local, F.lit(0))).join(F.broadcast(offsets), "_p")
+    return ranked.select(F.col("_v").alias(value), (F.col("_off") + F.col("_below") + (F.col("_c") + 1) / 2.0).alias(out))
+
+
+def with_average_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
+    """``df`` (written once) with the average rank of each column named in ``ranks`` (column -> rank's name). Small
+    tables are ranked in one task, others by ``value_ranks``, whose table is joined back on the value; adaptive execution
+    splits the partition of a value that very many rows share."""
+    df = materialize(df, "to-rank")
+    if df.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
+        return df.select("*", *[F.when(F.col(c).isNotNull(), average_rank(c)).alias(r) for c, r in ranks.items()])
+    for c, r in ranks.items():
+        df = df.join(materialize(value_ranks(df, c, r), "ranks"), c, "left")
+    return df
+
+
 def spearman(groups: DataFrame, x: str, y: str) -> DataFrame:
-    """A15 + A16: Spearman rho between two columns of a per-group table, and its verdict."""
-    both = groups.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = both.select(average_rank(x).alias("_rx"), average_rank(y).alias("_ry"))
+    """A15 + A16: Spearman rho between two columns of a table of any size, and its verdict."""
+    both = groups.select(x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    ranked = with_average_ranks(both, {x: "_rx", y: "_ry"})
     rho = F.corr("_rx", "_ry")
     out = ranked.agg(F.round(rho, 6).alias("spearman"), F.count(F.lit(1)).alias("n_grupos"))
     verdict = (F.when(F.col("spearman") < -0.5, F.lit("inversa_fuerte"))

@@ -563,12 +563,42 @@ def q_html_cards(spark, sf_dir):
     page = (li.selectExpr("l_orderkey", RID, "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity")
             .selectExpr("l_orderkey", f"{card} AS card").groupBy("l_orderkey")
             .agg(F.array_join(F.collect_list("card"), "\n").alias("html")))  # an order's lines
-    # the id of a card is an attribute of its opening tag, so the whole element is taken apart
-    whole = F.regexp_extract_all("html", F.lit(r"(?s)<article[^>]*>.*?</article>"), F.lit(0))
-    one = materialize(page.select(F.explode(whole).alias("card")), "cards")
-    d = one.select(F.regexp_extract("card", 'id="([^"]+)"', 1).alias("rid"), H.cards("card")[0].alias("card"))
-    d = materialize(d.select("rid", *[c.alias(n) for n, c in H.card_fields(F.col("card")).items()]), "card-fields")
+    return card_rows(page)
+
+
+def card_rows(page):
+    """Each card of the pages with its id and parsed fields."""
+    one = materialize(page.select(F.explode(H.cards("html")).alias("card")), "cards")
+    d = one.select(H.attribute(F.col("card")[0], "id").alias("rid"), *[c.alias(n) for n, c in H.card_fields("card").items()])
+    d = materialize(d, "card-fields")
     p, a = X.parse_price("precio"), X.parse_address("direccion")
     return d.select("rid", p["valor"].alias("valor"), p["moneda"].alias("moneda"),
                     X.parse_expensas("expensas").alias("expensas"), a["calle"].alias("calle"), a["altura"].alias("altura"),
                     X.parse_ambientes("detalles").alias("ambientes"), X.parse_superficie("detalles").alias("superficie"))
+
+
+@register("html_nested_cards", f"""
+SELECT {RID_SQL}, CAST(floor(l_extendedprice) AS DOUBLE) AS valor,
+  CASE WHEN l_orderkey % 2 = 0 THEN 'USD' ELSE 'ARS' END AS moneda,
+  CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE CAST(l_partkey % 900 + 100 AS DOUBLE) END AS expensas,
+  'Calle Ñ' || l_partkey AS calle, CAST(l_suppkey % 90 + 1 AS VARCHAR) AS altura,
+  CAST(l_partkey % 18 + 1 AS INTEGER) AS ambientes, CAST(l_quantity * 10 AS DOUBLE) AS superficie FROM lineitem""")
+def q_html_nested_cards(spark, sf_dir):
+    """Cards whose fields hold elements of their own name and others, with attributes in either order and quoted either
+    way, entities by number, a comment, an unclosed tag and a card within a card."""
+    li = spread(read_table(spark, sf_dir, "lineitem"))
+    price = "concat(CASE WHEN pmod(l_orderkey, 2) = 0 THEN 'U$S ' ELSE '$ ' END, " \
+            "translate(format_number(floor(l_extendedprice), 0), ',', '.'))"
+    card = f"""concat('<article class="c" id=', CASE WHEN pmod(l_suppkey, 2) = 0 THEN concat('"', rid, '"')
+        ELSE concat('\\'', rid, '\\'') END, '><!-- <span class="price">$ 1</span> --><br>',
+      CASE WHEN pmod(l_linenumber, 2) = 0 THEN concat('<div title="a > b" data-price="', {price}, '"/>')
+           ELSE concat('<span id="x" class="card price"><span>', {price}, '</span><b></b></span>') END,
+      '<div class=address><div>Calle&#160;&#xD1;', l_partkey, '</div> <div><i>', pmod(l_suppkey, 90) + 1, '</i></div></div>',
+      CASE WHEN pmod(l_orderkey, 3) = 0 THEN '' ELSE
+        concat('<p data-x="1" class="expenses"><b>+ $ ', pmod(l_partkey, 900) + 100, '</b> expensas</p>') END,
+      '<ul class="features"><li><ul><li>', pmod(l_partkey, 18) + 1, ' amb.</li></ul><li>', cast(l_quantity * 10 as int),
+      ' m&#178;</ul><article class="ad"><h2>other</h2></article></article>')"""
+    page = (li.selectExpr("l_orderkey", RID, "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity")
+            .selectExpr("l_orderkey", f"{card} AS card").groupBy("l_orderkey")
+            .agg(F.array_join(F.collect_list("card"), "\n").alias("html")))  # an order's lines
+    return card_rows(page)

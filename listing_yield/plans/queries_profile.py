@@ -186,6 +186,20 @@ def q_spearman_price_yield(spark, sf_dir):
     return stats.spearman(groups, "venta_m2", "rent_bruta_pct")
 
 
+@register("spearman_price_area", O.with_listings(f"""
+, b AS (SELECT precio_valor AS x, sup_total_m2 AS y FROM listings WHERE precio_valor IS NOT NULL AND sup_total_m2 IS NOT NULL),
+r AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+             rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM b)
+SELECT {O.sround('corr(rx, ry)', 6)} AS spearman, count(*) AS n_grupos,
+       CASE WHEN {O.sround('corr(rx, ry)', 6)} < -0.5 THEN 'inversa_fuerte'
+            WHEN {O.sround('corr(rx, ry)', 6)} < -0.2 THEN 'inversa_moderada'
+            ELSE 'sin_relacion_inversa' END AS veredicto
+FROM r""".replace("\n, b AS", ", b AS", 1)))
+def q_spearman_price_area(spark, sf_dir):
+    """A15 and W5 over all listings' price and area (few distinct areas: long ties)."""
+    return stats.spearman(_listings(spark, sf_dir), "precio_valor", "sup_total_m2")
+
+
 # --------------------------------------------------------------------------- J2, J3, F18, A23
 
 @register("lookup_coverage", O.with_clean(f"""

@@ -177,8 +177,5 @@ FROM tagged WHERE motivo_exclusion IS NOT NULL GROUP BY motivo_exclusion
 UNION ALL SELECT 0, 'entrada', count(*) FROM tagged
 UNION ALL SELECT 100, 'conservadas', count(*) FILTER (WHERE motivo_exclusion IS NULL) FROM tagged"""))
 def q_run_metrics(spark, sf_dir):
-    tagged = _tagged(spark, sf_dir)
-    path = _scratch(spark, "excluded")
-    files.write_excluded(tagged.filter(~rules.alive()), path)
-    m = files.run_metrics(tagged)
-    return m.select("paso", "regla", F.col("n").cast("long").alias("n"))
+    m = files.write_excluded_counted(_tagged(spark, sf_dir), _scratch(spark, "excluded"))
+    return m.select("paso", "regla", "n")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,8 +134,25 @@ def write_excluded(excluded: DataFrame, path: str) -> None:
     excluded.write.mode("overwrite").partitionBy("motivo_exclusion").parquet(path)
 
 
+def write_excluded_counted(tagged: DataFrame, path: str) -> DataFrame:
+    """S11 + S12 in one job: the rejected rows of ``tagged`` are written, and the (step, rule, n) counts of all its rows
+    are observed by the job that writes them: input, kept, and each reason (those that are none of the fixed ones
+    together as ``otras``, step 99)."""
+    seen = Observation(f"metricas-{uuid.uuid4().hex}")
+    reason = F.col("motivo_exclusion")
+    counts = [F.count(F.lit(1)).alias("entrada"), F.count(F.when(reason.isNull(), 1)).alias("conservadas"),
+              F.count(F.when(~reason.isin(list(K.REASONS)), 1)).alias("otras"),
+              *[F.count(F.when(reason == r, 1)).alias(r) for r in K.REASONS]]
+    write_excluded(tagged.observe(seen, *counts).filter(reason.isNotNull()), path)
+    got = seen.get
+    rows = [(0, "entrada", got["entrada"]), (100, "conservadas", got["conservadas"])]
+    rows += [(i + 1, r, got[r]) for i, r in enumerate(K.REASONS) if got[r]]
+    rows += [(99, "otras", got["otras"])] if got["otras"] else []
+    return tagged.sparkSession.createDataFrame(rows, "paso int, regla string, n long")
+
+
 def run_metrics(tagged: DataFrame) -> DataFrame:
-    """(step, rule, n) counts from one aggregation: input, kept, excluded and each reason."""
+    """S12 without a write: the same (step, rule, n) counts from one aggregation."""
     per = tagged.groupBy("motivo_exclusion").agg(F.count(F.lit(1)).alias("n"))
     order = F.create_map(*[v for i, r in enumerate(K.REASONS) for v in (F.lit(r), F.lit(i + 1))])
     rules = per.filter(F.col("motivo_exclusion").isNotNull()).select(
