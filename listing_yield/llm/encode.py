@@ -35,7 +35,7 @@ class _Pieces(dict):
 
 
 class Encoder:
-    def __init__(self, vocabulary: str = VOCABULARY, cached: int = 350_000):
+    def __init__(self, vocabulary: str = VOCABULARY, cached: int = 200_000):
         import public_tokenizers
         import tiktoken
 
