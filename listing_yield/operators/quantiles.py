@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -44,13 +44,9 @@ def quantiles_of(df: DataFrame, wanted: Wanted, by: Sequence[str] = ()) -> DataF
     base = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)],
                      *[v.cast("double").alias(n) for n, (v, _) in zip(vals, wanted)])
     base = base.filter(reduce(or_, [F.col(v).isNotNull() for v in vals]))
-    brackets = materialize(_sketched(base, keys, vals, wanted), "brackets")
-    while True:
-        groups, most = brackets.agg(F.count(F.lit(1)), F.max(F.greatest(F.lit(0), *[
-            F.col(_b(i, j, "most")) for i, (_, ps) in enumerate(wanted) for j in range(len(ps))]))).first()
-        if (most or 0) <= LIST:
-            break
-        brackets = materialize(_narrowed(_bracketed(base, brackets, keys, groups), keys, wanted), "brackets")
+    brackets, most = _fetched(_sketched(base, keys, vals, wanted))
+    while most > LIST:
+        brackets, most = _fetched(_narrowed(_bracketed(base, brackets, keys), keys, brackets, wanted))
     aggs = []
     for i, (_, probs) in enumerate(wanted):
         v = F.col(vals[i])
@@ -58,10 +54,8 @@ def quantiles_of(df: DataFrame, wanted: Wanted, by: Sequence[str] = ()) -> DataF
         for j in range(len(probs)):
             lo, hi = F.col(_b(i, j, "lo")), F.col(_b(i, j, "hi"))
             aggs += [F.count(F.when(v <= lo, 1)).alias(_b(i, j, "upto")),
-                     F.collect_list(F.when((v > lo) & (v < hi), v)).alias(_b(i, j, "in")),
-                     F.first(lo, ignorenulls=True).alias(_b(i, j, "lo")),
-                     F.first(hi, ignorenulls=True).alias(_b(i, j, "hi"))]
-    counted = _bracketed(base, brackets, keys, groups).groupBy(*keys).agg(*aggs)
+                     F.collect_list(F.when((v > lo) & (v < hi), v)).alias(_b(i, j, "in"))]
+    counted = _with_ends(_bracketed(base, brackets, keys), keys, brackets, wanted, aggs)
     counted = counted.select("*", *[F.array_sort(_b(i, j, "in")).alias(_b(i, j, "sorted"))
                                     for i, (_, ps) in enumerate(wanted) for j in range(len(ps))])
     out = []
@@ -92,34 +86,46 @@ def _sketched(base: DataFrame, keys: list[str], vals: list[str], wanted: Wanted)
     """keys, and for each wanted quantile its bracket (lo, hi) and the most values that may lie inside."""
     aggs = []
     for v, (_, probs) in zip(vals, wanted):
-        ends = [min(1.0, max(0.0, p + m)) for p in probs for m in (-MARGIN, MARGIN)]
-        aggs += [F.count(v).alias(f"{v}_n"), F.min(v).alias(f"{v}_min"), F.max(v).alias(f"{v}_max"),
-                 F.percentile_approx(v, F.array(*map(F.lit, ends)), ACCURACY).alias(f"{v}_q")]
+        # the sketch keeps the least and greatest values, so shares 0 and 1 are exact
+        ends = [*[min(1.0, max(0.0, p + m)) for p in probs for m in (-MARGIN, MARGIN)], 0.0, 1.0]
+        aggs += [F.count(v).alias(f"{v}_n"), F.percentile_approx(v, F.array(*map(F.lit, ends)), ACCURACY).alias(f"{v}_q")]
     columns = []
     for i, (v, (_, probs)) in enumerate(zip(vals, wanted)):
         whole, n = F.col(f"{v}_n") <= SMALL, F.col(f"{v}_n")
+        least, greatest = (F.col(f"{v}_q")[2 * len(probs) + k] for k in (0, 1))
         for j in range(len(probs)):
-            columns += [F.when(whole, F.col(f"{v}_min")).otherwise(F.col(f"{v}_q")[2 * j]).alias(_b(i, j, "lo")),
-                        F.when(whole, F.col(f"{v}_max")).otherwise(F.col(f"{v}_q")[2 * j + 1]).alias(_b(i, j, "hi")),
+            columns += [F.when(whole, least).otherwise(F.col(f"{v}_q")[2 * j]).alias(_b(i, j, "lo")),
+                        F.when(whole, greatest).otherwise(F.col(f"{v}_q")[2 * j + 1]).alias(_b(i, j, "hi")),
                         F.when(whole, n).otherwise(F.ceil(n * (2 * MARGIN + 2 / ACCURACY))).cast("long")
                         .alias(_b(i, j, "most"))]
     return base.groupBy(*keys).agg(*aggs).select(*keys, *columns)
 
 
-def _bracketed(base: DataFrame, brackets: DataFrame, keys: list[str], groups: int) -> DataFrame:
-    """The rows with their group's brackets: a single group's as literals, up to ``BROADCAST_GROUPS`` groups' by a
-    broadcast, more by a shuffle."""
-    ends = [c for c in brackets.columns if c not in keys]
-    if not keys:
-        row = brackets.first() or dict.fromkeys(ends)
-        return base.select("*", *[F.lit(row[c]).cast("double" if not c.startswith("_most") else "long").alias(c)
-                                  for c in ends])
-    side = brackets.select(*[F.col(k).alias(f"_o{k}") for k in keys], *ends)
+def _fetched(brackets: DataFrame) -> tuple[DataFrame | Row, int]:
+    """The brackets of up to ``BROADCAST_GROUPS`` groups as a local table to be broadcast (of one group without keys, the
+    row itself), of more as a written table; and the most values that may lie inside any."""
+    names = [c for c in brackets.columns if c.startswith("_most")]
+    rows = brackets.limit(BROADCAST_GROUPS + 1).collect()
+    if len(rows) > BROADCAST_GROUPS:
+        table = materialize(brackets, "brackets")
+        return table, table.agg(F.max(F.greatest(F.lit(0), *names))).first()[0] or 0
+    most = max((r[c] or 0 for r in rows for c in names), default=0)
+    if not any(c.startswith("_k") for c in brackets.columns):
+        return rows[0], most
+    return F.broadcast(brackets.sparkSession.createDataFrame(rows, brackets.schema)), most
+
+
+def _bracketed(base: DataFrame, brackets: DataFrame | Row, keys: list[str]) -> DataFrame:
+    """The rows with their group's brackets: a single group's as literals."""
+    if isinstance(brackets, Row):
+        return base.select("*", *[F.lit(v).cast("long" if c.startswith("_most") else "double").alias(c)
+                                  for c, v in brackets.asDict().items()])
+    side = brackets.select(*[F.col(k).alias(f"_o{k}") for k in keys], *[c for c in brackets.columns if c not in keys])
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_o{k}")) for k in keys])
-    return base.join(F.broadcast(side) if groups <= BROADCAST_GROUPS else side, same).drop(*[f"_o{k}" for k in keys])
+    return base.join(side, same).drop(*[f"_o{k}" for k in keys])
 
 
-def _narrowed(rows: DataFrame, keys: list[str], wanted: Wanted) -> DataFrame:
+def _narrowed(rows: DataFrame, keys: list[str], brackets: DataFrame | Row, wanted: Wanted) -> DataFrame:
     """Brackets of about 3 / ``GRID`` of the values in those of ``rows``."""
     grid = F.array(*[F.lit(g / GRID) for g in range(GRID + 1)])
     aggs = []
@@ -130,9 +136,7 @@ def _narrowed(rows: DataFrame, keys: list[str], wanted: Wanted) -> DataFrame:
             lo, hi = F.col(_b(i, j, "lo")), F.col(_b(i, j, "hi"))
             inside = F.when((v > lo) & (v < hi), v)
             aggs += [F.count(F.when(v <= lo, 1)).alias(_b(i, j, "upto")), F.count(inside).alias(_b(i, j, "n")),
-                     F.percentile_approx(inside, grid, ACCURACY).alias(_b(i, j, "grid")),
-                     F.first(lo, ignorenulls=True).alias(_b(i, j, "lo")),
-                     F.first(hi, ignorenulls=True).alias(_b(i, j, "hi"))]
+                     F.percentile_approx(inside, grid, ACCURACY).alias(_b(i, j, "grid"))]
     columns = []
     for i, (_, probs) in enumerate(wanted):
         for j, p in enumerate(probs):
@@ -144,7 +148,15 @@ def _narrowed(rows: DataFrame, keys: list[str], wanted: Wanted) -> DataFrame:
                         F.when(few | (part > GRID - 2), hi).when(part < -1, lo).otherwise(
                             F.get(own, F.greatest(part, F.lit(0)) + 2)).alias(_b(i, j, "hi")),
                         F.when(few, n).otherwise(F.ceil(n * (3 / GRID + 2 / ACCURACY))).cast("long").alias(_b(i, j, "most"))]
-    return rows.groupBy(*keys).agg(*aggs).select(*keys, *columns)
+    return _with_ends(rows, keys, brackets, wanted, aggs).select(*keys, *columns)
+
+
+def _with_ends(rows: DataFrame, keys: list[str], brackets: DataFrame | Row, wanted: Wanted, aggs: list) -> DataFrame:
+    """Each group's aggregates and the ends of its brackets, which all its rows share."""
+    ends = [_b(i, j, e) for i, (_, ps) in enumerate(wanted) for j in range(len(ps)) for e in ("lo", "hi")]
+    if isinstance(brackets, Row):
+        return rows.groupBy(*keys).agg(*aggs).select("*", *[F.lit(brackets[c]).cast("double").alias(c) for c in ends])
+    return rows.groupBy(*keys).agg(*aggs, *[F.first(c, ignorenulls=True).alias(c) for c in ends])
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str] = (),
