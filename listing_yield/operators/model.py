@@ -515,8 +515,9 @@ def learning_curve(rentals: DataFrame, fractions=LEARNING_FRACTIONS, k: int = K.
     rentals (a fixed order, so each fraction contains the previous one), with the full fold / penalty-path fit of each.
     ``keep`` (of a feature's name) restricts the design.
 
-    One pass sums the Gram matrices by (slice between two fractions, fold); a fraction's are running sums of them. All
-    medians come from one pair of aggregates, all leave-one-out errors from one pass, all metrics from one more."""
+    One pass sums the Gram matrices by (slice between two fractions, fold); a fraction's are running sums of them. A
+    fraction's medians come from one pair of aggregates, all leave-one-out errors from one pass, all metrics from one
+    more."""
     fractions = sorted(fractions)
     rows = rentals.withColumn("_h", hash_order())
     piece = F.lit(None).cast("int")
@@ -525,9 +526,11 @@ def learning_curve(rentals: DataFrame, fractions=LEARNING_FRACTIONS, k: int = K.
     rows = rows.withColumn("slice", piece).drop("_h").filter(F.col("slice").isNotNull())
     layout = category_layout(rows)
     sums = gram_sums(rows, layout, F.col("slice") * k + F.col("fold"), len(fractions) * k)
-    sets = {_code(i, t, k): (F.col("slice") <= i) & (F.lit(True) if t == FULL else F.col("fold") != t)
-            for i in range(len(fractions)) for t in (FULL, *range(k))}
-    meds = training_medians(rows, sets)
+    meds: dict[int, dict[str, float]] = {}
+    for i in range(len(fractions)):
+        part = rows.filter(F.col("slice") <= i)
+        meds |= training_medians(part, {_code(i, t, k): F.lit(True) if t == FULL else F.col("fold") != t
+                                        for t in (FULL, *range(k))})
     every: dict[int, Fit] = {}
     for i in range(len(fractions)):
         by_fold = {j: tuple(sum(sums[s * k + j][x] for s in range(i + 1)) for x in range(4)) for j in range(k)}
