@@ -1,13 +1,17 @@
 """URL filters: a blocked Bloom filter of listed canonical URLs, then an exact hash join. DataFrame functions only.
 
 A listed URL (rule) is ``host/path``; it fits its host and all subdomains, for every path that starts with its own.
-A page's URL is looked up under each shape (number of host labels, length of path) that the list has: the host's last
-labels and the path's first characters make one key for each shape. Keys that the filter can't exclude go on to an
-exact join with the list, which removes the false positives; of the rules that remain the longest wins.
-
-The filter is an array of 512-bit blocks: one hash names the block, another one bit in each of its eight words. It is
-built as a table (block, eight words) by ``bit_or``, and broadcast only if it has at most ``BROADCAST_BYTES``, which
-is known from the list's size before it is built; beyond that the same join shuffles.
+A page's keys come from its own URL, however long the list: the host's last 1, 2, ... labels, each with every folder of
+the path (its beginnings that end in a slash, and the empty one), as far as the list's deepest host and longest folder
+go. A rule is found under its own folder. Keys that the filter can't exclude go on to an exact join with the listed
+folders, which removes the false positives. A folder that is a rule itself gives a hit; where rules go on behind their
+last slash, the folder's row says how long their paths are (numbers, at most one for each length), and the URL's
+beginnings of these lengths pass the filter and an exact join once more, so rules of one folder never meet all of its
+pages. Of the rules that remain the longest wins.
+
+The filter is an array of 512-bit blocks: one hash names the block, another one bit in each of its eight words. It holds
+rules and folders, is built as a table (block, eight words) by ``bit_or``, and broadcast only if it has at most
+``BROADCAST_BYTES``, which is known from the list's size before it is built; beyond that the same join shuffles.
 
 Defined cases: a null URL or one without ``://`` has empty host and path and fits no rule; null rules are left out;
 a rule listed with two verdicts blocks; rules of equal length go by their text; repeated page rows are judged each; an
@@ -21,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import read_table
+from ..session import materialize, read_table
 
 BITS_PER_KEY = 16
 WORDS = 8
@@ -42,14 +46,21 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
 
+def folder_of(path: Column) -> Column:
+    """A path up to its last slash; empty without one."""
+    return F.regexp_extract(path, "(?s)^(.*/)?", 0)
+
+
 def canonical(rules: DataFrame) -> DataFrame:
-    """rule, verdict, labels, path_length: each rule once, its host in lower case."""
+    """rule, folder, labels, folder_length, path_length, verdict: each rule once, its host in lower case."""
     host = F.translate(F.substring_index("rule", "/", 1), UPPER, LOWER)
     path = F.substring(F.col("rule"), F.length(F.substring_index("rule", "/", 1)) + 1, F.length("rule"))
     return (rules.where("rule is not null").select(host.alias("h"), path.alias("p"), "verdict")
-            .select(F.concat("h", "p").alias("rule"), F.size(F.split("h", "[.]")).alias("labels"),
+            .select(F.concat("h", "p").alias("rule"), F.concat(F.col("h"), folder_of(F.col("p"))).alias("folder"),
+                    F.size(F.split("h", "[.]")).alias("labels"), F.length(folder_of(F.col("p"))).alias("folder_length"),
                     F.length("p").alias("path_length"), "verdict")
-            .groupBy("rule", "labels", "path_length").agg(F.max("verdict").alias("verdict")))
+            .groupBy("rule", "folder", "labels", "folder_length", "path_length")
+            .agg(F.max("verdict").alias("verdict")))
 
 
 def probe_columns(key: str, blocks: int) -> list[str]:
@@ -65,25 +76,47 @@ def bloom_filter(listed: DataFrame, key: str, blocks: int) -> DataFrame:
             .agg(*[F.bit_or(f"w{i}").alias(f"f{i}") for i in range(WORDS)]))
 
 
+def possible(probes: DataFrame, bloom: DataFrame, blocks: int) -> DataFrame:
+    """The rows whose ``key`` the filter can't exclude."""
+    bits = " and ".join(f"(w{i} & f{i}) != 0" for i in range(WORDS))
+    return probes.selectExpr("*", *probe_columns("key", blocks)).join(bloom, "block").where(bits).select(*probes.columns)
+
+
+def page_keys(pages: DataFrame, deepest: int, longest: int) -> DataFrame:
+    """url, path, end (the host's last labels, ``deepest`` at most), key: each end of a host with each folder, of
+    ``longest`` characters at most, of its path."""
+    ends = (pages.where("host != ''").selectExpr(
+        "url", "host", "path", f"substring(path, 1, {longest}) head",
+        f"explode(sequence(1, least(size(split(host, '[.]')), {max(deepest, 1)}))) n")
+        .selectExpr("url", "path", "head", "substring_index(host, '.', -n) end"))
+    return (ends.selectExpr("url", "path", "end", "head", "explode(sequence(0, size(split(head, '/')) - 1)) n")
+            .selectExpr("url", "path", "end", "concat(end, if(n = 0, '', concat(substring_index(head, '/', n), '/'))) key"))
+
+
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", bits_per_key: int = BITS_PER_KEY) -> DataFrame:
     """page_id, host, path, rule (null if none fits), verdict (the rule's, else ``default``)."""
-    listed = canonical(rules)
-    shapes = [tuple(r) for r in listed.select("labels", "path_length").distinct().collect()]  # by label and path length
-    blocks = max(1, math.ceil(listed.count() * bits_per_key / (64 * WORDS)))
-    bloom = bloom_filter(listed, "rule", blocks)
+    listed = materialize(canonical(rules), "listed-urls")
+    host, path = split_url(F.col("url"))
+    pages = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+    deepest, longest, further = listed.agg(F.max("labels"), F.max("folder_length"),
+                                           F.max(F.col("path_length") - F.col("folder_length"))).first()
+    folders = listed.groupBy(F.col("folder").alias("key")).agg(
+        F.max(F.when(F.col("rule") == F.col("folder"), F.col("verdict"))).alias("verdict"),
+        F.collect_set(F.when(F.col("rule") != F.col("folder"), F.col("path_length"))).alias("lengths"))
+    keys = listed.select(F.explode(F.array_distinct(F.array("rule", "folder"))).alias("key")).distinct()
+    blocks = max(1, math.ceil(keys.count() * bits_per_key / (64 * WORDS)))
+    bloom = bloom_filter(keys, "key", blocks)
     if blocks * (WORDS + 1) * 8 <= BROADCAST_BYTES:
         bloom = F.broadcast(bloom)
 
-    host, path = split_url(F.col("url"))
-    pages = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-    labels = F.size(F.split("host", "[.]"))
-    keys = F.array_compact(F.array(*[
-        F.when((labels >= n) & (F.length("path") >= m) & (F.col("host") != ""),
-               F.concat(F.substring_index("host", ".", -n), F.substring(F.col("path"), 1, m)))
-        for n, m in sorted(shapes)])) if shapes else F.array().cast("array<string>")
-    probes = pages.select("url", F.explode(keys).alias("key")).selectExpr("url", "key", *probe_columns("key", blocks))
-    passed = probes.join(bloom, "block").where(" and ".join(f"(w{i} & f{i}) != 0" for i in range(WORDS)))
-    exact = passed.select("url", "key").join(listed.select("rule", "verdict"), F.col("key") == F.col("rule"))
+    found = possible(page_keys(pages, deepest or 0, longest or 0), bloom, blocks).join(folders, "key")
+    exact = found.where("verdict is not null").select("url", F.col("key").alias("rule"), "verdict")
+    if further:  # rules that don't end in a slash
+        deeper = (found.select("url", "path", "end", F.explode("lengths").alias("n")).where("length(path) >= n")
+                  .selectExpr("url", "concat(end, substring(path, 1, n)) key"))
+        exact = exact.unionByName(possible(deeper, bloom, blocks)
+                                  .join(listed.select(F.col("rule").alias("key"), "verdict"), "key")
+                                  .select("url", F.col("key").alias("rule"), "verdict"))
     best = (exact.groupBy("url")
             .agg(F.max(F.struct(F.length("rule").alias("n"), F.col("rule"), F.col("verdict"))).alias("best")))
     return (pages.join(best, "url", "left")

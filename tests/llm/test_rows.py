@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -102,13 +103,13 @@ URLS = [None, "", "no scheme", "http://", "http://com", "http://com/", "HTTP://A
         "x://.com/", "x://com:80/", "a://b://net/es/", "x://example.com/en/1", "x://ÉÀ.com/é"]
 
 
-def brute_url(url):
+def brute_url(url, listed=url_filters.RULES):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = re.match(r"[^/?#]*", rest).group()
     path = re.match(r"[^?#]*", rest[len(host):]).group()
     host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
-    fits = [(len(r), r, v) for r, v in url_filters.RULES for h, p in [r.split("/", 1)]
-            if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+    fits = [(len(r), r, v) for r, v in listed for h, slash, p in [r.partition("/")]
+            if host and (host == h or host.endswith("." + h)) and path.startswith(slash + p)]
     best = max(fits, default=(0, None, "allow"))
     return host, path, best[1], best[2]
 
@@ -125,6 +126,22 @@ def test_url_filters(spark, monkeypatch, broadcast):
     assert url_filters.judge(pages.limit(0), rules).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [1 << 20, 0])
+def test_url_rules_of_any_shape(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(url_filters, "BROADCAST_BYTES", broadcast)
+    pick = random.Random(5)
+    part = lambda most: "".join(pick.choice("ab") for _ in range(pick.randint(0, most)))
+    host = lambda: ".".join(part(2) or "c" for _ in range(pick.randint(1, 3)))
+    path = lambda: "".join("/" + part(2) for _ in range(pick.randint(0, 4)))
+    listed = {host() + path(): pick.choice(["allow", "block"]) for _ in range(150)}
+    urls = ["x://" + host() + path() for _ in range(800)] + ["x://a.b" + "/" * 3000, "x://" + "a." * 2000 + "b/a/b"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = spark.createDataFrame(list(listed.items()), "rule string, verdict string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filters.judge(pages, rules).collect()}
+    want = {i: brute_url(u, listed.items()) for i, u in enumerate(urls)}
+    assert got == want and len({r for _, _, r, _ in want.values()}) > 60
+
+
 def brute_quality(text):
     text = text or ""
     word = re.compile(r"[^\x20\x09-\x0D]+")
