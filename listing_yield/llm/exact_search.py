@@ -1,7 +1,8 @@
 """Exact top-k search: best-first search in M-trees of bounded size, for a stated query set in blocks.
 
-Vectors are integers floor(scale * x); the score is their inner product. Rows are dealt by norm into trees of about
-``TREE_ROWS`` rows (equal norms by vec_id, so copies can't fill one). A tree has pages: inner pages hold routing
+Vectors are integers floor(scale * x); the score is their inner product. Rows are dealt into trees of about ``TREE_ROWS``
+rows, by the nearest of ``PIVOTS`` rows picked by hash, then by norm (equal norms by vec_id, so copies can't fill one; the
+picked rows only choose a row's tree). A tree has pages: inner pages hold routing
 vectors with covering radius, largest norm and distance to the page's own routing vector, leaf pages hold rows with
 their distance to it. For a query q at a page with routing vector p, d(q, p) is known, so the stored distance alone gives
 d(q, x) >= |d(q, p) - d(x, p)| (less x's radius), and with q.v = (|q|^2 + |v|^2 - d(q, v)^2) / 2 a bound on the score of
@@ -9,8 +10,10 @@ all below x. Only entries that this bound leaves are computed; then the nearer b
 apply. Pages are visited in order of their bounds until the best bound is under the query's k-th score.
 
 Each query starts with the k-th score of a bounded set of rows, the ``SEEDS`` of largest norm; it only prunes, and all
-of the rows are in some tree. Trees are written as a table of one row each; blocks of ``BLOCK`` queries are joined to
-every tree, and a query's best rows of all trees are ranked.
+of the rows are in some tree. Trees are written as a table of one row each, with the tree's mean, covering radius and
+largest norm in columns of their own. Queries go in blocks of ``BLOCK`` neighbours. Blocks first meet the trees' summaries,
+``CHUNK`` of them in a row, and for each tree only the queries whose bound reaches their start value go on; these are
+joined to the tree's pages, and a query's best rows of all trees are ranked.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part, nor do rows without vec_id;
 exactly repeated rows count once; a query's candidates are all rows of other vec_id; ties go to the smaller vec_id;
@@ -38,6 +41,9 @@ PAGE = 64  # rows of a leaf page
 FAN = 16  # entries of an inner page
 BLOCK = 256
 SEEDS = 1024
+PIVOTS = 256
+CHUNK = 1024  # summaries of trees in a row
+BROADCAST_BYTES = 16 << 20  # of all summaries
 SLACK = 1e-3  # scores are integers, so rounding errors of bounds stay far below
 
 
@@ -167,56 +173,155 @@ class Tree:
         return ids, scores
 
 
-def build_trees(vectors: DataFrame, tree_rows: int = TREE_ROWS) -> DataFrame:
-    """tree, pages: one M-tree for each range of norms."""
-    n = max(1, math.ceil(vectors.count() / tree_rows))
+def packed(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x, np.float64).tobytes()
+
+
+def unpacked(data: bytes, rows: int) -> np.ndarray:
+    return np.frombuffer(data, np.float64).reshape(rows, -1)
+
+
+def arrays(column: pa.Array) -> list[np.ndarray]:
+    return [x.values.to_numpy(zero_copy_only=False) for x in column]
+
+
+def picked_rows(vectors: DataFrame, count: int) -> np.ndarray:
+    """``count`` rows at most, by a hash of vec_id."""
+    return matrix([r[0] for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").select("v").limit(count).collect()])
+
+
+def with_region(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """vec_id, v, norm, region: the nearest pivot's number."""
+    shared = vectors.sparkSession.sparkContext.broadcast(pivots)  # PIVOTS vectors
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots = shared.value
+        for batch in batches:
+            v = matrix(arrays(batch.column(1)))
+            wide = max(v.shape[1], pivots.shape[1])
+            p = widened(pivots, wide)
+            far = np.einsum("ij,ij->i", p, p)[None, :] - 2 * (widened(v, wide) @ p.T)
+            near = far.argmin(axis=1) if len(p) else np.zeros(len(v), int)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.int64())], ["vec_id", "v", "norm", "region"])
+
+    return (vectors.select("vec_id", "v", "norm")
+            .mapInArrow(run, "vec_id long, v array<double>, norm double, region long"))
+
+
+def build_trees(vectors: DataFrame, trees: int, pivots: np.ndarray) -> DataFrame:
+    """tree, rows, mean, radius, most, pages: one M-tree for each range of (region, norm), with its summary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, rows = [], []
+        for batch in batches:
+            ids += batch.column(0).to_pylist()
+            rows += arrays(batch.column(1))
+        if ids:
+            v = matrix(rows)
+            tree, mean = Tree(np.array(ids, np.int64), v), v.mean(axis=0)
+            yield pa.RecordBatch.from_pydict({
+                "tree": pa.array([TaskContext.get().partitionId()], pa.int64()), "rows": pa.array([len(ids)], pa.int64()),
+                "mean": pa.array([packed(mean)], pa.binary()),
+                "radius": pa.array([math.sqrt(((v - mean) ** 2).sum(axis=1).max())]),
+                "most": pa.array([tree.most]), "pages": pa.array([pickle.dumps(tree, protocol=5)], pa.binary())})
+
+    dealt = with_region(vectors, pivots).repartitionByRange(trees, "region", "norm", "vec_id").select("vec_id", "v")
+    return materialize(dealt.mapInArrow(run, "tree long, rows long, mean binary, radius double, most double, pages binary"),
+                       "m-trees")
+
+
+ASKED = "ids binary, queries binary, least binary"  # of a block: int64, rows of doubles, doubles
+
+
+def asked_batch(ids: np.ndarray, q: np.ndarray, least: np.ndarray, **more: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({**{c: pa.array([x], pa.int64()) for c, x in more.items()},
+                                       "ids": pa.array([ids.tobytes()], pa.binary()),
+                                       "queries": pa.array([packed(q)], pa.binary()),
+                                       "least": pa.array([packed(least)], pa.binary())})
+
+
+def query_blocks(vectors: DataFrame, queries: DataFrame, k: int, pivots: np.ndarray) -> DataFrame:
+    """ids, queries, least: blocks of at most ``BLOCK`` neighbouring queries, with the k-th score among the seeds."""
+    top = vectors.orderBy(F.desc("norm"), "vec_id", "v").limit(SEEDS).select("vec_id", "v").collect()
+    seeds = vectors.sparkSession.sparkContext.broadcast((np.array([r[0] for r in top], np.int64),
+                                                         matrix([r[1] for r in top])))
+
+    def block(ids: list, rows: list) -> pa.RecordBatch:
+        seed_ids, seed_rows = seeds.value
+        own, q = np.array(ids, np.int64), matrix(rows)
+        wide = max(q.shape[1], seed_rows.shape[1])
+        s = widened(seed_rows, wide) @ widened(q, wide).T
+        s[seed_ids[:, None] == own[None, :]] = -np.inf
+        least = np.partition(s, len(s) - k, axis=0)[len(s) - k] if len(s) >= k else np.full(len(own), -np.inf)
+        return asked_batch(own, q, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, rows = [], []
         for batch in batches:
             ids += batch.column(0).to_pylist()
-            rows += [x.values.to_numpy(zero_copy_only=False) for x in batch.column(1)]
+            rows += arrays(batch.column(1))
+            while len(ids) >= BLOCK:
+                yield block(ids[:BLOCK], rows[:BLOCK])
+                ids, rows = ids[BLOCK:], rows[BLOCK:]
         if ids:
-            tree = pickle.dumps(Tree(np.array(ids, np.int64), matrix(rows)), protocol=5)
-            yield pa.RecordBatch.from_pydict({"tree": pa.array([TaskContext.get().partitionId()], pa.int64()),
-                                              "pages": pa.array([tree], pa.binary())})
+            yield block(ids, rows)
+
+    parts = max(1, math.ceil(queries.count() / (2 * BLOCK)))
+    return (with_region(queries, pivots).repartitionByRange(parts, "region", "norm", "vec_id")
+            .sortWithinPartitions("region", "norm", "vec_id").select("vec_id", "v").mapInArrow(run, ASKED))
 
-    dealt = vectors.repartitionByRange(n, "norm", "vec_id").select("vec_id", "v")
-    return materialize(dealt.mapInArrow(run, "tree long, pages binary"), "m-trees")
+
+def wanted_trees(blocks: DataFrame, trees: DataFrame) -> DataFrame:
+    """tree, ids, queries, least: of each block the queries whose bound at the tree reaches their least score."""
+    chunk = F.floor(F.col("tree") / CHUNK).alias("chunk")
+    last, size = trees.agg(F.max(chunk), F.sum(F.length("mean") + 24)).first()
+    summaries = (trees.groupBy(chunk)
+                 .agg(F.collect_list(F.struct("tree", "mean", "radius", "most")).alias("trees")))  # CHUNK at most
+    if (size or 0) <= BROADCAST_BYTES:
+        summaries = F.broadcast(summaries)
+    met = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last or 0).cast("long"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids = np.frombuffer(batch.column(0)[i].as_py(), np.int64)
+                q, least = unpacked(batch.column(1)[i].as_py(), len(ids)), unpacked(batch.column(2)[i].as_py(), len(ids))[:, 0]
+                trees = batch.column(3)[i].values
+                numbers = trees.field(0).to_numpy()
+                means = matrix([np.frombuffer(x.as_py(), np.float64) for x in trees.field(1)])
+                radius, most = trees.field(2).to_numpy(), trees.field(3).to_numpy()
+                wide = max(q.shape[1], means.shape[1])
+                qq = np.einsum("ij,ij->i", q, q)[:, None]
+                size = np.sqrt(qq)
+                bound = np.minimum(widened(q, wide) @ widened(means, wide).T + size * radius, size * np.sqrt(most))
+                alive = bound >= least[:, None] - SLACK - 1e-9 * (qq + most)
+                for t in np.flatnonzero(alive.any(axis=0)).tolist():
+                    own = np.flatnonzero(alive[:, t])
+                    yield asked_batch(ids[own], q[own], least[own], tree=int(numbers[t]))
+
+    return (met.join(summaries, "chunk").select("ids", "queries", "least", "trees")
+            .mapInArrow(run, f"tree long, {ASKED}"))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int, tree_rows: int = TREE_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of ``vectors`` for each row of ``queries``."""
-    spark = vectors.sparkSession
     vectors = materialize(vectors, "vectors")
-    trees = build_trees(vectors, tree_rows)
-    n = (trees.agg(F.max("tree")).first()[0] or 0) + 1
-    top = vectors.orderBy(F.desc("norm"), "vec_id").limit(SEEDS).select("vec_id", "v").collect()
-    seeds = spark.sparkContext.broadcast((np.array([r[0] for r in top], np.int64), matrix([r[1] for r in top])))
-
-    # blocks of queries, each joined to every tree: a stated query set against all rows
-    blocks = max(1, math.ceil(queries.count() / BLOCK))
-    asked = (queries.select("vec_id", "v").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-             .groupBy("block").agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))  # about BLOCK of them
-             .withColumn("tree", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))))
-    pairs = asked.join(trees, "tree").select("tree", "pages", "queries")
+    count = max(1, math.ceil(vectors.count() / tree_rows))
+    pivots = picked_rows(vectors, max(1, min(PIVOTS, count // 4)))  # about four shells of norms or more in a region
+    trees = build_trees(vectors, count, pivots)
+    wanted = wanted_trees(query_blocks(vectors, queries, k, pivots), trees)
+    pairs = wanted.join(trees.select("tree", "pages"), "tree").select("tree", "pages", "ids", "queries", "least")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seed_ids, seed_rows = seeds.value
         last, tree = None, None
         for batch in batches:
             for i in range(batch.num_rows):
-                number = batch.column(0)[i].as_py()
+                number, pages, own, q, least = (c[i].as_py() for c in batch.columns)
                 if number != last:
-                    last, tree = number, pickle.loads(batch.column(1)[i].as_py())
-                rows = batch.column(2)[i].values
-                own = rows.field(0).to_numpy()
-                q = matrix([x.values.to_numpy(zero_copy_only=False) for x in rows.field(1)])
-                wide = max(q.shape[1], tree.wide, seed_rows.shape[1])
-                q, s = widened(q, wide), widened(seed_rows, wide) @ widened(q, wide).T
-                s[seed_ids[:, None] == own[None, :]] = -np.inf
-                least = np.partition(s, len(s) - k, axis=0)[len(s) - k] if len(s) >= k else np.full(len(own), -np.inf)
-                q = q[:, : tree.wide]  # what the tree's vectors lack counts as 0
+                    last, tree = number, pickle.loads(pages)
+                own = np.frombuffer(own, np.int64)
+                q, least = unpacked(q, len(own)), unpacked(least, len(own))[:, 0]
+                q = widened(q, tree.wide)[:, : tree.wide]  # what the tree's vectors lack counts as 0
                 ids, scores = tree.search(q, own, k, least)
                 j, at = np.nonzero(scores >= np.where(np.isfinite(least), least, -1e300)[:, None])
                 yield pa.RecordBatch.from_pydict({"query_id": pa.array(own[j]), "vec_id": pa.array(ids[j, at]),

@@ -58,6 +58,30 @@ def test_exact_search(spark, kind):
     assert exact_search.search(found.limit(0), found.limit(0), 20).count() == 0
 
 
+def test_queries_meet_only_trees_in_reach(spark, monkeypatch):
+    monkeypatch.setattr(exact_search, "CHUNK", 3)
+    monkeypatch.setattr(exact_search, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(exact_search, "SEEDS", 2000)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 8)) * 5
+    rows = [(i // 2, (centres[i % 12] + rng.normal(size=8) / 4).tolist()) for i in range(1600)]  # two vectors for each id
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = exact_search.integer_vectors(table)
+    asked = found.where("vec_id % 20 = 0")
+    pivots = exact_search.picked_rows(found, 12)
+    trees = exact_search.build_trees(found, 32, pivots)
+    wanted = exact_search.wanted_trees(exact_search.query_blocks(found, asked, 5, pivots), trees)
+    met = sum(len(r.ids) // 8 for r in wanted.select("ids").collect())
+    assert 0 < met < asked.count() * trees.count() / 2
+    got = exact_search.search(found, asked, 5, tree_rows=50)
+    v = [(i, np.floor(64 * np.array(x)).astype(int)) for i, x in rows]
+    want = set()
+    for q in {i for i, _ in v if i % 20 == 0}:
+        scored = sorted((-int(a @ b), j) for i, a in v if i == q for j, b in v if j != q)
+        want |= {(q, r + 1, j, -s) for r, (s, j) in enumerate(scored[:5])}
+    assert {tuple(r) for r in got.collect()} == want
+
+
 # line dedup
 
 def lines_of(text):
