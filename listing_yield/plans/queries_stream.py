@@ -112,7 +112,34 @@ def q_snapshot_files(spark, sf_dir):
     return merged.select("row_id", "portal", "id_aviso", "url")
 
 
-def fs_copy(spark, src: str, dst: str, ext: str, prefix: str) -> None:
+@register("snapshot_status", O.with_listings("""
+SELECT 'orden' AS grupo, 'ok' AS estado, count(*) AS filas FROM listings WHERE portal = 'pa'
+UNION ALL SELECT 'columnas', 'ok', count(*) FROM listings WHERE portal <> 'pa'
+UNION ALL SELECT 'latin', 'codificacion', count(*) FROM listings WHERE portal = 'pa'
+UNION ALL SELECT 'sin', 'vacio', 0 UNION ALL SELECT 'roto', 'danado', 0 UNION ALL SELECT 'otro', 'cabecera', 0"""))
+def q_snapshot_status(spark, sf_dir):
+    """Snapshots in several states: CSV with columns in another order, Parquet, CSV in Latin-1, an empty and a damaged
+    Parquet file, a CSV file of something else."""
+    root = _scratch(spark, "snapshots")
+    schema = files.listing_schema([("row_id", T.StringType())])
+    base = files.project_to_schema(_listings(spark, sf_dir), schema)
+    pa = base.filter(F.col("portal") == "pa")
+    csv = {"header": True, "escape": '"'}
+    pa.select(*reversed(base.columns)).write.options(**csv).csv(root + "/orden")
+    base.filter(F.col("portal") != "pa").write.parquet(root + "/columnas")
+    pa.withColumn("titulo", F.lit("Núñez")).write.options(**csv, encoding="ISO-8859-1").csv(root + "/latin")
+    base.limit(0).write.parquet(root + "/sin")
+    spark.range(0, 1, 1, 1).select(F.lit("PAR1 cut").alias("value")).write.text(root + "/roto")
+    spark.range(0, 1, 1, 1).select(F.lit("a,b\n1,2").alias("value")).write.text(root + "/otro")
+    for name, kind, ext in (("orden", ".csv", ".csv"), ("columnas", ".parquet", ".parquet"), ("latin", ".csv", ".csv"),
+                            ("sin", ".parquet", ".parquet"), ("roto", ".txt", ".parquet"), ("otro", ".txt", ".csv")):
+        fs_copy(spark, f"{root}/{name}", root + "/land", kind, name, ext)
+    state = files.snapshot_status(spark, root + "/land", schema)
+    return (state.groupBy(F.substring_index("archivo", "_", 1).alias("grupo"), "estado")
+            .agg(F.sum("filas").alias("filas")))
+
+
+def fs_copy(spark, src: str, dst: str, ext: str, prefix: str, new_ext: str | None = None) -> None:
     """Rename part files of a written folder into a flat landing folder (Hadoop FS, no driver I/O)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -122,7 +149,7 @@ def fs_copy(spark, src: str, dst: str, ext: str, prefix: str) -> None:
     for i, st in enumerate(fs.listStatus(sp)):
         name = st.getPath().getName()
         if name.startswith("part-") and name.endswith(ext):
-            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(dp, f"{prefix}_{i:05d}{ext}"))
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(dp, f"{prefix}_{i:05d}{new_ext or ext}"))
 
 
 # --------------------------------------------------------------------------- S3, S4 (+H17, H24, H25, H37, F8-F11)

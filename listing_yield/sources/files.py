@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from ..session import materialize
 
 _STRING = T.StringType()
 _DOUBLE = T.DoubleType()
@@ -76,18 +81,55 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(path))
 
 
+HEADER_BYTES = 1 << 16
+
+
+def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of a CSV file, from its first ``HEADER_BYTES`` bytes; empty for an empty file."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
+    try:
+        head = bytes(stream.readNBytes(HEADER_BYTES))
+    finally:
+        stream.close()
+    rows = csv.reader(io.StringIO(head.decode("utf-8-sig", "replace").replace("\0", " ")))
+    return tuple(x.strip() for x in next(rows, []))
+
+
+def csv_groups(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> tuple[dict, list[str]]:
+    """Paths by header (empty files left out), and the paths whose header names no column of the schema."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        groups.setdefault(csv_header(spark, p), []).append(p)
+    groups.pop((), None)  # files without a byte
+    strange = [h for h in groups if not set(h) & set(schema.names)]
+    return groups, [p for h in strange for p in groups.pop(h)]
+
+
+def header_schema(header: Sequence[str], schema: T.StructType) -> T.StructType:
+    """The schema's columns in a header's order; names that it lacks, and repeated ones, are texts to be dropped."""
+    known, fields = {f.name: f for f in schema.fields}, []
+    for i, name in enumerate(header):
+        fields.append(known.pop(name, None) or T.StructField(f"_columna_{i}", _STRING, True))
+    return T.StructType(fields)
+
+
 def read_snapshots(spark: SparkSession, folder: str, schema: T.StructType = LISTING_SCHEMA,
                    exclude_prefixes: Sequence[str] = ("_checkpoint", "dataset_maestro"),
                    bad_records: bool = False) -> DataFrame:
     """Every CSV *and* Parquet snapshot in a folder (names with excluded prefixes skipped), union by name.
 
-    A malformed CSV record keeps its row (``bad_records`` shows its text); a Parquet file that can't be read is
-    skipped and named by ``unreadable_snapshots``.
+    CSV files may have their columns in any order, lack some (NULL) or have others (dropped): files of equal header are
+    one scan. A malformed CSV record keeps its row (``bad_records`` shows its text). A Parquet file that can't be read
+    and a CSV file without any known column are skipped; ``snapshot_status`` names each file's state.
     """
     paths = snapshot_paths(spark, folder, exclude_prefixes)
+    names = [*schema.names, *([BAD_RECORD] if bad_records else [])]
     frames = []
-    if paths["csv"]:
-        frames.append(read_csv(spark, paths["csv"], schema, bad_records=bad_records))
+    for header, own in csv_groups(spark, paths["csv"], schema)[0].items():
+        part = read_csv(spark, own, header_schema(header, schema), bad_records=bad_records)
+        frames.append(part.select(*[c for c in names if c in part.columns]))
     if paths["parquet"]:
         frames.append(spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths["parquet"]))
     if not frames:
@@ -95,7 +137,8 @@ def read_snapshots(spark: SparkSession, folder: str, schema: T.StructType = LIST
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    full = T.StructType([*schema.fields, T.StructField(BAD_RECORD, _STRING, True)]) if BAD_RECORD in out.columns else schema
+    return project_to_schema(out, full)
 
 
 def snapshot_paths(spark: SparkSession, folder: str,
@@ -118,6 +161,103 @@ def unreadable_snapshots(spark: SparkSession, folder: str, schema: T.StructType
     return known.join(read, "archivo", "left_anti")
 
 
+STATUS = ("archivo string, formato string, filas long, filas_esperadas long, filas_malas long, estado string, "
+          "error string")
+FOOTER_BYTES = 16 << 20  # a Parquet file without rows is its footer
+
+
+def _file_name() -> F.Column:
+    return F.col("_metadata.file_name")
+
+
+def _csv_status(spark: SparkSession, header: Sequence[str], paths: list[str], schema: T.StructType) -> DataFrame:
+    own = header_schema(header, schema)
+    rows = read_csv(spark, paths, own, bad_records=True)
+    values = F.xxhash64(*[F.col(f"`{f.name}`") for f in own.fields]).alias("h")  # so that every field is parsed
+    texts = [F.col(f"`{f.name}`") for f in own.fields if f.dataType == _STRING] + [F.col(BAD_RECORD)]
+    broken = F.contains(F.concat_ws(" ", *texts), F.lit("\ufffd"))  # what bytes that aren't UTF-8 are read as
+    return (rows.select(_file_name().alias("archivo"), broken.alias("broken"), F.col(BAD_RECORD).isNotNull().alias("bad"),
+                        values)
+            .groupBy("archivo").agg(F.count(F.lit(1)).alias("filas"), F.count_if("bad").alias("filas_malas"),
+                                    F.count_if("broken").alias("rotas"), F.max("h").alias("h")).where("h is not null")
+            .select("archivo", "filas", F.lit(None).cast("long").alias("filas_esperadas"), "filas_malas",
+                    F.when(F.col("rotas") > 0, "codificacion").when(F.col("filas_malas") > 0, "registros")
+                    .otherwise("ok").alias("estado"),
+                    F.when(F.col("rotas") > 0, F.concat(F.col("rotas"), F.lit(" registros no son UTF-8"))).alias("error")))
+
+
+def _parquet_status(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    scan = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(*paths)
+    promised = scan.groupBy(_file_name().alias("archivo")).agg(F.count(F.lit(1)).alias("filas_esperadas"))  # footers only
+    decoded = F.xxhash64(*[F.col(f"`{c}`") for c in schema.names])  # so that every page is read
+    read = (scan.select(_file_name().alias("archivo"), decoded.alias("h")).groupBy("archivo")
+            .agg(F.count(F.lit(1)).alias("filas"), F.max("h").alias("h")).where("h is not null").drop("h"))
+    filas = F.coalesce("filas", F.lit(0)).cast("long")
+    return (promised.join(read, "archivo", "left")
+            .select("archivo", filas.alias("filas"), "filas_esperadas", F.lit(0).cast("long").alias("filas_malas"),
+                    F.when(filas == 0, "danado").when(filas < F.col("filas_esperadas"), "parcial").otherwise("ok")
+                    .alias("estado"),
+                    F.when(filas < F.col("filas_esperadas"), F.lit("faltan filas que el pie anuncia")).alias("error")))
+
+
+def _footer_status(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """State of Parquet files that give no row: empty, or damaged with the reader's message."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            state, error = [], []
+            for content in batch.column(1):
+                try:
+                    rows = pq.read_metadata(pa.BufferReader(content.as_buffer())).num_rows
+                    state.append("vacio" if rows == 0 else "danado")
+                    error.append(None if rows == 0 else "ninguna fila se puede leer")
+                except (pa.ArrowException, OSError) as e:
+                    state.append("danado")
+                    error.append(str(e))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(state, pa.string()), pa.array(error, pa.string())],
+                                             ["path", "estado", "error"])
+
+    found = spark.read.format("binaryFile").load(paths)
+    small = found.where(F.col("length") <= FOOTER_BYTES).select("path", "content").mapInArrow(
+        run, "path string, estado string, error string")
+    large = found.where(F.col("length") > FOOTER_BYTES).select("path", F.lit("danado").alias("estado"),
+                                                               F.lit("ninguna fila se puede leer").alias("error"))
+    none = F.lit(0).cast("long")
+    return small.unionByName(large).select(
+        F.substring_index("path", "/", -1).alias("archivo"), none.alias("filas"),
+        F.lit(None).cast("long").alias("filas_esperadas"), none.alias("filas_malas"), "estado", "error")
+
+
+def snapshot_status(spark: SparkSession, folder: str, schema: T.StructType = LISTING_SCHEMA,
+                    exclude_prefixes: Sequence[str] = ("_checkpoint", "dataset_maestro")) -> DataFrame:
+    """T5 for S2, one row for each file that ``read_snapshots`` looks at: archivo, formato, filas (that can be read),
+    filas_esperadas (of a Parquet footer), filas_malas (CSV records that don't fit), estado and error. States: ``ok``;
+    ``vacio`` (no rows, or not a byte); ``danado`` (can't be read); ``parcial`` (fewer rows than the footer says); ``cabecera`` (a CSV
+    file without a known column); ``codificacion`` (records that aren't UTF-8); ``registros`` (records that don't fit).
+    """
+    paths = snapshot_paths(spark, folder, exclude_prefixes)
+    groups, strange = csv_groups(spark, paths["csv"], schema)
+    parts = [_csv_status(spark, h, own, schema) for h, own in groups.items()]
+    if paths["parquet"]:
+        seen = materialize(_parquet_status(spark, paths["parquet"], schema), "snapshot-status")
+        have = {r[0] for r in seen.select("archivo").collect()}  # names of files, as the folder's list has them
+        silent = [p for p in paths["parquet"] if p.rsplit("/", 1)[-1] not in have]
+        parts += [seen, *([_footer_status(spark, silent)] if silent else [])]
+    known = spark.createDataFrame(
+        [(p.rsplit("/", 1)[-1], ext, p in strange) for ext, own in paths.items() for p in own],
+        "archivo string, formato string, ajeno boolean")
+    if not parts:
+        parts = [spark.createDataFrame([], STATUS).drop("formato")]
+    found = parts[0]
+    for f in parts[1:]:
+        found = found.unionByName(f)
+    none = F.lit(0).cast("long")
+    return known.join(found, "archivo", "left").select(
+        "archivo", "formato", F.coalesce("filas", none).alias("filas"), "filas_esperadas",
+        F.coalesce("filas_malas", none).alias("filas_malas"),
+        F.coalesce("estado", F.when(F.col("ajeno"), "cabecera").otherwise("vacio")).alias("estado"),
+        F.coalesce("error", F.when(F.col("ajeno"), F.lit("ninguna columna conocida"))).alias("error"))
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """S7 (and S9 with ``sep='\\t'``)."""
     df.write.mode("overwrite").options(header=True, sep=sep, escape='"', quoteAll=False).csv(path)

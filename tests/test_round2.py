@@ -132,3 +132,36 @@ def test_a_cluster_needs_a_shared_folder():
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     got = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
     assert got.returncode and "spark.checkpoint.dir" in got.stderr
+
+
+def test_snapshot_states(spark, tmp_path):
+    rows = spark.createDataFrame([{"portal": "p", "id_aviso": str(i), "titulo": f"título, {i}"} for i in range(4000)],
+                                 files.LISTING_SCHEMA)
+    rows.coalesce(1).write.parquet(str(tmp_path / "y"))
+    whole = next((tmp_path / "y").glob("*.parquet")).read_bytes()
+    rows.limit(0).coalesce(1).write.parquet(str(tmp_path / "z"))
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "whole.parquet").write_bytes(whole)
+    (land / "cut.parquet").write_bytes(whole[: len(whole) // 2])
+    (land / "empty.parquet").write_bytes(next((tmp_path / "z").glob("*.parquet")).read_bytes())
+    (land / "pages.parquet").write_bytes(whole[:4] + bytes(b ^ 255 for b in whole[4:2000]) + whole[2000:])
+    (land / "order.csv").write_text('\ufeffurl,extra,id_aviso,precio_valor,url\n"u,1",x,7,12.5,y\n', encoding="utf-8")
+    (land / "latin.csv").write_text("id_aviso,titulo\n1,Núñez\n2,plain\n", encoding="latin-1")
+    (land / "bad.csv").write_text("id_aviso,precio_valor\n1,a lot\n2,3.5\n")
+    (land / "other.csv").write_text("a,b\n1,2\n")
+    (land / "none.csv").write_text("")
+    (land / "head.csv").write_text("id_aviso,titulo\n")
+    (land / "_checkpoint.csv").write_text("id_aviso\n1\n")
+    got = {r.archivo: r for r in files.snapshot_status(spark, str(land)).collect()}
+    assert {k: (r.estado, r.filas, r.filas_malas) for k, r in got.items()} == {
+        "whole.parquet": ("ok", 4000, 0), "cut.parquet": ("danado", 0, 0), "empty.parquet": ("vacio", 0, 0),
+        "pages.parquet": ("danado", 0, 0), "order.csv": ("ok", 1, 0), "latin.csv": ("codificacion", 2, 0),
+        "bad.csv": ("registros", 2, 1), "other.csv": ("cabecera", 0, 0), "none.csv": ("vacio", 0, 0),
+        "head.csv": ("vacio", 0, 0)}
+    assert got["cut.parquet"].error and got["pages.parquet"].error and got["whole.parquet"].filas_esperadas == 4000
+    back = files.read_snapshots(spark, str(land))
+    assert back.schema.simpleString() == files.LISTING_SCHEMA.simpleString()
+    assert len(back.select("id_aviso", "portal", "titulo").collect()) == 4000 + 1 + 2 + 2
+    assert [(r.url, r.precio_valor) for r in back.where("id_aviso = '7' and portal is null").collect()] == [("u,1", 12.5)]
+    assert files.snapshot_status(spark, str(tmp_path / "absent")).count() == 0
