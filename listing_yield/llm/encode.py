@@ -15,27 +15,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 _encoders: dict[str, "Encoder"] = {}
 
 
-class _Pieces(dict):
-    """Ids (little-endian 32-bit, as bytes) of " " + piece. Two generations bound its size: when the young one is
-    full, it becomes the old one, and what is not used meanwhile goes."""
-
-    def __init__(self, encode, most: int):
-        super().__init__()
-        self.encode, self.most, self.old = encode, most, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = array("I", self.encode(" " + piece)).tobytes()
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[piece] = ids
-        return ids
-
-
 class Encoder:
-    def __init__(self, vocabulary: str = VOCABULARY, cached: int = 200_000):
+    def __init__(self, vocabulary: str = VOCABULARY):
         import public_tokenizers
         import tiktoken
 
@@ -44,23 +25,10 @@ class Encoder:
         self.tokens = ranks
         self._encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                          special_tokens={}).encode_ordinary
-        self._get = _Pieces(self._encode, cached).__getitem__
 
     def ids(self, text: str) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit numbers. A single space between two other characters
-        that are not white space always starts a new token, so such pieces are encoded alone, and once."""
-        if not text:
-            return b""
-        parts = text.split(" ")
-        if len(parts) == 1 or not all(parts) or text != text.strip() or any(c in text for c in ODD):
-            return array("I", self._encode(text)).tobytes()
-        if "\n " in text or " \n" in text:
-            return array("I", self._encode(text)).tobytes()
-        return array("I", self._encode(parts[0])).tobytes() + b"".join(map(self._get, parts[1:]))
-
-
-#: White space other than space and line feed: a text that holds any is encoded in one call.
-ODD = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+        """The text's ids as little-endian unsigned 32-bit numbers."""
+        return array("I", self._encode(text)).tobytes()
 
 
 def encoder(vocabulary: str = VOCABULARY) -> Encoder:
