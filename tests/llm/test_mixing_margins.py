@@ -40,3 +40,9 @@ def test_infeasible_targets_are_reported(spark):
     with pytest.warns(UserWarning, match="targets not met"):
         mixed = M.mix(docs, alpha=0.5)
     assert mixed.agg({"residual": "min"}).first()[0] > 0.01 and mixed.count() == 21
+
+
+def test_default_targets_change_the_shares(spark):
+    cells = spark.createDataFrame([("a", 9900), ("b", 100)], "source string, tokens long")
+    target = {r.category: r.target for r in M.tempered(cells, "source", M.ALPHA).collect()}
+    assert target["b"] > 1.4 * 0.01 and abs(sum(target.values()) - 1) < 1e-12
