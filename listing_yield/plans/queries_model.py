@@ -63,7 +63,7 @@ def area_model(kept: DataFrame):
 SELECT fold, n_train, {O.sround('b', 6)} AS pendiente, {O.sround('a', 6)} AS ordenada FROM fk""".replace(
     "\n, r AS", ", r AS", 1)))
 def q_area_model_oof(spark, sf_dir):
-    fit, _ = area_model(_kept(spark, sf_dir))
+    fit, _ = area_model(kept_for_model(spark, sf_dir))
     return fit.select("fold", "n_train", F.round("b", 6).alias("pendiente"), F.round("a", 6).alias("ordenada"))
 
 
@@ -76,7 +76,7 @@ SELECT count(*) AS n, {O.sround('avg(exp(y - pred))', 6)} AS smearing,
        {O.sround('avg(CASE WHEN err > 0.50 THEN 1.0 ELSE 0.0 END) * 100', 4)} AS pct_err_gt_50
 FROM o""".replace("\n, r AS", ", r AS", 1)))
 def q_smearing(spark, sf_dir):
-    _, oof = area_model(_kept(spark, sf_dir))
+    _, oof = area_model(kept_for_model(spark, sf_dir))
     m = stats.regression_metrics(oof, "y", "pred_log", "alquiler_usd_mes", "est")
     sm = oof.agg(F.round(F.avg(F.exp(F.col("y") - F.col("pred_log"))), 6).alias("smearing"))
     return m.select("*", sm.select("smearing").scalar().alias("smearing"))
@@ -86,7 +86,7 @@ def q_smearing(spark, sf_dir):
 SELECT segmento, {O.sround('median(err)', 6)} AS error_segmento, count(*) AS n FROM o
 WHERE segmento IS NOT NULL GROUP BY segmento""".replace("\n, r AS", ", r AS", 1)))
 def q_band_error(spark, sf_dir):
-    _, oof = area_model(_kept(spark, sf_dir))
+    _, oof = area_model(kept_for_model(spark, sf_dir))
     b = model.band_errors(oof)
     return b.select("segmento", F.round("error_segmento", 6).alias("error_segmento"), "n")
 
@@ -100,7 +100,7 @@ SELECT {O.sround('base * 100', 4)} AS err_base_mediano_pct, {O.sround('mod * 100
        {O.sround('(base - mod) / base * 100', 4)} AS mejora_pct
 FROM x, y""".replace("\n, r AS", ", r AS", 1)))
 def q_baseline_error(spark, sf_dir):
-    kept = _kept(spark, sf_dir)
+    kept = kept_for_model(spark, sf_dir)
     fit, oof = area_model(kept)
     r = model.rentals_for_model(kept)
     med = lookups.area_median(r, "alquiler_m2_usd_mes")
@@ -120,17 +120,40 @@ def q_baseline_error(spark, sf_dir):
 _BUNDLES: dict = {}
 
 
+KEPT_COLS = list(dict.fromkeys([
+    "row_id", "operacion", "barrio", "sup_total_m2", "venta_usd", "alquiler_usd_mes", "venta_m2_usd", "alquiler_m2_usd_mes",
+    "antiguedad_anios", "banos", *[c for c in model.NUM if c != "log_sup"], *model.CAT, *model.FLAGS]))
+_KEPT: dict = {}
+
+
+def kept_for_model(spark, sf_dir):
+    """The kept rows' columns that the models, their scores and what-if inputs read, written once per (session, input)."""
+    key = input_identity(spark, sf_dir)
+    if key not in _KEPT:
+        _KEPT[key] = materialize(_kept(spark, sf_dir).select(*KEPT_COLS), "kept")
+    return _KEPT[key]
+
+
+RENTAL_COLS = [*model.MODEL_COLS, "row_id", "sup_total_m2", "alquiler_usd_mes", "alquiler_m2_usd_mes"]
+
+
+def rentals_for_model(spark, sf_dir):
+    """The models' rentals, written with the columns that fits, curves and errors read."""
+    return materialize(model.rentals_for_model(kept_for_model(spark, sf_dir)).select(*RENTAL_COLS), "rentals")
+
+
 def ridge_bundle(spark, sf_dir):
     """Fit once per (session, input) and keep the bundle (S13), like the saved model the
     what-if scorer loads; every row-level intermediate is a materialized table."""
     key = input_identity(spark, sf_dir)
     if key in _BUNDLES:
         return _BUNDLES[key]
-    kept = materialize(_kept(spark, sf_dir), "kept")
-    rentals = materialize(model.rentals_for_model(kept), "rentals")
+    kept = kept_for_model(spark, sf_dir)
+    rentals = rentals_for_model(spark, sf_dir)
     layout, fits = model.fit_all(rentals)
     model.choose_alphas(rentals, layout, fits)
-    oof = materialize(model.with_oof(rentals, layout, fits), "oof")
+    oof = materialize(model.with_oof(rentals, layout, fits).select(
+        "y", "pred_log", "alquiler_usd_mes", "est", "err_rel", "segmento"), "oof")
     smear = float(oof.agg(F.avg(F.exp(F.col("y") - F.col("pred_log")))).collect()[0][0])
     band = model.band_errors(oof).collect()
     band_df = spark.createDataFrame([(r["segmento"], float(r["error_segmento"])) for r in band],
@@ -140,7 +163,8 @@ def ridge_bundle(spark, sf_dir):
     b = dict(kept=kept, rentals=rentals, layout=layout, fits=fits, oof=oof, smear=smear,
              band=band_df, coverage=coverage, med_m2=med_m2)
     sales = model.sales_for_model(kept)
-    scored = materialize(model.score_sales(sales, layout, fits, F.lit(smear), coverage, band_df), "scored")
+    scored = model.score_sales(sales, layout, fits, F.lit(smear), coverage, band_df)
+    scored = materialize(scored.select(*SCORED_COLS, "sup_total_m2", "venta_m2_usd"), "scored")
     b["scored"] = scored
     # market median gross yield over reliable estimates (the original hard-codes it)
     b["market"] = exact_quantiles(scored.filter(F.col("estimacion_confiable") == 1), "rent_bruta_pct", [0.5],
@@ -300,7 +324,7 @@ def only_log_area(name: str) -> bool:
 SELECT t AS conjunto, {O.sround('alpha', 6)} AS penalidad, {O.sround('e', 6)} AS error_loo FROM best WHERE i = 2"""))
 def q_ridge_area_path(spark, sf_dir):
     """M5: the penalty chosen on the path for the full set and each fold's complement, one standardized column."""
-    rentals = materialize(model.rentals_for_model(_kept(spark, sf_dir)), "rentals")
+    rentals = rentals_for_model(spark, sf_dir)
     layout, fits = model.fit_all(rentals)
     subs = {t: model._subset(f, only_log_area) for t, f in fits.items()}
     model.choose_alphas(rentals, layout, subs)
@@ -316,7 +340,7 @@ SELECT any_value(f) AS fraccion, count(*) AS n,
 FROM oof JOIN fr USING (i) GROUP BY i"""))
 def q_learning_curve_area(spark, sf_dir):
     """M12 on the log area alone."""
-    rentals = materialize(model.rentals_for_model(_kept(spark, sf_dir)), "rentals")
+    rentals = rentals_for_model(spark, sf_dir)
     return model.learning_curve(rentals, keep=only_log_area)
 
 
@@ -337,7 +361,7 @@ g AS (SELECT *, 'caracteristica' AS grupo FROM e
 SELECT variable, {O.sround('coef', 6)} AS coef, {O.sround('x', 4)} AS efecto_pct, grupo FROM g"""))
 def q_area_effects(spark, sf_dir):
     """H35, O3 and O4 for a ridge on the areas alone, whose coefficients have a closed form."""
-    rentals = materialize(model.rentals_for_model(_kept(spark, sf_dir)), "rentals")
+    rentals = rentals_for_model(spark, sf_dir)
     layout, fits = model.fit_all(rentals)
     fit = model._subset(fits[model.FULL], lambda n: n.startswith("barrio_"))
     fit.w = fit.coef_path(EFFECT_PENALTY)
