@@ -5,14 +5,18 @@ the first that yields non-empty text.  Over a table of pages the same
 contract is an ordered ``coalesce``: of regex extractions for fields of a whole
 page (``first_text``), and of elements for cards (``select_text``): the page is
 split into tags and texts, and an element reaches from its tag to the closing tag
-at the same depth, whatever is nested in it and however its attributes are ordered.
+at the same depth, whatever is nested in it and however its attributes are ordered. Elements are
+found in Arrow batches, by a walk over the page's tags.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +31,9 @@ LANG_PATTERN = r"<html[^>]*\slang=\"([^\"]*)\""
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
 
+NUMBER = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -40,7 +47,7 @@ def decode_entities(s: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(F.when(fine, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
         return F.replace(acc, ent, char)
 
-    numbers = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(0)))
+    numbers = F.array_distinct(F.regexp_extract_all(s, F.lit(NUMBER), F.lit(0)))
     out = F.when(F.contains(s, F.lit("&#")), F.aggregate(numbers, s, by_number)).otherwise(s)
     for ent, rep in ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(rep))
@@ -85,100 +92,131 @@ CARD_FIELDS = {
 }
 
 
-def tokens(html) -> Column:
-    """A page as an array of tags, comments and texts, in order."""
-    return F.regexp_extract_all(_c(html), F.lit(TOKEN), F.lit(0))
+def _attribute(name: str) -> str:
+    return rf"(?is)^<[^\s>]+(?:\"[^\"]*\"|'[^']*'|[^\"'])*?\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 
 
 def attribute(tag: Column, name: str) -> Column:
     """An attribute of a tag wherever it stands, quoted or not; NULL if the tag hasn't any."""
-    found = F.regexp_extract(tag, rf"(?is)^<[^\s>]+(?:\"[^\"]*\"|'[^']*'|[^\"'])*?\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    found = F.regexp_extract(tag, _attribute(name), 1)
     return F.when(found != "", F.regexp_replace(found, r"^[\"']|[\"']$", ""))
 
 
-def _opens(token: Column) -> Column:
-    return F.lower(F.regexp_extract(token, OPENING, 1))
+_OPENING, _CLOSING, _TOKEN, _NUMBER = (re.compile(x, re.ASCII) for x in (OPENING, CLOSING, TOKEN, NUMBER))
 
 
-def matches(token: Column, s: Selector) -> Column:
-    ok = _opens(token) != ""
-    if s.tag:
-        ok = ok & (_opens(token) == s.tag)
-    if s.cls:
-        ok = ok & F.contains(token, F.lit(s.cls)) & F.coalesce(F.contains(attribute(token, "class"), F.lit(s.cls)), F.lit(False))
-    if s.attr:
-        ok = ok & F.contains(token, F.lit(s.attr)) & attribute(token, s.attr).isNotNull()
-    return ok
+@cache
+def _attribute_pattern(name: str) -> re.Pattern:
+    return re.compile(_attribute(name), re.ASCII)
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)``, the value made once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+def _value(tag: str, name: str) -> str | None:
+    """``attribute`` of one tag."""
+    found = _attribute_pattern(name).search(tag)
+    return re.sub(r"^[\"']|[\"']$", "", found[1]) if found else None
 
 
-def element_at(toks: Column, place: Column) -> Column:
-    """The tokens of the element that opens at ``place`` (from 1): up to the closing tag at the same depth of its name, or
-    to the end where that is missing; a void or self-closed element is its tag alone."""
-    def cut(x: Column) -> Column:
-        rest, name = x["rest"], x["name"]
-        alone = name.isin(*VOID) | F.element_at(rest, 1).endswith("/>")
-        zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+def _named(pattern: re.Pattern, token: str) -> str:
+    found = pattern.match(token)
+    return found[1].lower() if found else ""
 
-        def step(s: Column, t: Column) -> Column:
-            inner = (F.when((_opens(t) == name) & ~t.endswith("/>"), 1)
-                     .when(F.lower(F.regexp_extract(t, CLOSING, 1)) == name, -1).otherwise(0))
-            depth = s["depth"] + F.when(t.startswith("<"), inner).otherwise(0)
-            return F.when(s["done"], s).otherwise(F.struct(
-                depth.alias("depth"), (s["n"] + 1).alias("n"), (depth <= 0).alias("done")))
-        return F.slice(rest, 1, F.when(alone, 1).otherwise(F.aggregate(rest, zero, step, lambda s: s["n"])))
 
-    def at(p: Column) -> Column:
-        rest = F.slice(toks, p, F.greatest(F.size(toks) - p + 1, F.lit(0)))
-        return _let(F.struct(rest.alias("rest"), _opens(F.element_at(rest, 1)).alias("name")), cut)
-    return _let(place, at)
+def matches(token: str, name: str, s: Selector) -> bool:
+    """Whether an opening tag (and its name) is what the selector names."""
+    return (name != "" and (not s.tag or name == s.tag)
+            and (not s.cls or (s.cls in token and s.cls in (_value(token, "class") or "")))
+            and (not s.attr or (s.attr in token and _value(token, s.attr) is not None)))
 
 
-def elements(toks: Column, s: Selector) -> Column:
-    """The token arrays of all elements that match, outermost ones only."""
-    def all_of(t: Column) -> Column:
-        places = F.filter(F.transform(t, lambda x, i: F.when(matches(x, s), i + 1)), lambda p: p.isNotNull())
-        spans = F.transform(places, lambda p: F.struct(p.alias("at"), element_at(t, p).alias("own")))
-        zero = F.struct(F.lit(0).alias("upto"), F.array().cast("array<array<string>>").alias("found"))
-        return F.aggregate(spans, zero, lambda a, x: F.when(x["at"] <= a["upto"], a).otherwise(F.struct(
-            (x["at"] + F.size(x["own"]) - 1).alias("upto"), F.concat(a["found"], F.array(x["own"])).alias("found"))),
-            lambda a: a["found"])
-    return _let(toks, all_of)
+def _end(toks: list[str], at: int, name: str) -> int:
+    """Where the element that opens at ``at`` ends: after the closing tag at the same depth of its name, or at the end
+    where that is missing; a void or self-closed element is its tag alone."""
+    if name in VOID or toks[at].endswith("/>"):
+        return at + 1
+    depth = 0
+    for i in range(at, len(toks)):
+        t = toks[i]
+        if t.startswith("<"):
+            if _named(_OPENING, t) == name:
+                depth += not t.endswith("/>")
+            elif _named(_CLOSING, t) == name:
+                depth -= 1
+        if depth <= 0:
+            return i + 1
+    return len(toks)
 
 
-def element_text(own: Column) -> Column:
-    """The text of an element's tokens: pieces parted by spaces, entities decoded, white space collapsed."""
-    pieces = F.filter(own, lambda t: ~t.startswith("<") | (t == "<"))
-    return F.trim(F.regexp_replace(decode_entities(F.array_join(pieces, " ")), WS, " "))
+def _elements(toks: list[str], s: Selector) -> list[list[str]]:
+    found, upto = [], 0
+    for i, t in enumerate(toks):
+        if i >= upto and t.startswith("<"):
+            name = _named(_OPENING, t)
+            if matches(t, name, s):
+                upto = _end(toks, i, name)
+                found.append(toks[i:upto])
+    return found
 
 
-def select_text(toks: Column, selectors: Sequence[Selector]) -> Column:
-    """H22 by element: the first selector whose first element has a text (or attribute) that isn't empty, else ''."""
-    def one(t: Column, s: Selector) -> Column:
-        def found(p: Column) -> Column:
-            if s.value:
-                got = F.trim(F.regexp_replace(decode_entities(attribute(F.element_at(t, p), s.value)), WS, " "))
-            else:
-                got = element_text(element_at(t, p))
-            return F.when(p > 0, F.nullif(got, F.lit("")))
-        place = F.coalesce(F.array_position(F.transform(t, lambda x: matches(x, s)), True), F.lit(0)).cast("int")
-        return _let(F.greatest(place, F.lit(0)), lambda p: F.when(p > 0, found(F.greatest(p, F.lit(1)))))
+def _text(raw: str | None) -> str:
+    """``decode_entities`` of one text, white space collapsed; '' for none."""
+    if not raw:
+        return ""
+    if "&" in raw:
+        for ent in dict.fromkeys(_NUMBER.findall(raw)):
+            code = int(ent[3:-1], 16) if ent[2] in "xX" else int(ent[2:-1])
+            fine = 0 < code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF
+            raw = raw.replace(ent, chr(code if fine else 0xFFFD))
+        for ent, rep in ENTITIES:
+            raw = raw.replace(ent, rep)
+    return " ".join(raw.split())
 
-    return _let(toks, lambda t: F.coalesce(*[one(t, s) for s in selectors], F.lit("")))
+
+def _first(toks: list[str], tags: list[tuple[int, str]], s: Selector) -> str:
+    """The text (pieces parted by spaces) or the attribute of the first element that matches."""
+    for i, name in tags:
+        if matches(toks[i], name, s):
+            if s.value:
+                return _text(_value(toks[i], s.value))
+            return _text(" ".join(t for t in toks[i:_end(toks, i, name)] if not t.startswith("<") or t == "<"))
+    return ""
+
+
+def elements(html, s: Selector) -> Column:
+    """The token arrays of all elements of a page that match, outermost ones only."""
+    @F.arrow_udf("array<array<string>>")
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else _elements(_TOKEN.findall(x), s) for x in pages.to_pylist()],
+                        pa.list_(pa.list_(pa.string())))
+    return run(_c(html))
+
+
+def _texts(toks, fields: Sequence[Sequence[Selector]]) -> Column:
+    """For each field the first text of its selectors that isn't empty, else ''; a card is gone through once."""
+    @F.arrow_udf("array<string>")
+    def run(cards: pa.Array) -> pa.Array:
+        out = []
+        for x in cards.to_pylist():
+            x = x or []
+            tags = [(i, n) for i, t in enumerate(x) if t.startswith("<") and (n := _named(_OPENING, t))]
+            out.append([next((got for s in own if (got := _first(x, tags, s))), "") for own in fields])
+        return pa.array(out, pa.list_(pa.string()))
+    return run(_c(toks))
+
+
+def select_text(toks, selectors: Sequence[Selector]) -> Column:
+    """H22 by element: the first selector whose first element has a text (or attribute) that isn't empty, else ''."""
+    return _texts(toks, [selectors])[0]
 
 
 def cards(html) -> Column:
     """The tokens of each listing card of a page."""
-    return elements(tokens(html), Selector(tag="article"))
+    return elements(html, Selector(tag="article"))
 
 
 def card_fields(card) -> dict[str, Column]:
     """One text per field of a card's tokens ('' where no selector yields any)."""
-    return {name: select_text(_c(card), selectors) for name, selectors in CARD_FIELDS.items()}
+    texts = _texts(card, list(CARD_FIELDS.values()))
+    return {name: texts[i] for i, name in enumerate(CARD_FIELDS)}
 
 
 def count_tag(html, tag: str) -> Column:
