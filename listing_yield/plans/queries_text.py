@@ -86,7 +86,7 @@ FROM lineitem""")
 def q_parse_counts(spark, sf_dir):
     li = T.with_text_keys(_lineitem(spark, sf_dir).selectExpr(RID, COUNT_TXT), "txt")
     n = F.col("_n")
-    age = T.parse_antiguedad("txt", 2026, norm=n)
+    li, age = li.withColumn("_age", T.parse_antiguedad("txt", 2026, norm=n)), F.col("_age")
     return li.select("rid", T.parse_ambientes("txt", norm=n).alias("ambientes"),
                      T.parse_dormitorios("txt", norm=n).alias("dormitorios"),
                      T.parse_banos("txt", norm=n).alias("banos"), T.parse_cocheras("txt", norm=n).alias("cocheras"),
@@ -109,7 +109,7 @@ SELECT {RID_SQL}, 'Calle ' || l_partkey AS calle, CAST((l_partkey % 40) * 100 +
 FROM lineitem""")
 def q_parse_address(spark, sf_dir):
     li = _lineitem(spark, sf_dir).selectExpr(RID, ADDRESS_TXT).withColumn("_c", T.clean_text("txt"))
-    a = T.parse_address("txt", clean=F.col("_c"))
+    li, a = li.withColumn("_a", T.parse_address("txt", clean=F.col("_c"))), F.col("_a")
     return li.select("rid", a["calle"].alias("calle"), a["altura"].alias("altura"), a["piso"].alias("piso"))
 
 
