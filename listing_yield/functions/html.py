@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -110,15 +110,23 @@ def _attribute_pattern(name: str) -> re.Pattern:
     return re.compile(_attribute(name), re.ASCII)
 
 
+@lru_cache(8192)
 def _value(tag: str, name: str) -> str | None:
     """``attribute`` of one tag."""
     found = _attribute_pattern(name).search(tag)
     return re.sub(r"^[\"']|[\"']$", "", found[1]) if found else None
 
 
-def _named(pattern: re.Pattern, token: str) -> str:
-    found = pattern.match(token)
-    return found[1].lower() if found else ""
+@lru_cache(8192)
+def _tag(token: str) -> tuple[str, str]:
+    """The names that a token opens and closes, '' for none. Most tags of a page come again and again."""
+    opens, closes = _OPENING.match(token), _CLOSING.match(token)
+    return opens[1].lower() if opens else "", closes[1].lower() if closes else ""
+
+
+def _tags(toks: list[str]) -> list[tuple[int, str, str]]:
+    """Place, opened and closed name of each token that is a tag."""
+    return [(i, *_tag(t)) for i, t in enumerate(toks) if t[:1] == "<"]
 
 
 def matches(token: str, name: str, s: Selector) -> bool:
@@ -128,32 +136,29 @@ def matches(token: str, name: str, s: Selector) -> bool:
             and (not s.attr or (s.attr in token and _value(token, s.attr) is not None)))
 
 
-def _end(toks: list[str], at: int, name: str) -> int:
-    """Where the element that opens at ``at`` ends: after the closing tag at the same depth of its name, or at the end
+def _end(toks: list[str], tags: list[tuple[int, str, str]], k: int) -> int:
+    """Where the element that the tag ``k`` opens ends: after the closing tag at the same depth of its name, or at the end
     where that is missing; a void or self-closed element is its tag alone."""
+    at, name, _ = tags[k]
     if name in VOID or toks[at].endswith("/>"):
         return at + 1
     depth = 0
-    for i in range(at, len(toks)):
-        t = toks[i]
-        if t.startswith("<"):
-            if _named(_OPENING, t) == name:
-                depth += not t.endswith("/>")
-            elif _named(_CLOSING, t) == name:
-                depth -= 1
-        if depth <= 0:
-            return i + 1
+    for i, opens, closes in tags[k:]:
+        if opens == name:
+            depth += not toks[i].endswith("/>")
+        elif closes == name:
+            depth -= 1
+            if depth <= 0:
+                return i + 1
     return len(toks)
 
 
 def _elements(toks: list[str], s: Selector) -> list[list[str]]:
-    found, upto = [], 0
-    for i, t in enumerate(toks):
-        if i >= upto and t.startswith("<"):
-            name = _named(_OPENING, t)
-            if matches(t, name, s):
-                upto = _end(toks, i, name)
-                found.append(toks[i:upto])
+    found, upto, tags = [], 0, _tags(toks)
+    for k, (i, name, _) in enumerate(tags):
+        if i >= upto and matches(toks[i], name, s):
+            upto = _end(toks, tags, k)
+            found.append(toks[i:upto])
     return found
 
 
@@ -171,13 +176,14 @@ def _text(raw: str | None) -> str:
     return " ".join(raw.split())
 
 
-def _first(toks: list[str], tags: list[tuple[int, str]], s: Selector) -> str:
+def _first(toks: list[str], tags: list[tuple[int, str, str]], s: Selector) -> str:
     """The text (pieces parted by spaces) or the attribute of the first element that matches."""
-    for i, name in tags:
-        if matches(toks[i], name, s):
+    part = s.cls or s.attr or ""
+    for k, (i, name, _) in enumerate(tags):
+        if part in toks[i] and matches(toks[i], name, s):
             if s.value:
                 return _text(_value(toks[i], s.value))
-            return _text(" ".join(t for t in toks[i:_end(toks, i, name)] if not t.startswith("<") or t == "<"))
+            return _text(" ".join([t for t in toks[i:_end(toks, tags, k)] if t[:1] != "<" or t == "<"]))
     return ""
 
 
@@ -194,10 +200,10 @@ def _texts(toks, fields: Sequence[Sequence[Selector]]) -> Column:
     """For each field the first text of its selectors that isn't empty, else ''; a card is gone through once."""
     @F.arrow_udf("array<string>")
     def run(cards: pa.Array) -> pa.Array:
-        out = []
-        for x in cards.to_pylist():
-            x = x or []
-            tags = [(i, n) for i, t in enumerate(x) if t.startswith("<") and (n := _named(_OPENING, t))]
+        every, at, out = cards.values.to_numpy(zero_copy_only=False).tolist(), cards.offsets.to_pylist(), []
+        for lo, hi in zip(at, at[1:]):  # a missing card is an empty one
+            x = every[lo:hi]
+            tags = _tags(x)
             out.append([next((got for s in own if (got := _first(x, tags, s))), "") for own in fields])
         return pa.array(out, pa.list_(pa.string()))
     return run(_c(toks))
