@@ -1,15 +1,17 @@
-"""Generated methods stay below what the JVM compiles, unless the session names a limit."""
+"""Generated methods stay below what the JVM compiles where listings are read, unless the session names a limit."""
 
 from listing_yield import session
+from listing_yield.plans import queries
 
 
-def test_limit_is_set_once(spark):
-    before = spark.conf.get(session.HUGE_METHOD, None)
-    other = spark.newSession()
-    assert other.conf.get(session.HUGE_METHOD, None) is None
+def test_limit_is_set_by_the_listings(spark, monkeypatch):
+    monkeypatch.setattr(queries, "input_identity", lambda *args: "key")
+    monkeypatch.setitem(queries._LISTINGS, "key", "rows")
+    other, own = spark.newSession(), spark.newSession()
     session.ship_package(other)
-    assert other.conf.get(session.HUGE_METHOD) == session.HUGE_METHOD_BYTES == before
-    own = spark.newSession()
+    assert other.conf.get(session.HUGE_METHOD, None) is None
+    assert queries._numbered(other, "folder") == "rows"
+    assert other.conf.get(session.HUGE_METHOD) == session.HUGE_METHOD_BYTES
     own.conf.set(session.HUGE_METHOD, "20000")
-    session.ship_package(own)
+    queries._numbered(own, "folder")
     assert own.conf.get(session.HUGE_METHOD) == "20000"
